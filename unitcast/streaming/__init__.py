@@ -1,0 +1 @@
+"""unitcast.streaming."""
