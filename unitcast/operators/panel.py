@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unitcast import config
-from unitcast.functions.columns import clip, first_truthy
+from unitcast.functions.columns import clip, exact_mean, first_truthy
 
 T, S, I = "date_block_num", "shop_id", "item_id"
 PAIR = (S, I)
@@ -73,8 +73,8 @@ def price_trend(panel: DataFrame, sales: DataFrame, lags=config.PRICE_LAGS,
                 name: str = "delta_price_lag") -> DataFrame:
     """Relative change of lagged month-item mean price against the
     item's overall mean price; first usable lag picked per ``mode``."""
-    item_mean = sales.groupBy(I).agg(F.avg(price).alias("_item_avg"))
-    month_item = sales.groupBy(T, I).agg(F.avg(price).alias("_mi_avg"))
+    item_mean = sales.groupBy(I).agg(exact_mean(price).alias("_item_avg"))
+    month_item = sales.groupBy(T, I).agg(exact_mean(price).alias("_mi_avg"))
     out = panel.join(item_mean, I, "left").join(month_item, [T, I], "left")
     out = add_lags(out, "_mi_avg", lags)
     deltas = [((F.col(f"_mi_avg_lag_{k}") - F.col("_item_avg")) / F.col("_item_avg")) for k in lags]
