@@ -98,3 +98,8 @@ def rnd(c, digits: int) -> Column:
     the scaled value (same arithmetic as the oracle SQL)."""
     k = float(10 ** digits)
     return F.round(col(c) * k, 0) / k
+
+
+def exact_sum(c, scale: int = 12) -> Column:
+    """Sum in decimal (exact, order-independent), returned as double."""
+    return F.sum(col(c).cast(f"decimal(30,{scale})")).cast("double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from unitcast.functions.columns import exact_mean
+from unitcast.functions.columns import exact_mean, exact_sum
 
 MONTH_KEYS = ("date_block_num", "shop_id", "item_id")
 
@@ -34,20 +34,24 @@ def mean_by(df: DataFrame, keys, value: str, name: str, as_of_month: int | None
 
 
 def with_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row (a 1-row broadcast)."""
-    return df.crossJoin(F.broadcast(scalar))
+    """Attach the columns of a one-row aggregate to every row as scalar
+    subqueries (evaluated once, then used as a constant in every task)."""
+    for c in scalar.columns:
+        df = df.withColumn(c, scalar.select(c).scalar())
+    return df
 
 
 def share_index(df: DataFrame, key: str, value: str, name: str = "share") -> DataFrame:
     """Per-key sum divided by the mean of the per-key sums.
 
     Aggregated first; the mean is a one-row aggregate broadcast back, so no
-    un-partitioned window ever sees the fact table.
+    un-partitioned window ever sees the fact table.  Sums are exact decimals,
+    so the result does not depend on the order partial sums are combined.
     """
-    sums = df.groupBy(key).agg(F.sum(value).alias("_sum"))
-    mean = sums.agg(F.avg("_sum").alias("_mean"))
+    sums = df.groupBy(key).agg(exact_sum(value).alias("_sum"))
+    mean = sums.agg((exact_sum("_sum") / F.nullif(F.count("_sum"), F.lit(0))).alias("_mean"))
     return (with_scalar(sums, mean)
-            .select(key, (F.col("_sum") / F.col("_mean")).alias(name)))
+            .select(key, (F.col("_sum") / F.nullif(F.col("_mean"), F.lit(0.0))).alias(name)))
 
 
 def pivot_months(df: DataFrame, keys, column: str, value: str, agg: str = "sum",

@@ -46,7 +46,7 @@ def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.
     per_term = counts.groupBy("term").agg(F.sum("tf").alias("total"),
                                           F.count(F.lit(1)).alias("df"))
     top = per_term.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
-    top = top.crossJoin(F.broadcast(n_docs))
+    top = top.withColumn("n_docs", n_docs.scalar())
     return top.select(
         "term",
         (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("idx"),

@@ -10,7 +10,7 @@ from unitcast.operators import aggregate as agg
 from unitcast.operators import clean
 from unitcast.operators.panel import previous_month_units
 from unitcast.plans.registry import query
-from unitcast.plans.sqlparts import H, TM, exact_mean, median, rnd as srnd, sql
+from unitcast.plans.sqlparts import H, TM, exact_mean, median, rnd as srnd, share_sql, sql
 from unitcast.sources import tpch
 
 SALES_COLS = "date, date_block_num, shop_id, item_id, item_price, item_cnt_day, order_key, line_no"
@@ -234,16 +234,16 @@ def _clipped_monthly(spark, sf_dir, grain="A"):
     return m.withColumn("item_cnt_month", clip("item_cnt_month"))
 
 
-@query("shop_share_index", sql(["monthly"], f"""SELECT shop_id, {srnd("s / avg(s) OVER ()", 6)} AS shop_share
-FROM (SELECT shop_id, sum(item_cnt_month) AS s FROM cm GROUP BY shop_id)""", [_clipped_monthly_sql()]))
+@query("shop_share_index", sql(["monthly"], f"""SELECT shop_id, {srnd("shop_share", 6)} AS shop_share
+FROM ({share_sql("cm", "shop_id", "item_cnt_month", "shop_share")})""", [_clipped_monthly_sql()]))
 def q_shop_share_index(spark, sf_dir):
     """Shop units as a share of the average shop."""
     s = agg.share_index(_clipped_monthly(spark, sf_dir), "shop_id", "item_cnt_month", "shop_share")
     return s.withColumn("shop_share", rnd("shop_share", 6))
 
 
-@query("item_share_index", sql(["monthly"], f"""SELECT item_id, {srnd("s / avg(s) OVER ()", 6)} AS item_share
-FROM (SELECT item_id, sum(item_cnt_month) AS s FROM cm GROUP BY item_id)""", [_clipped_monthly_sql()]))
+@query("item_share_index", sql(["monthly"], f"""SELECT item_id, {srnd("item_share", 6)} AS item_share
+FROM ({share_sql("cm", "item_id", "item_cnt_month", "item_share")})""", [_clipped_monthly_sql()]))
 def q_item_share_index(spark, sf_dir):
     """Item units as a share of the average item."""
     s = agg.share_index(_clipped_monthly(spark, sf_dir), "item_id", "item_cnt_month", "item_share")

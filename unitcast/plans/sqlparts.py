@@ -89,3 +89,14 @@ def median(source: str, x: str) -> str:
     """Exact median as the mean of the two middle values."""
     return (f"(SELECT avg(v) FROM (SELECT {x} AS v, row_number() OVER (ORDER BY {x}) AS rn, "
             f"count(*) OVER () AS n FROM {source}) WHERE rn IN ((n + 1) // 2, n // 2 + 1))")
+
+
+def exact_sum(x: str, scale: int = 12) -> str:
+    return f"CAST(sum(CAST({x} AS DECIMAL(30,{scale}))) AS DOUBLE)"
+
+
+def share_sql(source: str, key: str, value: str, name: str) -> str:
+    """E10 in SQL with the same exact sums as ``aggregate.share_index``."""
+    return (f"SELECT {key}, s / nullif((SELECT {exact_sum('s')} / count(s) FROM "
+            f"(SELECT {exact_sum(value)} AS s FROM {source} GROUP BY {key})), 0) AS {name} "
+            f"FROM (SELECT {key}, {exact_sum(value)} AS s FROM {source} GROUP BY {key})")
