@@ -1,9 +1,11 @@
 """Consecutive 0-based numbering in a given order, without a global window.
 
 ``row_number() over (order by k)`` with no partition runs in one task.  Here
-the rows are range-partitioned on the order key, numbered inside each
-partition, and shifted by the row count of all earlier partitions (a table
-with one row per partition, so it is small and broadcast).
+the rows are range-partitioned on the order key and sorted inside each
+partition; ``monotonically_increasing_id`` then carries the partition index
+in its upper 31 bits and the row's position inside the partition in its
+lower 33 bits.  Each row is shifted by the row count of all earlier
+partitions (a table with one row per partition, so small and broadcast).
 """
 
 from __future__ import annotations
@@ -11,22 +13,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_LOW33 = (1 << 33) - 1
+
+
+SMALL_DOMAIN_ROWS = 100_000
+
 
 def consecutive_ids(df: DataFrame, order_cols: list[str], name: str = "id",
-                    partitions: int | None = None) -> DataFrame:
-    """Append ``name`` = 0..n-1 following ``order_cols`` (must be unique)."""
+                    partitions: int | None = None, small_rows: int = SMALL_DOMAIN_ROWS) -> DataFrame:
+    """Append ``name`` = 0..n-1 following ``order_cols`` (must be unique).
+
+    A frame proven to hold at most ``small_rows`` rows (bounded count) is
+    numbered by one sorted window in a single task; anything larger takes the
+    distributed path below.
+    """
     spark = df.sparkSession
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        w = Window.orderBy(*order_cols)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-                .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
-    # One row per range partition: offsets are a running sum over <= n rows.
+    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                .withColumn("_mid", F.monotonically_increasing_id())
+                .withColumn("_pid", F.shiftright("_mid", 33))
+                .withColumn("_rn", F.col("_mid").bitwiseAND(F.lit(_LOW33))))
     offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
                .withColumn("_off", F.coalesce(
                    F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(
                        Window.unboundedPreceding, -1)), F.lit(0)))
                .select("_pid", "_off"))
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
-            .drop("_pid", "_rn", "_off"))
+    return (ranged.join(F.broadcast(offsets), "_pid")
+            .withColumn(name, (F.col("_off") + F.col("_rn")).cast("bigint"))
+            .drop("_mid", "_pid", "_rn", "_off"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from unitcast import config
 from unitcast.functions.columns import clip, exact_mean, first_truthy
+from unitcast.operators.joins import checked_broadcast, materialize
 
 T, S, I = "date_block_num", "shop_id", "item_id"
 PAIR = (S, I)
@@ -18,27 +19,46 @@ def pair_window(keys=PAIR, time: str = T):
     return Window.partitionBy(*keys).orderBy(F.col(time))
 
 
-def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", salt: int = 32,
-                clip_hi: float = config.CLIP_HI) -> DataFrame:
+def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: DataFrame | None = None,
+                salt: int = 32, clip_hi: float = config.CLIP_HI,
+                max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
     """Every shop seen in a month x every item seen in that month.
 
-    The product is an equi-join on month, and a month can hold a large share
-    of all rows, so the item side is salted into ``salt`` buckets and the
-    (small) shop side is replicated per bucket: each month's product is
-    spread over ``salt`` tasks.  The result is hash-partitioned on
-    (shop_id, item_id), the partitioning the pair windows need, and carries
-    ``value`` (NULL -> 0, clipped).
+    The product is an equi-join on month.  The smaller of the two
+    (month, key) sides is broadcast when its row count is proven under
+    ``max_broadcast_rows``; beyond that the larger side is salted into
+    ``salt`` buckets and the smaller one replicated per bucket, so a month
+    holding a large share of the rows is spread over ``salt`` tasks.
+    ``extra_keys`` (month, shop, item) rows (e.g. the request month) join the
+    grid before its single repartition on (shop_id, item_id), the
+    partitioning every pair window downstream reuses.  ``value`` is NULL -> 0,
+    then clipped.
     """
+    monthly = materialize(monthly.select(T, S, I, value))
     shops_m = monthly.select(T, S).distinct()
-    items_m = monthly.select(T, I).distinct().withColumn(
-        "_salt", F.pmod(F.xxhash64(I), F.lit(salt)))
-    shops_salted = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    grid = items_m.join(shops_salted, [T, "_salt"]).select(T, S, I)
+    items_m = monthly.select(T, I).distinct()
+    # Both side sizes in one job over the stored monthly table.
+    sizes = monthly.agg(F.count_distinct(T, S).alias("ns"), F.count_distinct(T, I).alias("ni")).first()
+    if min(sizes.ns, sizes.ni) <= max_broadcast_rows:
+        small, big = (shops_m, items_m) if sizes.ns <= sizes.ni else (items_m, shops_m)
+        grid = big.join(F.broadcast(small), T)
+    else:
+        big_key = I
+        big = items_m.withColumn("_salt", F.pmod(F.xxhash64(big_key), F.lit(salt)))
+        small = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        grid = big.join(small, [T, "_salt"])
+    grid = grid.select(T, S, I, F.lit(None).cast("double").alias(value))
+    if extra_keys is not None:
+        grid = grid.unionByName(extra_keys.select(T, S, I, F.lit(None).cast("double").alias(value)))
+    # Grid keys and observed values meet in one (shop, item) exchange; the
+    # per-key max keeps the observed value (grid keys cover every observed
+    # key).  An aggregate accepts the (shop, item) partitioning for its
+    # (shop, item, month) keys, so no second shuffle, and the pair windows
+    # downstream reuse it too.
     n = int(monthly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = grid.repartition(n, S, I)
-    vals = monthly.select(T, S, I, value).repartition(n, S, I)
-    return (grid.join(vals, [T, S, I], "left")
-            .withColumn(value, clip(F.coalesce(F.col(value), F.lit(0.0)), config.CLIP_LO, clip_hi)))
+    cells = grid.unionByName(monthly).repartition(n, S, I)
+    out = cells.groupBy(S, I, T).agg(F.max(value).alias(value))
+    return out.select(T, S, I, clip(F.coalesce(F.col(value), F.lit(0.0)), config.CLIP_LO, clip_hi).alias(value))
 
 
 def union_aligned(a: DataFrame, b: DataFrame, fill=None) -> DataFrame:
@@ -63,7 +83,7 @@ def add_lags(df: DataFrame, c: str, lags, keys=PAIR, time: str = T,
 def month_mean_lag(panel: DataFrame, value: str = "item_cnt_month",
                    name: str = "date_avg_item_cnt") -> DataFrame:
     """month mean of ``value`` (E5) lagged one month through the pair."""
-    means = panel.groupBy(T).agg(F.avg(value).alias(name))
+    means, _ = checked_broadcast(panel.groupBy(T).agg(F.avg(value).alias(name)))
     out = panel.join(means, T, "left")
     return add_lags(out, name, [1]).drop(name)
 
@@ -73,8 +93,8 @@ def price_trend(panel: DataFrame, sales: DataFrame, lags=config.PRICE_LAGS,
                 name: str = "delta_price_lag") -> DataFrame:
     """Relative change of lagged month-item mean price against the
     item's overall mean price; first usable lag picked per ``mode``."""
-    item_mean = sales.groupBy(I).agg(exact_mean(price).alias("_item_avg"))
-    month_item = sales.groupBy(T, I).agg(exact_mean(price).alias("_mi_avg"))
+    item_mean, _ = checked_broadcast(sales.groupBy(I).agg(exact_mean(price).alias("_item_avg")))
+    month_item, _ = checked_broadcast(sales.groupBy(T, I).agg(exact_mean(price).alias("_mi_avg")))
     out = panel.join(item_mean, I, "left").join(month_item, [T, I], "left")
     out = add_lags(out, "_mi_avg", lags)
     deltas = [((F.col(f"_mi_avg_lag_{k}") - F.col("_item_avg")) / F.col("_item_avg")) for k in lags]
@@ -107,6 +127,7 @@ def item_recency(panel: DataFrame, value: str = "item_cnt_month", all_rows: bool
     w = Window.partitionBy(I).orderBy(T)
     seen = F.max("_nz").over(w.rowsBetween(Window.unboundedPreceding, -1))
     im = im.withColumn("_gap", F.when(seen == 1, F.col(T) - F.lag(T, 1).over(w))).drop("_nz")
+    im, _ = checked_broadcast(im)
     out = panel.join(im, [I, T], "left")
     take = F.col("_gap").isNotNull() & (F.lit(all_rows) | (F.col(S) == F.col("_first_shop")))
     return (out.withColumn(name, F.when(take, F.col("_gap")).otherwise(F.lit(-1)).cast("int"))

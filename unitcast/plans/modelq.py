@@ -20,6 +20,7 @@ from unitcast.functions.columns import clip, exact_sum, rnd
 from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, encode, models, panel, text
 from unitcast.operators.fallback import cold_start_fill
+from unitcast.operators.joins import materialize
 from unitcast.plans.basic import _clipped_monthly_sql, monthly
 from unitcast.plans.panelq import PANEL_CTES, clipped_history, panel_features
 from unitcast.plans.registry import query
@@ -30,10 +31,7 @@ LABEL = "item_cnt_month"
 MODEL_CLIP = (config.CLIP_LO, config.MODEL_CLIP_HI)
 
 
-def checkpointed(df):
-    """Cut lineage into the shared checkpoint folder (reliable checkpoint)."""
-    config.ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+checkpointed = materialize
 
 
 # ---- H1 ---------------------------------------------------------------------

@@ -11,6 +11,7 @@ from unitcast import config
 from unitcast.functions.columns import clip, exact_mean, rnd
 from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, panel
+from unitcast.operators.joins import materialize
 from unitcast.plans.basic import monthly
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, exact_mean as sexact_mean, rnd as srnd, sql
@@ -33,17 +34,20 @@ def history_panel(spark, sf_dir, grain="B"):
     return panel.dense_panel(agg.monthly_sales(panel_sales(spark, sf_dir, grain)))
 
 
-def full_panel(spark, sf_dir, grain="B"):
-    """C4: history panel plus the request month (target 0)."""
+def full_panel(spark, sf_dir, grain="B", materialized=False):
+    """C4: history panel plus the request month (target 0).  The request
+    keys enter the grid before its repartition, so the union costs no extra
+    shuffle; ``materialized`` checkpoints it for plans that read it twice."""
     req = (tpch.request(spark, sf_dir, grain).select("shop_id", "item_id")
            .withColumn("date_block_num", F.lit(TM).cast("int")))
-    return panel.union_aligned(history_panel(spark, sf_dir, grain), req, fill=0.0).select(
-        *KEYS, "item_cnt_month")
+    monthly = agg.monthly_sales(panel_sales(spark, sf_dir, grain))
+    p = panel.dense_panel(monthly, extra_keys=req).select(*KEYS, "item_cnt_month")
+    return materialize(p) if materialized else p
 
 
 def panel_features(spark, sf_dir, grain="B"):
     """The whole feature table of the panel pipeline."""
-    p = full_panel(spark, sf_dir, grain)
+    p = full_panel(spark, sf_dir, grain, materialized=True)
     p = panel.add_lags(p, "item_cnt_month", config.COUNT_LAGS)
     p = panel.month_mean_lag(p)
     p = panel.price_trend(p, panel_sales(spark, sf_dir, grain))
@@ -155,7 +159,7 @@ def q_panel_lags(spark, sf_dir):
 @query("month_mean_lag1", psql("SELECT * FROM ml", [MEAN_LAG_CTE]))
 def q_month_mean_lag1(spark, sf_dir):
     """month mean lagged one month, gated by the pair's presence."""
-    return panel.month_mean_lag(full_panel(spark, sf_dir))
+    return panel.month_mean_lag(full_panel(spark, sf_dir, materialized=True))
 
 
 @query("price_lags", psql(
@@ -197,7 +201,7 @@ FROM pan p LEFT JOIN im ON p.item_id = im.item_id AND p.date_block_num = im.date
                             [ITEM_RECENCY_CTE]))
 def q_item_recency(spark, sf_dir):
     """months since the item's previous month, first row of the month only."""
-    return panel.item_recency(full_panel(spark, sf_dir))
+    return panel.item_recency(full_panel(spark, sf_dir, materialized=True))
 
 
 @query("item_recency_all_rows", psql(f"""SELECT p.*, {_item_recency_expr(True)} AS item_last_sale
@@ -205,7 +209,7 @@ FROM pan p LEFT JOIN im ON p.item_id = im.item_id AND p.date_block_num = im.date
                                      [ITEM_RECENCY_CTE]))
 def q_item_recency_all_rows(spark, sf_dir):
     """F7 variant: every row of the item-month gets the gap."""
-    return panel.item_recency(full_panel(spark, sf_dir), all_rows=True)
+    return panel.item_recency(full_panel(spark, sf_dir, materialized=True), all_rows=True)
 
 
 FEATURES_SQL = psql(f"""SELECT date_block_num, shop_id, item_id, item_cnt_month, {LAG_COLS},

@@ -32,6 +32,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
+_MEMO: dict = {}
+
+
+def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Derived dimension tables are materialised once per session and path
+    (small, reused by most queries; stored in the shared checkpoint folder)."""
+    from unitcast.operators.joins import materialize
+    k = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", "")) + key
+    if k not in _MEMO:
+        _MEMO[k] = materialize(build())
+    return _MEMO[k]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -71,9 +84,11 @@ def _category_name() -> F.Column:
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_category_id, item_category_name); ids in binary name order."""
-    names = (table(spark, sf_dir, "part")
-             .select(_category_name().alias("item_category_name")).distinct())
-    return consecutive_ids(names, ["item_category_name"], "item_category_id")
+    def build():
+        names = (table(spark, sf_dir, "part")
+                 .select(_category_name().alias("item_category_name")).distinct())
+        return consecutive_ids(names, ["item_category_name"], "item_category_id")
+    return _memo(spark, ("categories", sf_dir), build)
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +144,9 @@ def request(spark: SparkSession, sf_dir: str, grain: str = "A",
     Pairs first sold in the (partial) target month are cold starts.
     ``ID`` numbers the pairs 0..n-1 in (shop_id, item_id) order.
     """
-    s = sales_grain(spark, sf_dir, grain)
-    pairs = (s.filter(F.col("date_block_num").between(first_month, last_month))
-             .select("shop_id", "item_id").distinct())
-    return consecutive_ids(pairs, ["shop_id", "item_id"], "ID").select("ID", "shop_id", "item_id")
+    def build():
+        s = sales_grain(spark, sf_dir, grain)
+        pairs = (s.filter(F.col("date_block_num").between(first_month, last_month))
+                 .select("shop_id", "item_id").distinct())
+        return consecutive_ids(pairs, ["shop_id", "item_id"], "ID").select("ID", "shop_id", "item_id")
+    return _memo(spark, ("request", sf_dir, grain, first_month, last_month), build)
