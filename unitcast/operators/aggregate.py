@@ -58,8 +58,12 @@ def pivot_months(df: DataFrame, keys, column: str, value: str, agg: str = "sum",
                  domain=None, fill=0.0, prefix: str = "m_") -> DataFrame:
     """One column per month (explicit domain, so no extra pass)."""
     fn = {"sum": F.sum, "avg": F.avg, "mean": F.avg, "count": F.count}[agg]
-    domain = list(domain)
-    out = df.groupBy(*keys).pivot(column, domain).agg(fn(value))
+    if domain is None:   # let Spark find the (bounded) distinct values
+        out = df.groupBy(*keys).pivot(column).agg(fn(value))
+        domain = [c for c in out.columns if c not in keys]
+    else:
+        domain = list(domain)
+        out = df.groupBy(*keys).pivot(column, domain).agg(fn(value))
     out = out.select(*keys, *[F.col(f"`{d}`").alias(f"{prefix}{d}") for d in domain])
     if fill is not None:
         out = out.na.fill(fill, subset=[f"{prefix}{d}" for d in domain])

@@ -354,3 +354,53 @@ def q_gbt_matrix_predictions(spark, sf_dir):
     test = req.join(lm.filter(F.col("anchor") == TM), ["shop_id", "item_id"], "left")
     test = clean.fill_numeric(test, 0.0, HIST_LAGS + ["cats_code"])
     return models.score(model, test).select("ID", LABEL)
+
+
+# ---- E14 + C4: shop x category heat map over history and request rows ------------
+
+HEATMAP_SQL = sql(["monthly", "request", "items"], """SELECT shop_id, COALESCE(COLUMNS(* EXCLUDE (shop_id)), 0)
+FROM (PIVOT (SELECT m.shop_id, i.item_category_id, m.item_cnt_month FROM monthly m
+             LEFT JOIN items i ON m.item_id = i.item_id
+             UNION ALL SELECT r.shop_id, i.item_category_id, CAST(0.0 AS DOUBLE) FROM request r
+             LEFT JOIN items i ON r.item_id = i.item_id)
+      ON 'cat_' || item_category_id USING count(item_cnt_month) GROUP BY shop_id)""")
+
+
+@query("shop_category_heatmap", HEATMAP_SQL)
+def q_shop_category_heatmap(spark, sf_dir):
+    """E14 + C4: history and request rows stacked by name (the request side
+    lacks the month columns), then non-null units counted per shop x
+    category; one column per category present (Spark finds the values)."""
+    items = tpch.items(spark, sf_dir).select("item_id", "item_category_id")
+    hist = monthly(spark, sf_dir).join(items, "item_id", "left")
+    req = tpch.request(spark, sf_dir).join(items, "item_id", "left").withColumn(LABEL, F.lit(0.0))
+    both = panel.union_aligned(hist, req.drop("ID"))
+    return agg.pivot_months(both, ["shop_id"], "item_category_id", LABEL, "count", None,
+                            fill=0, prefix="cat_")
+
+
+# ---- H11 degenerate variant -----------------------------------------------------
+
+@query("cold_start_fill_flat", sql(["monthly", "request"], f"""SELECT ID, {srnd('x', 6)} AS item_cnt_month FROM (
+  SELECT ID, CASE WHEN y IS NULL THEN NULL ELSE least(greatest(y, {config.CLIP_LO}), {config.CLIP_HI}) END AS x
+  FROM (SELECT ID, coalesce(pred, v * {config.COLD_START_FACTOR}) AS y
+        FROM j CROSS JOIN (SELECT avg(pred) AS v FROM j)))""", COLD_SQL_CTES))
+def q_cold_start_fill_flat(spark, sf_dir):
+    """H11 (text-regression variant): missing pairs get mean x factor."""
+    out = cold_start_fill(tpch.request(spark, sf_dir), pair_mean_pred(spark, sf_dir), use_item_index=False)
+    return out.withColumn(LABEL, rnd(LABEL, 6))
+
+
+# ---- A7: model persisted and reloaded ---------------------------------------------
+
+@query("linreg_model_roundtrip")
+def q_linreg_model_roundtrip(spark, sf_dir):
+    """A7 + H3: fitted pipeline saved with the ML writer, loaded, applied."""
+    from pyspark.ml import PipelineModel
+    lm, _, model = _linreg(spark, sf_dir)
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    files.save_model(model, path)
+    loaded = PipelineModel.load(path)
+    scoring = lm.filter(F.col("anchor") == TM)
+    return models.score(loaded, scoring, clip_range=(config.CLIP_LO, config.CLIP_HI)).select(
+        "shop_id", "item_id", LABEL)
