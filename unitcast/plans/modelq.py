@@ -230,11 +230,18 @@ def flat_tables(spark, sf_dir, grain="B", with_text=False):
     return checkpointed(hist), checkpointed(req)
 
 
+_FORESTS: dict = {}
+
+
 def _forest(spark, sf_dir):
-    hist, req = flat_tables(spark, sf_dir)
-    feats = models.feature_columns(hist, LABEL)
-    model = models.fit_forest(hist, feats, LABEL)
-    return hist, req, feats, model
+    """Flat tables and the fitted forest, shared by the forest queries of one
+    session (the tables are checkpointed, so the model stays valid)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FORESTS:
+        hist, req = flat_tables(spark, sf_dir)
+        feats = models.feature_columns(hist, LABEL)
+        _FORESTS[key] = (hist, req, feats, models.fit_forest(hist, feats, LABEL))
+    return _FORESTS[key]
 
 
 @query("forest_predictions")
