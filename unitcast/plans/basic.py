@@ -29,6 +29,7 @@ def monthly(spark, sf_dir, grain="A"):
 
 @query("load_sales", sql(["sales"], f"SELECT {SALES_COLS} FROM sales"))
 def q_load_sales(spark, sf_dir):
+    """A1/A2: daily sales fact read from the star schema (adapter, grain A)."""
     return tpch.sales(spark, sf_dir)
 
 
@@ -42,6 +43,7 @@ def q_monthly_sales(spark, sf_dir):
 WHERE item_price > {OUTLIER['price_gt']} AND item_price < {OUTLIER['price_lt']}
   AND item_cnt_day < {OUTLIER['count_lt']}"""))
 def q_clean_outliers(spark, sf_dir):
+    """Price and count range filter (pushed into the parquet scan)."""
     return clean.clean_outliers(tpch.sales(spark, sf_dir), **OUTLIER)
 
 
@@ -84,6 +86,7 @@ def q_remap_keys(spark, sf_dir):
        ELSE least(greatest(item_cnt_month, {config.CLIP_LO}), {config.CLIP_HI}) END AS item_cnt_month
 FROM monthly"""))
 def q_clip_target(spark, sf_dir):
+    """Monthly units clipped to [0, 20], NULL kept."""
     return monthly(spark, sf_dir).withColumn("item_cnt_month", clip("item_cnt_month"))
 
 

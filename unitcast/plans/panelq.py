@@ -318,5 +318,6 @@ LEFT JOIN items i ON r.item_id = i.item_id
 LEFT JOIN categories c ON i.item_category_id = c.item_category_id
 LEFT JOIN shops s ON r.shop_id = s.shop_id""", FLAT_CTES))
 def q_scoring_frame(spark, sf_dir):
+    """H12 + B9: request rows with pair mean, holdout units, names and constants."""
     f = scoring_frame(spark, sf_dir)
     return f.withColumn("item_cnt_month_mean", rnd("item_cnt_month_mean", 6)).select(*SCORING_COLS)
