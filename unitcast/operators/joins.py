@@ -40,3 +40,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
     if row_bound(df, max_rows) is None:
         return df, False
     return F.broadcast(df), True
+
+
+def materialize_bucketed(df: DataFrame, keys: list[str], order: list[str] | None = None,
+                         buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed (and sorted) by ``keys`` in the shared
+    checkpoint folder and read it back.  Unlike a checkpoint, the bucketed
+    scan reports hash partitioning on ``keys``, so windows, aggregates and
+    joins on those keys run without another exchange."""
+    import uuid
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"unitcast_{uuid.uuid4().hex}"
+    (df.write.bucketBy(n, *keys).sortBy(*(order or keys))
+       .option("path", config.scratch_path(spark, name)).saveAsTable(name))
+    return spark.table(name)

@@ -11,7 +11,7 @@ from unitcast import config
 from unitcast.functions.columns import clip, exact_mean, rnd
 from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, panel
-from unitcast.operators.joins import materialize
+from unitcast.operators.joins import materialize, materialize_bucketed
 from unitcast.plans.basic import monthly
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, exact_mean as sexact_mean, rnd as srnd, sql
@@ -42,7 +42,9 @@ def full_panel(spark, sf_dir, grain="B", materialized=False):
            .withColumn("date_block_num", F.lit(TM).cast("int")))
     monthly = agg.monthly_sales(panel_sales(spark, sf_dir, grain))
     p = panel.dense_panel(monthly, extra_keys=req).select(*KEYS, "item_cnt_month")
-    return materialize(p) if materialized else p
+    if materialized:   # bucketed on the pair: later pair windows need no exchange
+        return materialize_bucketed(p, ["shop_id", "item_id"], ["shop_id", "item_id", "date_block_num"])
+    return p
 
 
 def panel_features(spark, sf_dir, grain="B"):

@@ -39,7 +39,7 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Derived dimension tables are materialised once per session and path
     (small, reused by most queries; stored in the shared checkpoint folder)."""
     from unitcast.operators.joins import materialize
-    k = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", "")) + key
+    k = (spark.sparkContext.applicationId, config.ensure_checkpoint_dir(spark)) + key
     if k not in _MEMO:
         _MEMO[k] = materialize(build())
     return _MEMO[k]
