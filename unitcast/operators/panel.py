@@ -55,8 +55,9 @@ def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: D
     # key).  An aggregate accepts the (shop, item) partitioning for its
     # (shop, item, month) keys, so no second shuffle, and the pair windows
     # downstream reuse it too.
-    n = int(monthly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = grid.unionByName(monthly).repartition(n, S, I)
+    # Column-only repartition: AQE may coalesce the partitions (they stay
+    # hash-partitioned on the pair) to its advisory size.
+    cells = grid.unionByName(monthly).repartition(S, I)
     out = cells.groupBy(S, I, T).agg(F.max(value).alias(value))
     return out.select(T, S, I, clip(F.coalesce(F.col(value), F.lit(0.0)), config.CLIP_LO, clip_hi).alias(value))
 

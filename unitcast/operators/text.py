@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unitcast import config
+from unitcast.operators.joins import materialize
 from unitcast.functions.columns import dash_subtype, dash_type, first_token, text_length, tokens, word_count
 
 
@@ -27,7 +28,10 @@ def category_type_subtype(df: DataFrame, name: str = "item_category_name") -> Da
 
 def term_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id, term, tf): term counts per document over the whole text."""
+    # The explicit not-null filter keeps the vocabulary and transform branches
+    # identical, so the token shuffle is computed once and reused by both.
     return (df.select(F.col(id_col).alias("_id"), F.explode(tokens(text)).alias("term"))
+            .filter(F.col("term").isNotNull())
             .groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
             .withColumnRenamed("_id", id_col))
 
@@ -66,7 +70,10 @@ def tfidf_transform(df: DataFrame, vocab: DataFrame, id_col: str, text: str,
 
 
 def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = config.TFIDF_TERMS) -> DataFrame:
-    counts = term_counts(df, id_col, text)
+    """G3 fit + transform.  Texts are tokenised once: the (id, term, tf)
+    counts are stored in the shared checkpoint folder and read by both the
+    vocabulary fit and the transform."""
+    counts = materialize(term_counts(df, id_col, text))
     vocab = tfidf_fit(df, id_col, text, max_features, counts=counts)
     return tfidf_transform(df, vocab, id_col, text, counts=counts)
 
