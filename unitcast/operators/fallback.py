@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from unitcast import config
 from unitcast.functions.columns import clip
 from unitcast.operators.aggregate import share_index, with_scalar
+from unitcast.operators.clean import fill_from
 
 
 def cold_start_fill(request: DataFrame, preds: DataFrame, factor: float = config.COLD_START_FACTOR,
@@ -32,7 +33,6 @@ def cold_start_fill(request: DataFrame, preds: DataFrame, factor: float = config
         third = F.col("_v") * F.col("_shop_idx") * F.lit(factor)
     else:
         second = third = F.col("_v") * F.lit(factor)
-    value = F.coalesce(F.col(pred), second, third)
-    if clip_range is not None:
-        value = clip(value, *clip_range)
+    s = fill_from(s.withColumn(out, F.col(pred)), out, second, third)   # B13 cascade
+    value = clip(out, *clip_range) if clip_range is not None else F.col(out)
     return s.select(id_col, value.alias(out))

@@ -1 +1,8 @@
-"""unitcast.streaming."""
+"""unitcast.streaming — intentionally empty.
+
+The reference reads whole files only: it has no watermarks, event-time
+windows, state or late-data handling (SURVEY section 2.I), so there is no
+streaming operator to rebuild.  Monthly aggregation (E2) is an ordinary
+partial aggregate; if daily files arrived continuously it could run under
+``readStream`` unchanged, but no such operator is part of this package.
+"""
