@@ -11,7 +11,7 @@ from unitcast import config
 from unitcast.functions.columns import clip, exact_mean, rnd
 from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, panel
-from unitcast.operators.joins import materialize, materialize_bucketed
+from unitcast.operators.joins import materialize_bucketed
 from unitcast.plans.basic import monthly
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, exact_mean as sexact_mean, rnd as srnd, sql
