@@ -189,7 +189,18 @@ def q_linreg_predictions(spark, sf_dir):
 NAME_COLS = ["shop_name", "item_category_name", "item_name"]
 
 
+_FLAT: dict = {}
+
+
 def flat_tables(spark, sf_dir, grain="B", with_text=False):
+    """Flat history and scoring frame (checkpointed once per session)."""
+    key = (spark.sparkContext.applicationId, sf_dir, grain, with_text)
+    if key not in _FLAT:
+        _FLAT[key] = _flat_tables(spark, sf_dir, grain, with_text)
+    return _FLAT[key]
+
+
+def _flat_tables(spark, sf_dir, grain="B", with_text=False):
     """Flat history and scoring frame with names label-encoded on the union
     of both domains (H12, E3, E4, F8, G6, C5)."""
     s = tpch.sales_grain(spark, sf_dir, grain).filter(F.col("date_block_num") <= H)
@@ -290,7 +301,18 @@ def q_gbt_text_predictions(spark, sf_dir):
 
 # ---- H6: boosted trees on the panel features (grain B) ----------------------------
 
+_PANEL_FRAMES: dict = {}
+
+
 def panel_model_frame(spark, sf_dir):
+    """Panel model frame, checkpointed once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PANEL_FRAMES:
+        _PANEL_FRAMES[key] = _panel_model_frame(spark, sf_dir)
+    return _PANEL_FRAMES[key]
+
+
+def _panel_model_frame(spark, sf_dir):
     """Panel features plus the shop city code and category type/subtype codes."""
     p = panel_features(spark, sf_dir)
     shops = text.shop_city(tpch.shops_grain(spark, sf_dir, "B"))
@@ -411,3 +433,39 @@ def q_linreg_model_roundtrip(spark, sf_dir):
     scoring = lm.filter(F.col("anchor") == TM)
     return models.score(loaded, scoring, clip_range=(config.CLIP_LO, config.CLIP_HI)).select(
         "shop_id", "item_id", LABEL)
+
+
+# ---- remaining script pipelines: text forest, slow boosted on text and panel -------
+
+@query("forest_text_predictions")
+def q_forest_text_predictions(spark, sf_dir):
+    """H4 + G1-G3: forest (25 trees, depth 15) on the flat table with name
+    length, word count and TF-IDF columns."""
+    hist, req = flat_tables(spark, sf_dir, with_text=True)
+    feats = models.feature_columns(hist, LABEL)
+    model = models.fit_forest(hist, feats, LABEL)
+    return models.score(model, req, MODEL_CLIP).select("ID", LABEL)
+
+
+@query("gbt_slow_text_predictions")
+def q_gbt_slow_text_predictions(spark, sf_dir):
+    """H7 + G1-G3: slow-rate boosted trees (200 rounds, rate 0.03) on the flat
+    table with text features; log1p target, inverted and clipped."""
+    hist, req = flat_tables(spark, sf_dir, with_text=True)
+    hist = hist.withColumn(LABEL, F.log1p(LABEL))
+    feats = models.feature_columns(hist, LABEL)
+    train, _, _ = models.temporal_split(hist)
+    model = models.fit_boosted(train, feats, LABEL, **models.BOOSTED_SLOW)
+    return models.score(model, req, MODEL_CLIP, invert_log=True).select("ID", LABEL)
+
+
+@query("gbt_slow_panel_predictions")
+def q_gbt_slow_panel_predictions(spark, sf_dir):
+    """H7: slow-rate boosted trees on the panel features (train < holdout),
+    request month scored and clipped."""
+    p = panel_model_frame(spark, sf_dir)
+    feats = models.feature_columns(p, LABEL, drop_month=False)
+    train, _, test = models.temporal_split(p)
+    model = models.fit_boosted(train, feats, LABEL, **models.BOOSTED_SLOW)
+    pred = models.score(model, test).select("shop_id", "item_id", LABEL)
+    return tpch.request(spark, sf_dir, "B").join(pred, ["shop_id", "item_id"], "left").select("ID", LABEL)
