@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unitcast import config
-from unitcast.functions.columns import clip, exact_mean, first_truthy
+from unitcast.functions.columns import clip, first_truthy
 from unitcast.operators.joins import checked_broadcast, materialize
 
 T, S, I = "date_block_num", "shop_id", "item_id"
+DEC = "decimal(28,10)"   # same scale as functions.columns.exact_mean
 PAIR = (S, I)
 
 
@@ -94,8 +95,16 @@ def price_trend(panel: DataFrame, sales: DataFrame, lags=config.PRICE_LAGS,
                 name: str = "delta_price_lag") -> DataFrame:
     """Relative change of lagged month-item mean price against the
     item's overall mean price; first usable lag picked per ``mode``."""
-    item_mean, _ = checked_broadcast(sales.groupBy(I).agg(exact_mean(price).alias("_item_avg")))
-    month_item, _ = checked_broadcast(sales.groupBy(T, I).agg(exact_mean(price).alias("_mi_avg")))
+    # One pass over the sales: exact decimal (sum, count) per month-item; the
+    # item mean is the sum of those sums over the sum of counts (exact, so
+    # equal to a direct mean), read from the stored month-item table.
+    mi = materialize(sales.groupBy(T, I).agg(
+        F.sum(F.col(price).cast(DEC)).alias("_s"), F.count(price).alias("_n")))
+    item_mean, _ = checked_broadcast(mi.groupBy(I).agg(
+        (F.sum("_s").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("_item_avg")))
+    month_item, _ = checked_broadcast(mi.select(
+        T, I, (F.col("_s").cast("double") / F.nullif(F.col("_n"), F.lit(0))).alias("_mi_avg")),
+        materialized=True)
     out = panel.join(item_mean, I, "left").join(month_item, [T, I], "left")
     out = add_lags(out, "_mi_avg", lags)
     deltas = [((F.col(f"_mi_avg_lag_{k}") - F.col("_item_avg")) / F.col("_item_avg")) for k in lags]

@@ -226,13 +226,13 @@ def _flat_tables(spark, sf_dir, grain="B", with_text=False):
         return out
 
     hist = dims(m.join(mean, ["shop_id", "item_id"], "left").join(prev, ["shop_id", "item_id"], "left"))
-    hist = clean.fill_numeric(hist, 0.0)
+    hist = checkpointed(clean.fill_numeric(hist, 0.0))   # encoder domains read stored rows
     req = (tpch.request(spark, sf_dir, grain)
            .withColumn("month", F.lit(TM % 12 + 1).cast("int"))
            .withColumn("year", F.lit(config.BASE_YEAR + TM // 12).cast("int"))
            .withColumn("date_block_num", F.lit(TM).cast("int")))
     req = dims(req.join(mean, ["shop_id", "item_id"], "left").join(prev, ["shop_id", "item_id"], "left"))
-    req = clean.fill_numeric(req, 0.0).withColumn(LABEL, F.lit(0.0))
+    req = checkpointed(clean.fill_numeric(req, 0.0).withColumn(LABEL, F.lit(0.0)))
     for c in NAME_COLS:
         codes = encode.encode_fit(hist, req, c=c)
         hist = encode.encode_apply(hist, c, codes)
