@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from unitcast.functions.columns import col
+from unitcast.operators.joins import materialize
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
            T.DoubleType, T.DecimalType)
@@ -47,7 +48,8 @@ def _select_rank(values: DataFrame, k: int, n: int, max_exact: int,
         ).first()
         below, inside = int(stats.below or 0), int(stats.inside or 0)
         if below <= k < below + inside and inside < n:
-            values = values.filter(F.col("v").between(lo, hi))
+            # Store the (much smaller) bracket: the next round reads only it.
+            values = materialize(values.filter(F.col("v").between(lo, hi)))
             k, n = k - below, inside
         elif eps >= 0.5:
             break
@@ -67,6 +69,8 @@ def exact_median(df: DataFrame, c: str, max_exact: int = 200_000,
     n = values.count()
     if n == 0:
         return None
+    if n > max_exact:   # several passes follow: read stored values, not the source
+        values = materialize(values)
     lo = _select_rank(values, (n - 1) // 2, n, max_exact, accuracy)
     hi = lo if n % 2 == 1 else _select_rank(values, n // 2, n, max_exact, accuracy)
     return (lo + hi) / 2.0
