@@ -42,11 +42,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
-    spark = config.local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="unitcast-bench")
+    log_dir = os.environ.get("BENCH_EVENTLOG")   # optional: stage times via tools/stage_times.py
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = config.local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="unitcast-bench",
+                                 extra_conf=extra)
     times: dict[str, float] = {}
     for name, fn in HEADLINE.items():
         if only and name not in only:
             continue
+        spark.sparkContext.setJobDescription(name)
         t0 = time.perf_counter()
         fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)

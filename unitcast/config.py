@@ -49,7 +49,7 @@ def cluster_conf() -> dict[str, str]:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "unitcast") -> SparkSession:
+                  app: str = "unitcast", extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and the local bench (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -63,6 +63,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("UNITCAST_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
