@@ -60,3 +60,26 @@ def test_score_inverts_log(frame):
     m = models.fit_linear(lg, ["x1", "x2"], "y")
     out = models.score(m, lg, invert_log=True, clip_range=None)
     assert out.agg(F.min("item_cnt_month")).first()[0] > -1.0
+
+
+def test_reference_boosted_settings_are_valid(frame):
+    """H7 / H8 parameter sets map onto Spark ML names (few rounds here)."""
+    feats = ["x1", "x2"]
+    for params in (models.BOOSTED_SLOW, models.BOOSTED_MATRIX, models.BOOSTED_ES):
+        m = models.fit_boosted(frame, feats, "item_cnt_month", **dict(params, maxIter=3))
+        assert len(m.stages[-1].trees) == 3
+
+
+def test_model_round_trip(spark, frame):
+    import os
+    import uuid
+    from pyspark.ml import PipelineModel
+    from unitcast.config import scratch_path
+    from unitcast.sources.files import save_model
+    m = models.fit_linear(frame, ["x1", "x2"], "item_cnt_month")
+    path = scratch_path(spark, f"model-{uuid.uuid4().hex}")
+    save_model(m, path)
+    assert os.path.isdir(path)
+    a = [r.item_cnt_month for r in models.score(m, frame, clip_range=None).collect()]
+    b = [r.item_cnt_month for r in models.score(PipelineModel.load(path), frame, clip_range=None).collect()]
+    assert a == b
