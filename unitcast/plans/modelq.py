@@ -381,7 +381,8 @@ def q_gbt_matrix_predictions(spark, sf_dir):
     model = models.fit_boosted(lm.filter(F.col("anchor") == H), feats, "lag_0", **models.BOOSTED_MATRIX)
     req = tpch.request(spark, sf_dir, "B")
     test = req.join(lm.filter(F.col("anchor") == TM), ["shop_id", "item_id"], "left")
-    test = clean.fill_numeric(test, 0.0, HIST_LAGS + ["cats_code"])
+    test = clean.fill_numeric(test, 0.0, HIST_LAGS)
+    test = test.withColumn("cats_code", F.coalesce("cats_code", F.lit(-1)))   # unknown pair: no code
     return models.score(model, test).select("ID", LABEL)
 
 
