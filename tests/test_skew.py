@@ -42,7 +42,7 @@ def test_hot_key_share_index(hot):
 def test_hot_month_product(hot, bound):
     pdf, df = hot
     monthly = agg.monthly_sales(df, value="cnt")
-    dense = panel.dense_panel(monthly, max_broadcast_rows=bound)
+    dense = panel.dense_panel(monthly, max_broadcast_rows=bound, rows_per_task=100)   # hot month: ~10 salts
     m = pdf.groupby([T, S, I])["cnt"].sum().reset_index()
     shops = m.groupby(T)[S].nunique()
     items = m.groupby(T)[I].nunique()

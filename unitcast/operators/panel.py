@@ -21,15 +21,17 @@ def pair_window(keys=PAIR, time: str = T):
 
 
 def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: DataFrame | None = None,
-                salt: int = 32, clip_hi: float = config.CLIP_HI,
-                max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+                clip_hi: float = config.CLIP_HI, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS,
+                rows_per_task: int = 2_000_000, max_salt: int = 4096) -> DataFrame:
     """Every shop seen in a month x every item seen in that month.
 
-    The product is an equi-join on month.  The smaller of the two
-    (month, key) sides is broadcast when its row count is proven under
-    ``max_broadcast_rows``; beyond that the larger side is salted into
-    ``salt`` buckets and the smaller one replicated per bucket, so a month
-    holding a large share of the rows is spread over ``salt`` tasks.
+    The product is an equi-join on month.  Per-month distinct counts (one
+    row per month) give both side sizes: the smaller side is broadcast when
+    its total is proven under ``max_broadcast_rows``.  Otherwise each month
+    gets its own salt count, sized so one task emits about
+    ``rows_per_task`` product rows: the item side is hashed into that many
+    buckets and the shop side replicated per bucket, so a month holding a
+    large share of the rows is spread over proportionally many tasks.
     ``extra_keys`` (month, shop, item) rows (e.g. the request month) join the
     grid before its single repartition on (shop_id, item_id), the
     partitioning every pair window downstream reuses.  ``value`` is NULL -> 0,
@@ -38,15 +40,17 @@ def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: D
     monthly = materialize(monthly.select(T, S, I, value))
     shops_m = monthly.select(T, S).distinct()
     items_m = monthly.select(T, I).distinct()
-    # Both side sizes in one job over the stored monthly table.
-    sizes = monthly.agg(F.count_distinct(T, S).alias("ns"), F.count_distinct(T, I).alias("ni")).first()
-    if min(sizes.ns, sizes.ni) <= max_broadcast_rows:
-        small, big = (shops_m, items_m) if sizes.ns <= sizes.ni else (items_m, shops_m)
+    per_month = monthly.groupBy(T).agg(F.count_distinct(S).alias("ns"),
+                                       F.count_distinct(I).alias("ni")).collect()   # one row per month
+    ns, ni = sum(r.ns for r in per_month), sum(r.ni for r in per_month)
+    if min(ns, ni) <= max_broadcast_rows:
+        small, big = (shops_m, items_m) if ns <= ni else (items_m, shops_m)
         grid = big.join(F.broadcast(small), T)
     else:
-        big_key = I
-        big = items_m.withColumn("_salt", F.pmod(F.xxhash64(big_key), F.lit(salt)))
-        small = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        salts = {r[T]: max(1, min(max_salt, -(-r.ns * r.ni // rows_per_task))) for r in per_month}
+        salt_of = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(salts.items()) for x in kv]), F.col(T))
+        big = items_m.withColumn("_salt", F.pmod(F.xxhash64(I), salt_of))
+        small = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0), salt_of - 1)))
         grid = big.join(small, [T, "_salt"])
     grid = grid.select(T, S, I, F.lit(None).cast("double").alias(value))
     if extra_keys is not None:
