@@ -226,7 +226,7 @@ def q_item_month_mean_price(spark, sf_dir):
                        "date_item_avg_item_price", exact=True)
 
 
-def _clipped_monthly_sql():
+def clipped_monthly_sql():
     return f"""cm AS (SELECT date_block_num, shop_id, item_id,
   least(greatest(item_cnt_month, {config.CLIP_LO}), {config.CLIP_HI}) AS item_cnt_month FROM monthly
   WHERE date_block_num <= {H})"""
@@ -238,7 +238,7 @@ def _clipped_monthly(spark, sf_dir, grain="A"):
 
 
 @query("shop_share_index", sql(["monthly"], f"""SELECT shop_id, {srnd("shop_share", 6)} AS shop_share
-FROM ({share_sql("cm", "shop_id", "item_cnt_month", "shop_share")})""", [_clipped_monthly_sql()]))
+FROM ({share_sql("cm", "shop_id", "item_cnt_month", "shop_share")})""", [clipped_monthly_sql()]))
 def q_shop_share_index(spark, sf_dir):
     """Shop units as a share of the average shop."""
     s = agg.share_index(_clipped_monthly(spark, sf_dir), "shop_id", "item_cnt_month", "shop_share")
@@ -246,7 +246,7 @@ def q_shop_share_index(spark, sf_dir):
 
 
 @query("item_share_index", sql(["monthly"], f"""SELECT item_id, {srnd("item_share", 6)} AS item_share
-FROM ({share_sql("cm", "item_id", "item_cnt_month", "item_share")})""", [_clipped_monthly_sql()]))
+FROM ({share_sql("cm", "item_id", "item_cnt_month", "item_share")})""", [clipped_monthly_sql()]))
 def q_item_share_index(spark, sf_dir):
     """Item units as a share of the average item."""
     s = agg.share_index(_clipped_monthly(spark, sf_dir), "item_id", "item_cnt_month", "item_share")

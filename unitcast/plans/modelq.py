@@ -21,8 +21,8 @@ from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, encode, models, panel, text
 from unitcast.operators.fallback import cold_start_fill
 from unitcast.operators.joins import materialize
-from unitcast.plans.basic import _clipped_monthly_sql, monthly
-from unitcast.plans.panelq import PANEL_CTES, clipped_history, panel_features
+from unitcast.plans.basic import clipped_monthly_sql, monthly
+from unitcast.plans.panelq import PANEL_CTES, clipped_history, full_panel, panel_features
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, exact_sum as sexact_sum, rnd as srnd, share_sql, sql
 from unitcast.sources import files, tpch
@@ -31,8 +31,6 @@ LABEL = "item_cnt_month"
 MODEL_CLIP = (config.CLIP_LO, config.MODEL_CLIP_HI)
 
 
-checkpointed = materialize
-
 
 # ---- H1 ---------------------------------------------------------------------
 
@@ -42,7 +40,6 @@ checkpointed = materialize
                                     PANEL_CTES))
 def q_temporal_split_counts(spark, sf_dir):
     """H1: rows in the train / holdout / request splits of the panel."""
-    from unitcast.plans.panelq import full_panel
     p = full_panel(spark, sf_dir)
     split = (F.when(F.col("date_block_num") < H, "train")
               .when(F.col("date_block_num") == H, "holdout").otherwise("request"))
@@ -56,7 +53,7 @@ def pair_mean_pred(spark, sf_dir):
     return agg.mean_by(clipped_history(spark, sf_dir), ["shop_id", "item_id"], LABEL, "pred")
 
 
-PRED_CTES = [_clipped_monthly_sql(),
+PRED_CTES = [clipped_monthly_sql(),
              "pr AS (SELECT shop_id, item_id, avg(item_cnt_month) AS pred FROM cm GROUP BY shop_id, item_id)"]
 
 COLD_SQL_CTES = PRED_CTES + [
@@ -92,7 +89,7 @@ def q_output_means(spark, sf_dir):
     return out.withColumn("mean_item_cnt_month", rnd("mean_item_cnt_month", 6))
 
 
-EVAL_CTES = [_clipped_monthly_sql(),
+EVAL_CTES = [clipped_monthly_sql(),
              "pr AS (SELECT shop_id, item_id, avg(item_cnt_month) AS pred FROM cm GROUP BY shop_id, item_id)",
              f"""ev AS (SELECT c.item_cnt_month AS y, p.pred FROM cm c JOIN pr p
   ON c.shop_id = p.shop_id AND c.item_id = p.item_id WHERE c.date_block_num = {H})"""]
@@ -158,7 +155,7 @@ LAGS9 = [f"lag_{k}" for k in range(1, config.REGRESSION_LAGS + 1)]
 
 
 def _linreg(spark, sf_dir):
-    lm = checkpointed(panel.lag_matrix(clipped_history(spark, sf_dir), [H, TM]))
+    lm = materialize(panel.lag_matrix(clipped_history(spark, sf_dir), [H, TM]))
     train = lm.filter(F.col("anchor") == H)
     model = models.fit_linear(train, LAGS9, "lag_0")
     return lm, train, model
@@ -226,19 +223,19 @@ def _flat_tables(spark, sf_dir, grain="B", with_text=False):
         return out
 
     hist = dims(m.join(mean, ["shop_id", "item_id"], "left").join(prev, ["shop_id", "item_id"], "left"))
-    hist = checkpointed(clean.fill_numeric(hist, 0.0))   # encoder domains read stored rows
+    hist = materialize(clean.fill_numeric(hist, 0.0))   # encoder domains read stored rows
     req = (tpch.request(spark, sf_dir, grain)
            .withColumn("month", F.lit(TM % 12 + 1).cast("int"))
            .withColumn("year", F.lit(config.BASE_YEAR + TM // 12).cast("int"))
            .withColumn("date_block_num", F.lit(TM).cast("int")))
     req = dims(req.join(mean, ["shop_id", "item_id"], "left").join(prev, ["shop_id", "item_id"], "left"))
-    req = checkpointed(clean.fill_numeric(req, 0.0).withColumn(LABEL, F.lit(0.0)))
+    req = materialize(clean.fill_numeric(req, 0.0).withColumn(LABEL, F.lit(0.0)))
     for c in NAME_COLS:
         codes = encode.encode_fit(hist, req, c=c)
         hist = encode.encode_apply(hist, c, codes)
         req = encode.encode_apply(req, c, codes)
     hist = hist.withColumn(LABEL, clip(LABEL, *MODEL_CLIP))
-    return checkpointed(hist), checkpointed(req)
+    return materialize(hist), materialize(req)
 
 
 _FORESTS: dict = {}
@@ -323,7 +320,7 @@ def _panel_model_frame(spark, sf_dir):
     p = (p.join(shops.select("shop_id", "city_code"), "shop_id", "left")
           .join(cats.select(F.col("item_category_id").alias("item_id"), "item_category_id",
                             "type_code", "subtype_code"), "item_id", "left"))
-    return checkpointed(clean.fill_numeric(p, 0.0))
+    return materialize(clean.fill_numeric(p, 0.0))
 
 
 @query("gbt_es_predictions")
@@ -351,7 +348,7 @@ def _request_matrix(spark, sf_dir):
     req = tpch.request(spark, sf_dir, "B")
     rows = req.withColumn("anchor", F.explode(F.array(F.lit(H), F.lit(TM))))  # two anchors per row
     out = rows.join(lm, ["anchor", "shop_id", "item_id"], "left")
-    return checkpointed(clean.fill_numeric(out, 0.0, ["lag_0"] + HIST_LAGS))
+    return materialize(clean.fill_numeric(out, 0.0, ["lag_0"] + HIST_LAGS))
 
 
 @query("gbt_slow_predictions")
@@ -376,7 +373,7 @@ def q_gbt_matrix_predictions(spark, sf_dir):
     cats = clean.category_groups(tpch.categories(spark, sf_dir))
     cats = encode.encode_apply(cats, "cats", encode.encode_fit(cats, c="cats"), out="cats_code")
     lm = lm.join(cats.select(F.col("item_category_id").alias("item_id"), "cats_code"), "item_id")
-    lm = checkpointed(lm)
+    lm = materialize(lm)
     feats = ["shop_id", "item_id", "cats_code"] + HIST_LAGS
     model = models.fit_boosted(lm.filter(F.col("anchor") == H), feats, "lag_0", **models.BOOSTED_MATRIX)
     req = tpch.request(spark, sf_dir, "B")
