@@ -20,13 +20,19 @@ SMALL_DOMAIN_ROWS = 100_000
 
 
 def consecutive_ids(df: DataFrame, order_cols: list[str], name: str = "id",
-                    partitions: int | None = None, small_rows: int = SMALL_DOMAIN_ROWS) -> DataFrame:
+                    partitions: int | None = None, small_rows: int = SMALL_DOMAIN_ROWS,
+                    materialized: bool = False) -> DataFrame:
     """Append ``name`` = 0..n-1 following ``order_cols`` (must be unique).
 
-    A frame proven to hold at most ``small_rows`` rows (bounded count) is
+    The input is stored first (unless ``materialized``), so the size check
+    and the numbering read the same rows instead of computing them twice.  A
+    frame proven to hold at most ``small_rows`` rows (bounded count) is
     numbered by one sorted window in a single task; anything larger takes the
     distributed path below.
     """
+    from unitcast.operators.joins import materialize
+    if not materialized:
+        df = materialize(df)
     spark = df.sparkSession
     if small_rows and df.limit(small_rows + 1).count() <= small_rows:
         w = Window.orderBy(*order_cols)

@@ -149,5 +149,6 @@ def request(spark: SparkSession, sf_dir: str, grain: str = "A",
         from unitcast.operators.joins import materialize
         pairs = materialize(s.filter(F.col("date_block_num").between(first_month, last_month))
                             .select("shop_id", "item_id").distinct())   # size check + numbering read it
-        return consecutive_ids(pairs, ["shop_id", "item_id"], "ID").select("ID", "shop_id", "item_id")
+        return consecutive_ids(pairs, ["shop_id", "item_id"], "ID", materialized=True).select(
+            "ID", "shop_id", "item_id")
     return _memo(spark, ("request", sf_dir, grain, first_month, last_month), build)
