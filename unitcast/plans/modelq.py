@@ -21,6 +21,7 @@ from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, encode, models, panel, text
 from unitcast.operators.fallback import cold_start_fill
 from unitcast.operators.joins import materialize
+from unitcast.plans import pipelines
 from unitcast.plans.basic import clipped_monthly_sql, monthly
 from unitcast.plans.panelq import PANEL_CTES, clipped_history, full_panel, panel_features
 from unitcast.plans.registry import query
@@ -155,10 +156,8 @@ LAGS9 = [f"lag_{k}" for k in range(1, config.REGRESSION_LAGS + 1)]
 
 
 def _linreg(spark, sf_dir):
-    lm = materialize(panel.lag_matrix(clipped_history(spark, sf_dir), [H, TM]))
-    train = lm.filter(F.col("anchor") == H)
-    model = models.fit_linear(train, LAGS9, "lag_0")
-    return lm, train, model
+    lm = pipelines.regression_lags(tpch.sales(spark, sf_dir), H, TM)
+    return lm, lm.filter(F.col("anchor") == H), pipelines.regression_model(lm, H)
 
 
 @query("linreg_coefficients")
@@ -175,10 +174,7 @@ def q_linreg_coefficients(spark, sf_dir):
 @query("linreg_predictions")
 def q_linreg_predictions(spark, sf_dir):
     """H3 + H9 + H11: scoring-anchor predictions, cold-start fill, clip."""
-    lm, _, model = _linreg(spark, sf_dir)
-    scoring = lm.filter(F.col("anchor") == TM)
-    preds = models.score(model, scoring, clip_range=None, out="pred").select("shop_id", "item_id", "pred")
-    return cold_start_fill(tpch.request(spark, sf_dir), preds)
+    return pipelines.regression_predictions(tpch.sales(spark, sf_dir), tpch.request(spark, sf_dir), H, TM)
 
 
 # ---- flat monthly table + scoring frame (grain B) ---------------------------------

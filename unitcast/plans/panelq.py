@@ -8,54 +8,40 @@ import uuid
 from pyspark.sql import functions as F
 
 from unitcast import config
-from unitcast.functions.columns import clip, exact_mean, rnd
+from unitcast.functions.columns import exact_mean, rnd
 from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, panel
-from unitcast.operators.joins import materialize_bucketed
+from unitcast.plans import pipelines
 from unitcast.plans.basic import monthly
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, exact_mean as sexact_mean, rnd as srnd, sql
 from unitcast.sources import tpch
 
 KEYS = ["date_block_num", "shop_id", "item_id"]
-# The reference's outlier bounds for the panel pipeline.
-PANEL_PRICE_LT, PANEL_COUNT_LT = 100000.0, 1001.0
+PANEL_PRICE_LT, PANEL_COUNT_LT = pipelines.PANEL_PRICE_LT, pipelines.PANEL_COUNT_LT
 
 
-# ---- Spark side -------------------------------------------------------------
+# ---- Spark side: the generic pipelines on test-table frames ---------------------
 
 def panel_sales(spark, sf_dir, grain="B"):
-    s = tpch.sales_grain(spark, sf_dir, grain).filter(F.col("date_block_num") <= H)
-    return clean.clean_outliers(s, price_lt=PANEL_PRICE_LT, count_lt=PANEL_COUNT_LT)
+    return pipelines.panel_sales(tpch.sales_grain(spark, sf_dir, grain), H)
 
 
 def history_panel(spark, sf_dir, grain="B"):
     """Dense panel of the history months with the clipped target."""
-    return panel.dense_panel(agg.monthly_sales(panel_sales(spark, sf_dir, grain)))
+    return pipelines.dense_history_panel(tpch.sales_grain(spark, sf_dir, grain), H)
 
 
 def full_panel(spark, sf_dir, grain="B", materialized=False):
-    """C4: history panel plus the request month (target 0).  The request
-    keys enter the grid before its repartition, so the union costs no extra
-    shuffle; ``materialized`` checkpoints it for plans that read it twice."""
-    req = (tpch.request(spark, sf_dir, grain).select("shop_id", "item_id")
-           .withColumn("date_block_num", F.lit(TM).cast("int")))
-    monthly = agg.monthly_sales(panel_sales(spark, sf_dir, grain))
-    p = panel.dense_panel(monthly, extra_keys=req).select(*KEYS, "item_cnt_month")
-    if materialized:   # bucketed on the pair: later pair windows need no exchange
-        return materialize_bucketed(p, ["shop_id", "item_id"], ["shop_id", "item_id", "date_block_num"])
-    return p
+    """C4: history panel plus the request month (target 0)."""
+    return pipelines.request_panel(tpch.sales_grain(spark, sf_dir, grain), tpch.request(spark, sf_dir, grain),
+                                   TM, H, materialized=materialized)
 
 
 def panel_features(spark, sf_dir, grain="B"):
     """The whole feature table of the panel pipeline."""
-    p = full_panel(spark, sf_dir, grain, materialized=True)
-    p = panel.add_lags(p, "item_cnt_month", config.COUNT_LAGS)
-    p = panel.month_mean_lag(p)
-    p = panel.price_trend(p, panel_sales(spark, sf_dir, grain))
-    p = panel.pair_recency(p)
-    p = panel.item_recency(p)
-    return p.withColumn("delta_price_lag", rnd("delta_price_lag", 6))
+    return pipelines.panel_feature_table(tpch.sales_grain(spark, sf_dir, grain),
+                                         tpch.request(spark, sf_dir, grain), TM, H)
 
 
 # ---- SQL side ---------------------------------------------------------------
@@ -265,8 +251,7 @@ def q_prev_month_units(spark, sf_dir):
 
 
 def clipped_history(spark, sf_dir, grain="A"):
-    m = monthly(spark, sf_dir, grain).filter(F.col("date_block_num") <= H)
-    return m.withColumn("item_cnt_month", clip("item_cnt_month"))
+    return pipelines.clipped_monthly(tpch.sales_grain(spark, sf_dir, grain), H)
 
 
 LAG_MATRIX_SQL = sql(["monthly"], f"""SELECT a.anchor, c.shop_id, c.item_id,

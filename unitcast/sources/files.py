@@ -83,3 +83,31 @@ def save_predictions(df: DataFrame, path: str, split: str) -> None:
     """(split, keys, prediction) rows for later ensembling."""
     (df.withColumn("split", F.lit(split))
        .write.mode("append").partitionBy("split").parquet(path))
+
+
+# File names and column types of the original input tables.
+CSV_TABLES = {
+    "sales": ("sales_train.csv", {"date": "string", "date_block_num": "int", "shop_id": "bigint",
+                                  "item_id": "bigint", "item_price": "double", "item_cnt_day": "double"}),
+    "request": ("test.csv", {"ID": "bigint", "shop_id": "bigint", "item_id": "bigint"}),
+    "items": ("items.csv", {"item_id": "bigint", "item_name": "string", "item_category_id": "bigint"}),
+    "categories": ("item_categories.csv", {"item_category_id": "bigint", "item_category_name": "string"}),
+    "shops": ("shops.csv", {"shop_id": "bigint", "shop_name": "string"}),
+}
+
+
+def read_csv_tables(spark: SparkSession, data_dir: str, date_format: str = "dd.MM.yyyy") -> dict:
+    """A1/A2: the five input CSVs as sales-model frames.
+
+    Columns are read as text under their header names and cast by name, so
+    the column order inside a file does not matter and no inference pass is
+    made over the data; the sales date is parsed day-first.
+    """
+    out = {}
+    for key, (name, types) in CSV_TABLES.items():
+        raw = spark.read.csv(f"{data_dir.rstrip('/')}/{name}", header=True)
+        df = raw.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+        if key == "sales":
+            df = df.withColumn("date", parse_day_first("date", date_format))
+        out[key] = df
+    return out
