@@ -53,3 +53,18 @@ def test_regression_predictions(tables):
     assert sorted(got) == [0, 1, 2, 3]
     assert all(0.0 <= v <= 20.0 for v in got.values() if v is not None)
     assert got[3] is None            # unknown shop: no fallback level applies
+
+
+def test_model_frames_from_csv(tables):
+    hist, req = pipelines.flat_model_tables(tables["sales"], tables["request"], tables["items"],
+                                            tables["categories"], tables["shops"], holdout_month=3,
+                                            target_month=4, with_text=True)
+    assert req.count() == 4 and hist.count() == 12
+    assert {"shop_name", "item_name", "item_name_tfidf_0", "shop_name_word_count"} <= set(hist.columns)
+    assert dict(hist.dtypes)["item_name"] == "bigint"                  # label-encoded
+    unknown = req.filter(F.col("ID") == 3).first()
+    assert unknown.shop_name == -1                                     # shop 9 is not in shops.csv
+    pm = pipelines.panel_model_frame(tables["sales"], tables["request"], tables["items"],
+                                     tables["categories"], tables["shops"], target_month=4, holdout_month=3)
+    assert {"city_code", "type_code", "subtype_code", "item_category_id"} <= set(pm.columns)
+    assert pm.count() == 20

@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from unitcast import config
 from unitcast.config import scratch_path
-from unitcast.functions.columns import clip, exact_sum, rnd
+from unitcast.functions.columns import exact_sum, rnd
 from unitcast.operators import aggregate as agg
-from unitcast.operators import clean, encode, models, panel, text
+from unitcast.operators import clean, encode, models, panel
 from unitcast.operators.fallback import cold_start_fill
 from unitcast.operators.joins import materialize
 from unitcast.plans import pipelines
 from unitcast.plans.basic import clipped_monthly_sql, monthly
-from unitcast.plans.panelq import PANEL_CTES, clipped_history, full_panel, panel_features
+from unitcast.plans.panelq import PANEL_CTES, clipped_history, full_panel
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, exact_sum as sexact_sum, rnd as srnd, share_sql, sql
 from unitcast.sources import files, tpch
@@ -179,9 +179,6 @@ def q_linreg_predictions(spark, sf_dir):
 
 # ---- flat monthly table + scoring frame (grain B) ---------------------------------
 
-NAME_COLS = ["shop_name", "item_category_name", "item_name"]
-
-
 _FLAT: dict = {}
 
 
@@ -194,44 +191,10 @@ def flat_tables(spark, sf_dir, grain="B", with_text=False):
 
 
 def _flat_tables(spark, sf_dir, grain="B", with_text=False):
-    """Flat history and scoring frame with names label-encoded on the union
-    of both domains (H12, E3, E4, F8, G6, C5)."""
-    s = tpch.sales_grain(spark, sf_dir, grain).filter(F.col("date_block_num") <= H)
-    m = agg.sum_all_but(s.select("date_block_num", "shop_id", "item_id", F.month("date").alias("month"),
-                                 F.year("date").alias("year"), "item_cnt_day"), "item_cnt_day", LABEL)
-    mean = agg.mean_by(m, ["shop_id", "item_id"], LABEL, "item_cnt_month_mean")
-    prev = panel.previous_month_units(m, H)
-    items = tpch.items_grain(spark, sf_dir, grain)
-    cats = tpch.categories(spark, sf_dir)
-    shops = tpch.shops_grain(spark, sf_dir, grain)
-
-    def dims(df):
-        out = (df.join(items, "item_id", "left").join(cats, "item_category_id", "left")
-                 .join(shops, "shop_id", "left"))
-        if with_text:
-            for key, frame, col_name, prefix in (("item_id", items, "item_name", "item_name"),
-                                                ("item_category_id", cats, "item_category_name",
-                                                 "item_category_name"),
-                                                ("shop_id", shops, "shop_name", "shop_name")):
-                feats = text.text_stats(frame.select(key, col_name), col_name, prefix)
-                wide = text.tfidf_wide(text.tfidf(frame, key, col_name), key, prefix)
-                out = out.join(feats.drop(col_name), key, "left").join(wide, key, "left")
-        return out
-
-    hist = dims(m.join(mean, ["shop_id", "item_id"], "left").join(prev, ["shop_id", "item_id"], "left"))
-    hist = materialize(clean.fill_numeric(hist, 0.0))   # encoder domains read stored rows
-    req = (tpch.request(spark, sf_dir, grain)
-           .withColumn("month", F.lit(TM % 12 + 1).cast("int"))
-           .withColumn("year", F.lit(config.BASE_YEAR + TM // 12).cast("int"))
-           .withColumn("date_block_num", F.lit(TM).cast("int")))
-    req = dims(req.join(mean, ["shop_id", "item_id"], "left").join(prev, ["shop_id", "item_id"], "left"))
-    req = materialize(clean.fill_numeric(req, 0.0).withColumn(LABEL, F.lit(0.0)))
-    for c in NAME_COLS:
-        codes = encode.encode_fit(hist, req, c=c)
-        hist = encode.encode_apply(hist, c, codes)
-        req = encode.encode_apply(req, c, codes)
-    hist = hist.withColumn(LABEL, clip(LABEL, *MODEL_CLIP))
-    return materialize(hist), materialize(req)
+    return pipelines.flat_model_tables(
+        tpch.sales_grain(spark, sf_dir, grain), tpch.request(spark, sf_dir, grain),
+        tpch.items_grain(spark, sf_dir, grain), tpch.categories(spark, sf_dir),
+        tpch.shops_grain(spark, sf_dir, grain), H, TM, with_text=with_text, clip_hi=config.MODEL_CLIP_HI)
 
 
 _FORESTS: dict = {}
@@ -306,17 +269,10 @@ def panel_model_frame(spark, sf_dir):
 
 
 def _panel_model_frame(spark, sf_dir):
-    """Panel features plus the shop city code and category type/subtype codes."""
-    p = panel_features(spark, sf_dir)
-    shops = text.shop_city(tpch.shops_grain(spark, sf_dir, "B"))
-    shops = encode.encode_apply(shops, "city", encode.encode_fit(shops, c="city"), out="city_code")
-    cats = text.category_type_subtype(tpch.categories(spark, sf_dir))
-    cats = encode.encode_apply(cats, "type", encode.encode_fit(cats, c="type"), out="type_code")
-    cats = encode.encode_apply(cats, "subtype", encode.encode_fit(cats, c="subtype"), out="subtype_code")
-    p = (p.join(shops.select("shop_id", "city_code"), "shop_id", "left")
-          .join(cats.select(F.col("item_category_id").alias("item_id"), "item_category_id",
-                            "type_code", "subtype_code"), "item_id", "left"))
-    return materialize(clean.fill_numeric(p, 0.0))
+    return pipelines.panel_model_frame(
+        tpch.sales_grain(spark, sf_dir, "B"), tpch.request(spark, sf_dir, "B"),
+        tpch.items_grain(spark, sf_dir, "B"), tpch.categories(spark, sf_dir),
+        tpch.shops_grain(spark, sf_dir, "B"), TM, H)
 
 
 @query("gbt_es_predictions")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from unitcast import config
 from unitcast.functions.columns import clip, rnd
 from unitcast.operators import aggregate as agg
-from unitcast.operators import clean, models, panel
+from unitcast.operators import clean, encode, models, panel, text
 from unitcast.operators.fallback import cold_start_fill
 from unitcast.operators.joins import materialize, materialize_bucketed
 
@@ -98,3 +98,69 @@ def regression_predictions(sales: DataFrame, request: DataFrame,
     preds = models.score(model, lags.filter(F.col("anchor") == target_month), clip_range=None,
                          out="pred").select(S, I, "pred")
     return cold_start_fill(request, preds)
+
+
+# ---- model feature frames ----------------------------------------------------------
+
+NAME_COLS = ["shop_name", "item_category_name", "item_name"]
+LABEL = "item_cnt_month"
+
+
+def _with_dims(df: DataFrame, items: DataFrame, categories: DataFrame, shops: DataFrame,
+               with_text: bool) -> DataFrame:
+    """D2 lookups; with ``with_text`` also G1/G2 stats and 25 TF-IDF columns per name."""
+    out = (df.join(items, I, "left").join(categories, "item_category_id", "left").join(shops, S, "left"))
+    if with_text:
+        for key, frame, name in ((I, items, "item_name"), ("item_category_id", categories, "item_category_name"),
+                                 (S, shops, "shop_name")):
+            stats = text.text_stats(frame.select(key, name), name, name).drop(name)
+            wide = text.tfidf_wide(text.tfidf(frame, key, name), key, name)
+            out = out.join(stats, key, "left").join(wide, key, "left")
+    return out
+
+
+def flat_model_tables(sales: DataFrame, request: DataFrame, items: DataFrame, categories: DataFrame,
+                      shops: DataFrame, holdout_month: int = config.HOLDOUT_MONTH,
+                      target_month: int = config.TARGET_MONTH, with_text: bool = False,
+                      clip_hi: float = config.MODEL_CLIP_HI) -> tuple[DataFrame, DataFrame]:
+    """Flat monthly history (observed pairs) and the request scoring frame:
+    calendar parts (E3, G9), pair mean (E4), holdout-month units (F8),
+    dimension names label-encoded on history + request (G6, C5), constants
+    for the request month (B9, H12), numeric NULL -> 0 (B12).  Both frames
+    are stored; the history target is clipped to [0, clip_hi]."""
+    s = sales.filter(F.col(T) <= holdout_month)
+    m = agg.sum_all_but(s.select(T, S, I, F.month("date").alias("month"), F.year("date").alias("year"),
+                                 "item_cnt_day"), "item_cnt_day", LABEL)
+    mean = agg.mean_by(m, [S, I], LABEL, "item_cnt_month_mean")
+    prev = panel.previous_month_units(m, holdout_month)
+    hist = m.join(mean, [S, I], "left").join(prev, [S, I], "left")
+    hist = materialize(clean.fill_numeric(_with_dims(hist, items, categories, shops, with_text), 0.0))
+    req = (request.withColumn("month", F.lit(target_month % 12 + 1).cast("int"))
+           .withColumn("year", F.lit(config.BASE_YEAR + target_month // 12).cast("int"))
+           .withColumn(T, F.lit(target_month).cast("int")))
+    req = req.join(mean, [S, I], "left").join(prev, [S, I], "left")
+    req = materialize(clean.fill_numeric(_with_dims(req, items, categories, shops, with_text), 0.0)
+                      .withColumn(LABEL, F.lit(0.0)))
+    for c in NAME_COLS:      # encoder domains read the stored rows
+        codes = encode.encode_fit(hist, req, c=c)
+        hist = encode.encode_apply(hist, c, codes)
+        req = encode.encode_apply(req, c, codes)
+    hist = hist.withColumn(LABEL, clip(LABEL, config.CLIP_LO, clip_hi))
+    return materialize(hist), materialize(req)
+
+
+def panel_model_frame(sales: DataFrame, request: DataFrame, items: DataFrame, categories: DataFrame,
+                      shops: DataFrame, target_month: int = config.TARGET_MONTH,
+                      holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
+    """Panel feature table plus shop city code (G4), item category and its
+    type / subtype codes (G5), label-encoded (G6); stored for model fitting."""
+    p = panel_feature_table(sales, request, target_month, holdout_month)
+    sh = text.shop_city(shops)
+    sh = encode.encode_apply(sh, "city", encode.encode_fit(sh, c="city"), out="city_code")
+    ca = text.category_type_subtype(categories)
+    ca = encode.encode_apply(ca, "type", encode.encode_fit(ca, c="type"), out="type_code")
+    ca = encode.encode_apply(ca, "subtype", encode.encode_fit(ca, c="subtype"), out="subtype_code")
+    it = (items.select(I, "item_category_id")
+          .join(ca.select("item_category_id", "type_code", "subtype_code"), "item_category_id", "left"))
+    p = p.join(sh.select(S, "city_code"), S, "left").join(it, I, "left")
+    return materialize(clean.fill_numeric(p, 0.0))
