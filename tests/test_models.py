@@ -83,3 +83,9 @@ def test_model_round_trip(spark, frame):
     a = [r.item_cnt_month for r in models.score(m, frame, clip_range=None).collect()]
     b = [r.item_cnt_month for r in models.score(PipelineModel.load(path), frame, clip_range=None).collect()]
     assert a == b
+
+
+def test_tree_memory_budget(spark):
+    assert models._memory_mb("1g") == 1024 and models._memory_mb("512m") == 512
+    assert models._memory_mb("2048") == 2048 and models._memory_mb("4gb") == 4096
+    assert 64 <= models.tree_memory_mb(spark) <= 1024

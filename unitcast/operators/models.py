@@ -52,14 +52,39 @@ def fit_linear(train: DataFrame, features: list[str], label: str, **params) -> P
     return Pipeline(stages=[_assembler(features), lr]).fit(train)
 
 
+def _memory_mb(value: str) -> int:
+    v = value.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if v[-1:] == "b":
+        v = v[:-1]
+    return int(float(v[:-1]) * units[v[-1]]) if v[-1:] in units else int(v)   # no unit: MiB
+
+
+def tree_memory_mb(spark, share: float = 0.3, floor: int = 64, cap: int = 1024) -> int:
+    """Per-task budget for split statistics of deep trees, from the session's
+    executor memory and task slots: each running task may hold one such
+    buffer, so a fixed large value would exhaust a small heap."""
+    conf = spark.sparkContext.getConf()
+    master = conf.get("spark.master", "")
+    if master.startswith("local"):
+        mem = conf.get("spark.driver.memory", "1g")
+        slots = master[6:-1] if master.startswith("local[") else "1"
+        slots = int(slots) if slots.isdigit() else (spark.sparkContext.defaultParallelism or 1)
+    else:
+        mem = conf.get("spark.executor.memory", "1g")
+        slots = int(conf.get("spark.executor.cores", "1")) // max(1, int(conf.get("spark.task.cpus", "1")))
+    return max(floor, min(cap, int(_memory_mb(mem) * share / max(1, slots))))
+
+
 def fit_forest(train: DataFrame, features: list[str], label: str, num_trees: int = 25,
                max_depth: int = 15, seed: int = 42, **params) -> PipelineModel:
     """H4/H5: random forest; every tree sees all features at each split."""
     config.ensure_checkpoint_dir(train.sparkSession)   # node-id cache checkpoints
     params.setdefault("featureSubsetStrategy", "all")
     # Deep trees: keep each row's node id between levels instead of
-    # re-walking every tree, and split more nodes per pass over the data.
-    params.setdefault("maxMemoryInMB", 1024)
+    # re-walking every tree, and split as many nodes per pass as the
+    # per-task memory budget allows.
+    params.setdefault("maxMemoryInMB", tree_memory_mb(train.sparkSession))
     params.setdefault("cacheNodeIds", True)
     params.setdefault("checkpointInterval", 10)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
