@@ -130,3 +130,37 @@ def test_lag_matrix_rows_cover_all_pairs(spark):
     lm = panel.lag_matrix(df, [13], n_lags=3)
     assert lm.count() == pdf[[S, I]].drop_duplicates().shape[0]
     assert lm.filter(F.col("lag_0") < 0).count() == 0
+
+
+def _ref_trend(vals):
+    """Scan in order; a missing value stops the scan (becomes 0); 0 moves on."""
+    for v in vals:
+        if v is None:
+            return 0.0
+        if v != 0:
+            return v
+    return 0.0
+
+
+def _first_valid(vals):
+    return next((v for v in vals if v is not None and v != 0), 0.0)
+
+
+def test_trend_modes_match_python(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from unitcast.functions.columns import first_truthy
+
+    cell = st.one_of(st.none(), st.just(0.0), st.floats(-2, 2, allow_nan=False, allow_infinity=False))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.lists(cell, min_size=6, max_size=6), min_size=1, max_size=300))
+    def check(rows):
+        cols = [f"d{k}" for k in range(6)]
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                   "id int, " + ", ".join(f"{c} double" for c in cols))
+        out = df.select("id", first_truthy(cols).alias("ref"), first_truthy(cols, "first_valid").alias("fv"))
+        got = {r.id: (r.ref, r.fv) for r in out.collect()}
+        assert got == {i: (_ref_trend(r), _first_valid(r)) for i, r in enumerate(rows)}
+
+    check()
