@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from unitcast.operators.ids import consecutive_ids
+from unitcast.operators.joins import checked_broadcast
 
 
 def union_domain(*frames: DataFrame, c: str) -> DataFrame:
@@ -28,7 +29,9 @@ def encode_apply(df: DataFrame, c: str, codes: DataFrame, out: str | None = None
     """G6 apply: replace values by codes; values outside the domain get
     ``unknown`` (the reference's fill made them collide with code 0)."""
     out = out or c
-    m = codes.select(F.col("value").alias("_v"), F.col(code).alias("_code"))
+    # A code table has one row per distinct value: broadcast it when that
+    # count is proven small, so the (large) encoded side is not shuffled.
+    m, _ = checked_broadcast(codes.select(F.col("value").alias("_v"), F.col(code).alias("_code")))
     joined = df.join(m, df[c] == m["_v"], "left")
     return (joined.withColumn(out, F.coalesce(F.col("_code"), F.lit(unknown)).cast("bigint"))
             .drop("_v", "_code"))
