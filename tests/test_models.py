@@ -89,3 +89,21 @@ def test_tree_memory_budget(spark):
     assert models._memory_mb("1g") == 1024 and models._memory_mb("512m") == 512
     assert models._memory_mb("2048") == 2048 and models._memory_mb("4gb") == 4096
     assert 64 <= models.tree_memory_mb(spark) <= 1024
+
+
+def test_in_sample_error_beats_mean(frame):
+    from unitcast.operators import aggregate as agg
+    feats = ["x1", "x2", "shop_id", "item_id"]
+    base = frame.agg(F.stddev_pop("item_cnt_month")).first()[0]      # RMSE of predicting the mean
+    for m in (models.fit_forest(frame, feats, "item_cnt_month", num_trees=5, max_depth=6),
+              models.fit_boosted(frame, feats, "item_cnt_month", maxIter=10, maxDepth=4, seed=1),
+              models.fit_linear(frame, feats, "item_cnt_month")):
+        fitted = m.transform(frame)
+        assert agg.rmse(fitted, "item_cnt_month", "prediction").first()[0] <= base
+
+
+def test_prediction_rows_equal_request_rows(spark, frame):
+    train, _, _ = models.temporal_split(frame, holdout=10, target=11)
+    request = frame.filter(F.col("date_block_num") == 11).withColumn("ID", F.monotonically_increasing_id())
+    m = models.fit_linear(train, ["x1", "x2"], "item_cnt_month")
+    assert models.score(m, request).select("ID", "item_cnt_month").count() == request.count()
