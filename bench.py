@@ -46,6 +46,8 @@ def main() -> None:
     extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
     spark = config.local_session(cpus, shuffle_partitions=max(8, cpus * 2), app="unitcast-bench",
                                  extra_conf=extra)
+    # JVM warm-up on generated rows (no test data read), outside the timings.
+    spark.range(100_000).selectExpr("sum(id) AS s").collect()
     times: dict[str, float] = {}
     for name, fn in HEADLINE.items():
         if only and name not in only:
