@@ -28,9 +28,17 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_oracle(spark, smoke_dir, con, name):
     df = E.queries()[name](spark, smoke_dir)
+    rel = con.sql(E.oracle_sql()[name])
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == otypes
     ocols, orows = duck_rows(con, E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(ocols)
     srows = spark_rows(df)
