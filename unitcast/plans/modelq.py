@@ -200,12 +200,12 @@ def _flat_tables(spark, sf_dir, grain="B", with_text=False):
 _FORESTS: dict = {}
 
 
-def _forest(spark, sf_dir):
+def _forest(spark, sf_dir, with_text=False):
     """Flat tables and the fitted forest, shared by the forest queries of one
     session (the tables are checkpointed, so the model stays valid)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, with_text)
     if key not in _FORESTS:
-        hist, req = flat_tables(spark, sf_dir)
+        hist, req = flat_tables(spark, sf_dir, with_text=with_text)
         feats = models.feature_columns(hist, LABEL)
         _FORESTS[key] = (hist, req, feats, models.fit_forest(hist, feats, LABEL))
     return _FORESTS[key]
@@ -391,12 +391,25 @@ def q_linreg_model_roundtrip(spark, sf_dir):
 def q_forest_text_predictions(spark, sf_dir):
     """H4 + G1-G3: forest (25 trees, depth 15) on the flat table with name
     length, word count and TF-IDF columns."""
-    hist, req = flat_tables(spark, sf_dir, with_text=True)
-    feats = models.feature_columns(hist, LABEL)
-    model = models.fit_forest(hist, feats, LABEL)
+    _, req, _, model = _forest(spark, sf_dir, with_text=True)
     return models.score(model, req, MODEL_CLIP).select("ID", LABEL)
 
 
+@query("forest_text_top6_predictions")
+def q_forest_text_top6_predictions(spark, sf_dir):
+    """H5 on the text forest: refit on its six most important features."""
+    hist, req, feats, model = _forest(spark, sf_dir, with_text=True)
+    top6 = [f for f, _ in models.importances(model, feats)[:6]]
+    return models.score(models.fit_forest(hist, top6, LABEL), req, MODEL_CLIP).select("ID", LABEL)
+
+
+@query("r2_forest_text")
+def q_r2_forest_text(spark, sf_dir):
+    """E17 on the text forest: in-sample R^2 x 100."""
+    hist, _, _, model = _forest(spark, sf_dir, with_text=True)
+    return agg.r2_percent(model.transform(hist), LABEL, "prediction")
+
+
 @query("gbt_slow_text_predictions")
 def q_gbt_slow_text_predictions(spark, sf_dir):
     """H7 + G1-G3: slow-rate boosted trees (200 rounds, rate 0.03) on the flat
