@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from unitcast import config  # noqa: E402
 from unitcast.operators import panel  # noqa: E402
 from unitcast.plans import QUERIES  # noqa: E402
-from unitcast.plans import panelq  # noqa: E402
+from unitcast.plans import panelq, pipelines  # noqa: E402
+from unitcast.sources import tpch  # noqa: E402
 
 
 def panel_c(fn, reuse=False):
@@ -30,7 +31,7 @@ def panel_c(fn, reuse=False):
 HEADLINE = {
     "monthly_sales": QUERIES["monthly_sales"],
     "panel_lags": panel_c(lambda p, s, d: panel.add_lags(p, "item_cnt_month", config.COUNT_LAGS)),
-    "price_trend": panel_c(lambda p, s, d: panel.price_trend(p, panelq.panel_sales(s, d, "C"))),
+    "price_trend": lambda s, d: pipelines.price_trend_table(tpch.sales_grain(s, d, "C"), tpch.request(s, d, "C")),
     "item_recency": panel_c(lambda p, s, d: panel.item_recency(p), reuse=True),
     "tfidf_documents": QUERIES["tfidf_documents"],
     "gbt_es_predictions": QUERIES["gbt_es_predictions"],

@@ -22,7 +22,8 @@ def pair_window(keys=PAIR, time: str = T):
 
 def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: DataFrame | None = None,
                 clip_hi: float = config.CLIP_HI, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS,
-                rows_per_task: int = 2_000_000, max_salt: int = 4096) -> DataFrame:
+                rows_per_task: int = 2_000_000, max_salt: int = 4096,
+                monthly_stored: bool = False) -> DataFrame:
     """Every shop seen in a month x every item seen in that month.
 
     The product is an equi-join on month.  Per-month distinct counts (one
@@ -37,7 +38,9 @@ def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: D
     partitioning every pair window downstream reuses.  ``value`` is NULL -> 0,
     then clipped.
     """
-    monthly = materialize(monthly.select(T, S, I, value))
+    monthly = monthly.select(T, S, I, value)
+    if not monthly_stored:   # read three times below: store it once
+        monthly = materialize(monthly)
     shops_m = monthly.select(T, S).distinct()
     items_m = monthly.select(T, I).distinct()
     per_month = monthly.groupBy(T).agg(F.count_distinct(S).alias("ns"),
@@ -94,16 +97,24 @@ def month_mean_lag(panel: DataFrame, value: str = "item_cnt_month",
     return add_lags(out, name, [1]).drop(name)
 
 
-def price_trend(panel: DataFrame, sales: DataFrame, lags=config.PRICE_LAGS,
+def month_item_price_stats(sales: DataFrame, price: str = "item_price") -> DataFrame:
+    """(month, item, _s, _n): exact decimal price sum and count."""
+    return sales.groupBy(T, I).agg(F.sum(F.col(price).cast(DEC)).alias("_s"), F.count(price).alias("_n"))
+
+
+def price_trend(panel: DataFrame, sales: DataFrame | None = None, lags=config.PRICE_LAGS,
                 mode: str = "reference", price: str = "item_price",
-                name: str = "delta_price_lag") -> DataFrame:
+                name: str = "delta_price_lag", month_item_stats: DataFrame | None = None) -> DataFrame:
     """Relative change of lagged month-item mean price against the
-    item's overall mean price; first usable lag picked per ``mode``."""
-    # One pass over the sales: exact decimal (sum, count) per month-item; the
-    # item mean is the sum of those sums over the sum of counts (exact, so
-    # equal to a direct mean), read from the stored month-item table.
-    mi = materialize(sales.groupBy(T, I).agg(
-        F.sum(F.col(price).cast(DEC)).alias("_s"), F.count(price).alias("_n")))
+    item's overall mean price; first usable lag picked per ``mode``.
+
+    Means come from exact decimal (sum, count) per month-item, taken from
+    ``month_item_stats`` when given (e.g. rolled up from a stored
+    month-shop-item table, so the sales are not scanned again) or from
+    ``sales``; the item mean is the sum of sums over the sum of counts, which
+    is exact and therefore equal to a direct mean."""
+    stats = month_item_stats if month_item_stats is not None else month_item_price_stats(sales, price)
+    mi = materialize(stats.select(T, I, "_s", "_n"))
     item_mean, _ = checked_broadcast(mi.groupBy(I).agg(
         (F.sum("_s").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("_item_avg")))
     month_item, _ = checked_broadcast(mi.select(

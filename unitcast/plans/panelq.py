@@ -167,14 +167,16 @@ def q_price_lags(spark, sf_dir):
 @query("price_trend", psql("SELECT * FROM tr", _trend_ctes("reference")))
 def q_price_trend(spark, sf_dir):
     """first usable price trend, reference semantics (missing stops the scan)."""
-    p = panel.price_trend(full_panel(spark, sf_dir), panel_sales(spark, sf_dir), mode="reference")
+    p = pipelines.price_trend_table(tpch.sales_grain(spark, sf_dir, "B"), tpch.request(spark, sf_dir, "B"),
+                                    TM, H, mode="reference")
     return p.withColumn("delta_price_lag", rnd("delta_price_lag", 6))
 
 
 @query("price_trend_first_valid", psql("SELECT * FROM tr", _trend_ctes("first_valid")))
 def q_price_trend_first_valid(spark, sf_dir):
     """F5 variant: first non-missing, non-zero trend."""
-    p = panel.price_trend(full_panel(spark, sf_dir), panel_sales(spark, sf_dir), mode="first_valid")
+    p = pipelines.price_trend_table(tpch.sales_grain(spark, sf_dir, "B"), tpch.request(spark, sf_dir, "B"),
+                                    TM, H, mode="first_valid")
     return p.withColumn("delta_price_lag", rnd("delta_price_lag", 6))
 
 

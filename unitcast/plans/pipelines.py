@@ -40,14 +40,32 @@ def dense_history_panel(sales: DataFrame, holdout_month: int = config.HOLDOUT_MO
     return panel.dense_panel(agg.monthly_sales(panel_sales(sales, holdout_month)))
 
 
+DEC = panel.DEC
+
+
+def panel_cells(sales: DataFrame, holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
+    """One scan of the history sales, stored: per (month, shop, item) the
+    units (E2) and the exact price sum and count that the month-item and
+    item mean prices (E6, E7) roll up from."""
+    s = panel_sales(sales, holdout_month)
+    return materialize(s.groupBy(T, S, I).agg(
+        F.sum("item_cnt_day").alias("item_cnt_month"),
+        F.sum(F.col("item_price").cast(DEC)).alias("_ps"), F.count("item_price").alias("_pn")))
+
+
+def month_item_stats(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(T, I).agg(F.sum("_ps").alias("_s"), F.sum("_pn").alias("_n"))
+
+
 def request_panel(sales: DataFrame, request: DataFrame, target_month: int = config.TARGET_MONTH,
-                  holdout_month: int = config.HOLDOUT_MONTH, materialized: bool = False) -> DataFrame:
+                  holdout_month: int = config.HOLDOUT_MONTH, materialized: bool = False,
+                  cells: DataFrame | None = None) -> DataFrame:
     """C4 + D4: history panel plus the request month (target 0).  Request keys
     enter the grid before its single (shop, item) exchange; ``materialized``
     stores it bucketed on the pair for plans that read it more than once."""
     req = request.select(S, I).withColumn(T, F.lit(target_month).cast("int"))
-    monthly = agg.monthly_sales(panel_sales(sales, holdout_month))
-    p = panel.dense_panel(monthly, extra_keys=req).select(*KEYS, "item_cnt_month")
+    cells = cells if cells is not None else panel_cells(sales, holdout_month)
+    p = panel.dense_panel(cells, extra_keys=req, monthly_stored=True).select(*KEYS, "item_cnt_month")
     if materialized:
         return materialize_bucketed(p, [S, I], [S, I, T])
     return p
@@ -57,15 +75,24 @@ def panel_feature_table(sales: DataFrame, request: DataFrame, target_month: int
                         holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
     """The panel pipeline's feature table: lags 1/2/3/6/12 (F1), month-mean
     lag (F2), price trend (F3-F5), pair and item recency (F6, F7)."""
-    p = request_panel(sales, request, target_month, holdout_month, materialized=True)
+    cells = panel_cells(sales, holdout_month)          # the only scan of the sales
+    p = request_panel(sales, request, target_month, holdout_month, materialized=True, cells=cells)
     p = panel.add_lags(p, "item_cnt_month", config.COUNT_LAGS)
     p = panel.month_mean_lag(p)
-    p = panel.price_trend(p, panel_sales(sales, holdout_month))
+    p = panel.price_trend(p, month_item_stats=month_item_stats(cells))
     p = panel.pair_recency(p)
     p = panel.item_recency(p)
     return p.withColumn("delta_price_lag", rnd("delta_price_lag", 6))
 
 
+def price_trend_table(sales: DataFrame, request: DataFrame, target_month: int = config.TARGET_MONTH,
+                      holdout_month: int = config.HOLDOUT_MONTH, mode: str = "reference") -> DataFrame:
+    """F3-F5 on the request panel, from a single scan of the sales."""
+    cells = panel_cells(sales, holdout_month)
+    p = request_panel(sales, request, target_month, holdout_month, cells=cells)
+    return panel.price_trend(p, mode=mode, month_item_stats=month_item_stats(cells))
+
+
 def clipped_monthly(sales: DataFrame, holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
     """E2 + B11: monthly units up to the holdout month, clipped to [0, 20]."""
     m = agg.monthly_sales(sales).filter(F.col(T) <= holdout_month)
