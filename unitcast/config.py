@@ -41,6 +41,8 @@ def cluster_conf() -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        # honour the advisory size when coalescing (the default favours task count)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.shuffle.partitions": "4000",
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.session.timeZone": "UTC",
