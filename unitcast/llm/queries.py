@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitcast.llm import common, line_dedup, sharding
+from unitcast.llm import bitpack, bpe, common, fingerprint, line_dedup, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op2_order_minhash")
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash of all ``documents``, their edited texts and neighbours."""
+    return fingerprint.neighbour_edits(common.table(spark, sf_dir, "documents"))
+
+
 @query("op3_line_dedup", """
 WITH l AS (
   SELECT doc_id, o, line, lower_ascii AS k
@@ -48,3 +54,24 @@ def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` in shards 0 to 39 by the hash tree, and where 41 shards would put them."""
     docs = common.table(spark, sf_dir, "documents")
     return sharding.shard_rows(docs, sharding.HashTree.uniform(40), sharding.HashTree.uniform(41))
+
+
+@query("op8_prefix_bpe")
+def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all ``documents`` by prefix tables, and back."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs).select("doc_id", "ids")
+    return bpe.decode(ids).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+OP10_END_ID = 2
+
+
+@query("op10_bit_packing")
+def op10_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all ``documents`` written to bit-packed files and read back."""
+    path = common.scratch(spark, "token-ids")
+    bitpack.write_ids(common.table(spark, sf_dir, "documents"), path, OP10_END_ID)
+    return bitpack.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
