@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitcast.llm import bitpack, bpe, common, fingerprint, line_dedup, sharding
+from unitcast.llm import bitpack, bpe, chat, common, fingerprint, line_dedup, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,6 +56,44 @@ def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(docs, sharding.HashTree.uniform(40), sharding.HashTree.uniform(41))
 
 
+#: Both turns of the conversation that op5 adds: control strings as content.
+OP5_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op5_chat_round_trip")
+def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations`` and one of control strings, formatted and read back."""
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit(OP5_TEXT).alias("text"))
+    rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.format_conversations(rows))
+
+
+@query("op6_warc_transactions", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS h FROM p),
+b AS (SELECT page_id, payload_bytes, h,
+             list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               CAST(1 + ((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INTEGER), 5) AS BIGINT)
+                          >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), 'string_agg', '') AS payload_digest
+      FROM d),
+f AS (SELECT h, max(page_id) AS first FROM d GROUP BY h)
+SELECT b.page_id, b.payload_bytes, b.payload_digest,
+       CASE WHEN b.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN b.page_id = f.first THEN NULL ELSE f.first END AS refers_to
+FROM b JOIN f USING (h)""")
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``pages`` written as WARC archives, read back and assembled."""
+    path = common.scratch(spark, "warc")
+    warc.write_archives(common.table(spark, sf_dir, "pages"), path)
+    captures = warc.assemble(warc.read_records(spark, path).drop("payload"))
+    captures = warc.resolve(common.stored(captures, "captures"))
+    return captures.select(
+        F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to")
+
+
 @query("op8_prefix_bpe")
 def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all ``documents`` by prefix tables, and back."""
