@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitcast.llm import bitpack, bpe, chat, common, fingerprint, line_dedup, sharding, warc
+from unitcast.llm import bitpack, bpe, chat, common, decontaminate, fingerprint, line_dedup, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -104,6 +104,26 @@ def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op9_decontamination", r"""
+WITH bw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+            FROM benchmark WHERE text IS NOT NULL),
+bs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5
+         THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+         ELSE [array_to_string(w, ' ')] END) AS s FROM bw WHERE len(w) > 0),
+bn AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
+bk AS (SELECT DISTINCT least(5, len(w)) AS k FROM bw WHERE len(w) > 0),
+dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+       FROM documents WHERE text IS NOT NULL),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS s
+       FROM dw, bk),
+m AS (SELECT doc_id, item_id, count(*) AS matched FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, matched, n_shingles, matched / n_shingles AS containment
+FROM m JOIN bn USING (item_id) WHERE matched >= ceil(n_shingles * 0.8 - 1e-9)""")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``benchmark`` items leaked into all ``documents``."""
+    return decontaminate.find_leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
 OP10_END_ID = 2
 
 
