@@ -7,9 +7,11 @@ others (``LAST_ID`` inside the operators, null again in results).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,6 +74,14 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(key_of(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most ``rows`` rows, so that what a task derives
+    from a batch stays small however long the texts are."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

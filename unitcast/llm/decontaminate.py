@@ -99,7 +99,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
     plain = common.texts(docs, id_col, text_col)
     w = plain.select("_id", words(F.col("_text")).alias("_w"))
-    streams = [w.select("_id", F.explode(shingle_hashes(F.col("_w"), k)).alias("_h")) for k in sizes]
+    # explode_outer: a plain explode would first filter on the shingles' size and
+    # so split every text anew for each word; its null rows fall out of the join
+    streams = [w.select("_id", F.explode_outer(shingle_hashes(F.col("_w"), k)).alias("_h")) for k in sizes]
     found = None
     for s in streams:
         hits = s.join(sketch, "_h").select("_id", "_item", "_h", "_hits")
@@ -114,7 +116,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     ids = checked(common.stored(pairs.select("_id").distinct(), "candidate-ids"))
     near = plain.join(ids, "_id", "left_semi").select("_id", words(F.col("_text")).alias("_w"))
     runs = F.flatten(F.array(*[shingle_texts(F.col("_w"), k) for k in sizes])) if sizes else F.array().cast("array<string>")
-    held = near.select("_id", F.explode(runs).alias("_shingle"))
+    held = near.select("_id", F.explode_outer(runs).alias("_shingle"))
     wanted = checked(items.select("_item", "_shingle"))
     matched = (held.join(wanted, "_shingle").join(pairs, ["_id", "_item"], "left_semi")
                .groupBy("_id", "_item").agg(F.count_distinct("_shingle").alias("_matched")))

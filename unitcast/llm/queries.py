@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitcast.llm import bitpack, bpe, chat, common, decontaminate, fingerprint, line_dedup, sharding, warc
+from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fingerprint, line_dedup, near_duplicates,
+                          sharding, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -94,6 +95,12 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("response.digest").alias("payload_digest"), F.col("response.type").alias("record_type"), "refers_to")
 
 
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes and link counts of all ``documents``."""
+    return near_duplicates.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 @query("op8_prefix_bpe")
 def op8_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of all ``documents`` by prefix tables, and back."""
