@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fingerprint, line_dedup, near_duplicates,
-                          sharding, warc)
+from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fingerprint, langid, line_dedup,
+                          near_duplicates, sharding, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,25 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+#: What ``documents`` declares about a row: ``lang`` for the markup's language, ``source`` for the host.
+DOCUMENT_EVIDENCE = {"declared_col": "lang", "host_col": "source"}
+
+
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all ``documents`` from text, declared language and source."""
+    found = langid.identify(common.table(spark, sf_dir, "documents"), "doc_id", "text", **DOCUMENT_EVIDENCE)
+    return found.select(common.id_of("_id").alias("doc_id"), "language", "confidence", "text_language", "declared", "keep")
+
+
+@query("pages_language")
+def pages_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator on ``pages``: markup language, address suffix and host."""
+    rows = langid.page_rows(common.table(spark, sf_dir, "pages"))
+    found = langid.identify(rows, "page_id", "text", declared_col="declared", url_col="url")
+    return found.select(common.id_of("_id").alias("page_id"), "language", "confidence", "text_language", "declared", "keep")
+
+
 @query("op2_order_minhash")
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order MinHash of all ``documents``, their edited texts and neighbours."""
