@@ -94,12 +94,26 @@ def test_exact_median(spark, n, max_exact):
     assert got == pytest.approx(float(np.median(vals)), abs=1e-9)
 
 
-@pytest.mark.parametrize("small", [0, 100_000])
-def test_consecutive_ids(spark, small):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_consecutive_ids_with_payload(spark, reuse):
+    keep = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(200_000).selectExpr("pmod(xxhash64(id), 1000000007) AS a", "id AS b", "repeat('x', 20) AS pay")
+        got = consecutive_ids(df, ["a", "b"], "id", partitions=16)
+        row = got.agg(F.count_distinct("id").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).first()
+        assert (row.n, row.lo, row.hi) == (200_000, 0, 199_999)
+        pairs = got.alias("x").join(got.alias("y"), F.expr("x.id + 1 = y.id")).filter("x.a > y.a").count()
+        assert pairs == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", keep)
+
+
+def test_consecutive_ids(spark):
     rng = np.random.default_rng(9)
     keys = sorted({(int(a), int(b)) for a, b in rng.integers(0, 50, size=(400, 2))})
     df = spark.createDataFrame(keys[::-1], "a long, b long").repartition(5)
-    got = {(r.a, r.b): r.id for r in consecutive_ids(df, ["a", "b"], "id", small_rows=small).collect()}
+    got = {(r.a, r.b): r.id for r in consecutive_ids(df, ["a", "b"], "id").collect()}
     assert got == {k: i for i, k in enumerate(keys)}
 
 

@@ -29,9 +29,9 @@ REGRESSION_LAGS = 9
 # Upper clip used by model queries: with 20 most grain-B cells saturate.
 MODEL_CLIP_HI = 100.0
 
-# Row bound under which a derived side may be broadcast (checked, see
+# Bytes under which a derived side may be broadcast (measured, see
 # operators.joins.checked_broadcast).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def cluster_conf() -> dict[str, str]:
@@ -77,11 +77,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder comes from the session configuration and must be
-    shared storage.  Only when it is unset (tests, local runs) is a fresh
-    scratch folder created.
+    shared storage.  Only in a local session without it (tests, local runs)
+    is a fresh scratch folder created; elsewhere a missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="unitcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -1,11 +1,12 @@
 """Consecutive 0-based numbering in a given order, without a global window.
 
 ``row_number() over (order by k)`` with no partition runs in one task.  Here
-the rows are range-partitioned on the order key and sorted inside each
-partition; ``monotonically_increasing_id`` then carries the partition index
-in its upper 31 bits and the row's position inside the partition in its
-lower 33 bits.  Each row is shifted by the row count of all earlier
-partitions (a table with one row per partition, so small and broadcast).
+the rows are range-partitioned on the order key, sorted inside each partition
+and stored with ``monotonically_increasing_id``, which carries the partition
+index in its upper 31 bits and the row's position in its lower 33 bits.  The
+stored rows are then shifted by the row count of all earlier partitions (a
+table with one row per partition).  Offsets and ids read the same stored rows,
+so they always fit together.
 """
 
 from __future__ import annotations
@@ -16,32 +17,15 @@ from pyspark.sql import functions as F
 _LOW33 = (1 << 33) - 1
 
 
-SMALL_DOMAIN_ROWS = 100_000
-
-
 def consecutive_ids(df: DataFrame, order_cols: list[str], name: str = "id",
-                    partitions: int | None = None, small_rows: int = SMALL_DOMAIN_ROWS,
-                    materialized: bool = False) -> DataFrame:
-    """Append ``name`` = 0..n-1 following ``order_cols`` (must be unique).
-
-    The input is stored first (unless ``materialized``), so the size check
-    and the numbering read the same rows instead of computing them twice.  A
-    frame proven to hold at most ``small_rows`` rows (bounded count) is
-    numbered by one sorted window in a single task; anything larger takes the
-    distributed path below.
-    """
+                    partitions: int | None = None) -> DataFrame:
+    """Append ``name`` = 0..n-1 following ``order_cols`` (must be unique)."""
     from unitcast.operators.joins import materialize
-    if not materialized:
-        df = materialize(df)
-    spark = df.sparkSession
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
-        w = Window.orderBy(*order_cols)
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.shiftright("_mid", 33))
-                .withColumn("_rn", F.col("_mid").bitwiseAND(F.lit(_LOW33))))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = (ranged.withColumn("_pid", F.shiftright("_mid", 33))
+              .withColumn("_rn", F.col("_mid").bitwiseAND(F.lit(_LOW33))))
     offsets = (ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
                .withColumn("_off", F.coalesce(
                    F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(

@@ -2,33 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unitcast import config
 
+_written: list[tuple[str, str]] = []     # (table or "", path) written by this process
+
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as parquet into the shared checkpoint folder and read it.
 
-    A reliable checkpoint survives executor loss (unlike a cached or locally
-    checkpointed frame) and lets later steps reuse the result instead of
-    recomputing the scans and shuffles behind it.
+    The files survive executor loss, let later steps reuse the result instead
+    of recomputing the scans and shuffles behind it, and are read with column
+    pruning, pushed-down filters and statistics.
     """
-    config.ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = config.scratch_path(spark, f"stored-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    _written.append(("", path))
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def row_bound(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None (reads at most
-    ``max_rows + 1`` rows)."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take in memory: 16 per row and column
+    plus the contents of strings and binaries (one aggregate)."""
+    wide = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary")]
+    row = F.lit(16 * len(df.columns)).cast("long")
+    for w in wide:
+        row = row + w
+    return df.agg(F.sum(row)).first()[0] or 0
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
+def checked_broadcast(df: DataFrame, max_bytes: int = config.BROADCAST_MAX_BYTES,
                       materialized: bool = False) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+    """Broadcast ``df`` only when its measured size is at most ``max_bytes``.
 
     The frame is materialised first (unless it already is), so the size
     check and the later join read the same stored rows.  Returns the frame
@@ -37,7 +47,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
     """
     if not materialized:
         df = materialize(df)
-    if row_bound(df, max_rows) is None:
+    if stored_bytes(df) > max_bytes:
         return df, False
     return F.broadcast(df), True
 
@@ -45,16 +55,27 @@ def checked_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
 def materialize_bucketed(df: DataFrame, keys: list[str], order: list[str] | None = None,
                          buckets: int | None = None) -> DataFrame:
     """Write ``df`` as a table bucketed (and sorted) by ``keys`` in the shared
-    checkpoint folder and read it back.  Unlike a checkpoint, the bucketed
-    scan reports hash partitioning on ``keys``, so windows, aggregates and
-    joins on those keys run without another exchange."""
-    import uuid
+    checkpoint folder and read it back.  The bucketed scan reports hash
+    partitioning on ``keys``, so windows, aggregates and joins on those keys
+    run without another exchange.  ``buckets`` defaults to the session's
+    shuffle partitions; callers that know the row count pass their own."""
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"unitcast_{uuid.uuid4().hex}"
-    try:
-        (df.write.bucketBy(n, *keys).sortBy(*(order or keys))
-           .option("path", config.scratch_path(spark, name)).saveAsTable(name))
-    except Exception:   # no usable session catalog: same rows, without the layout
-        return materialize(df)
+    path = config.scratch_path(spark, name)
+    df.write.bucketBy(n, *keys).sortBy(*(order or keys)).option("path", path).saveAsTable(name)
+    _written.append((name, path))
     return spark.table(name)
+
+
+def release(spark: SparkSession) -> None:
+    """Drop the tables and delete the folders written by ``materialize`` and
+    ``materialize_bucketed``.  Call it when no result that reads them is
+    needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        name, path = _written.pop()
+        if name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
