@@ -81,8 +81,8 @@ def test_month_mean_lag_is_pair_gated(spark):
 def test_dense_panel_is_month_product(spark):
     m = spark.createDataFrame([(0, 1, 1, 3.0), (0, 2, 2, 30.0), (1, 1, 3, -2.0)],
                               "date_block_num int, shop_id long, item_id long, item_cnt_month double")
-    for bound, per_task in ((10, 2_000_000), (0, 2_000_000), (0, 1)):   # broadcast, salted, many salts
-        d = panel.dense_panel(m, max_broadcast_rows=bound, rows_per_task=per_task)
+    for per_task in (2_000_000, 1):     # one salt per month, many salts
+        d = panel.dense_panel(m, rows_per_task=per_task)
         got = sorted(rows(d, T, S, I, "item_cnt_month"))
         assert got == [(0, 1, 1, 3.0), (0, 1, 2, 0.0), (0, 2, 1, 0.0), (0, 2, 2, 20.0), (1, 1, 3, 0.0)]
 

@@ -38,11 +38,10 @@ def test_hot_key_share_index(hot):
     assert all(got[k] == pytest.approx(exp[k]) for k in exp)
 
 
-@pytest.mark.parametrize("bound", [0, 10_000])
-def test_hot_month_product(hot, bound):
+def test_hot_month_product(hot):
     pdf, df = hot
     monthly = agg.monthly_sales(df, value="cnt")
-    dense = panel.dense_panel(monthly, max_broadcast_rows=bound, rows_per_task=100)   # hot month: ~10 salts
+    dense = panel.dense_panel(monthly, rows_per_task=100)   # hot month: ~10 salts
     m = pdf.groupby([T, S, I])["cnt"].sum().reset_index()
     shops = m.groupby(T)[S].nunique()
     items = m.groupby(T)[I].nunique()
@@ -51,6 +50,26 @@ def test_hot_month_product(hot, bound):
     assert hot_sum == pytest.approx(m[m[T] == 3]["cnt"].clip(0, 20).sum())
 
 
+def test_product_spreads_over_tasks(spark):
+    """Tiny key tables, large product: the session's coalescing must not put it into one task."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.parallelismFirst",
+                                           "spark.sql.adaptive.advisoryPartitionSizeInBytes")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
+    try:
+        monthly = spark.range(400).selectExpr("0 AS date_block_num", "id AS shop_id", "id AS item_id",
+                                              "1.0D AS item_cnt_month")
+        dense = panel.dense_panel(monthly, rows_per_task=10_000)
+        assert dense.count() == 160_000
+        from unitcast.operators.panel import product
+        parts = [r["n"] for r in product(monthly, 10_000).groupBy(F.spark_partition_id()).agg(
+            F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(parts) == 160_000 and max(parts) < 60_000 and len(parts) >= 8
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
 def test_hot_item_recency_counts(hot):
     pdf, df = hot
     monthly = agg.monthly_sales(df, value="cnt").withColumnRenamed("item_cnt_month", "v")

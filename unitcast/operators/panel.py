@@ -20,19 +20,32 @@ def pair_window(keys=PAIR, time: str = T):
     return Window.partitionBy(*keys).orderBy(F.col(time))
 
 
+def product(monthly: DataFrame, rows_per_task: int) -> DataFrame:
+    """(month, shop, item): the shops x items product of each month."""
+    shops_m = monthly.select(T, S).distinct()
+    items_m = monthly.select(T, I).distinct()
+    per_month = (shops_m.groupBy(T).agg(F.count(F.lit(1)).alias("ns"))
+                 .join(items_m.groupBy(T).agg(F.count(F.lit(1)).alias("ni")), T).collect())   # one row per month
+    salts = {r[T]: max(1, -(-r.ns * r.ni // rows_per_task)) for r in per_month}
+    salt_of = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(salts.items()) for x in kv]), F.col(T)) \
+        if salts else F.lit(1)
+    tasks = max(1, sum(salts.values()))
+    big = items_m.withColumn("_salt", F.pmod(F.xxhash64(I), salt_of)).repartition(tasks, T, "_salt")
+    small = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (salt_of - 1).cast("bigint"))))
+    return big.join(small, [T, "_salt"]).select(T, S, I)
+
+
 def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: DataFrame | None = None,
-                clip_hi: float = config.CLIP_HI, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS,
-                rows_per_task: int = 2_000_000, max_salt: int = 4096,
+                clip_hi: float = config.CLIP_HI, rows_per_task: int = 2_000_000,
                 monthly_stored: bool = False) -> DataFrame:
     """Every shop seen in a month x every item seen in that month.
 
-    The product is an equi-join on month.  Per-month distinct counts (one
-    row per month) give both side sizes: the smaller side is broadcast when
-    its total is proven under ``max_broadcast_rows``.  Otherwise each month
-    gets its own salt count, sized so one task emits about
-    ``rows_per_task`` product rows: the item side is hashed into that many
-    buckets and the shop side replicated per bucket, so a month holding a
-    large share of the rows is spread over proportionally many tasks.
+    The product is an equi-join on (month, salt).  Each month gets its own
+    salt count from its shop and item counts (one row per month), so that one
+    salt stands for about ``rows_per_task`` product rows: the item side is
+    hashed into the salts, the shop side replicated per salt, and the item
+    side dealt over as many tasks as there are salts.  The explicit number
+    keeps the tasks apart although the key tables before the product are tiny.
     ``extra_keys`` (month, shop, item) rows (e.g. the request month) join the
     grid before its single repartition on (shop_id, item_id), the
     partitioning every pair window downstream reuses.  ``value`` is NULL -> 0,
@@ -41,20 +54,7 @@ def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: D
     monthly = monthly.select(T, S, I, value)
     if not monthly_stored:   # read three times below: store it once
         monthly = materialize(monthly)
-    shops_m = monthly.select(T, S).distinct()
-    items_m = monthly.select(T, I).distinct()
-    per_month = monthly.groupBy(T).agg(F.count_distinct(S).alias("ns"),
-                                       F.count_distinct(I).alias("ni")).collect()   # one row per month
-    ns, ni = sum(r.ns for r in per_month), sum(r.ni for r in per_month)
-    if min(ns, ni) <= max_broadcast_rows:
-        small, big = (shops_m, items_m) if ns <= ni else (items_m, shops_m)
-        grid = big.join(F.broadcast(small), T)
-    else:
-        salts = {r[T]: max(1, min(max_salt, -(-r.ns * r.ni // rows_per_task))) for r in per_month}
-        salt_of = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(salts.items()) for x in kv]), F.col(T))
-        big = items_m.withColumn("_salt", F.pmod(F.xxhash64(I), salt_of))
-        small = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0), salt_of - 1)))
-        grid = big.join(small, [T, "_salt"])
+    grid = product(monthly, rows_per_task)
     grid = grid.select(T, S, I, F.lit(None).cast("double").alias(value))
     if extra_keys is not None:
         grid = grid.unionByName(extra_keys.select(T, S, I, F.lit(None).cast("double").alias(value)))
@@ -122,7 +122,8 @@ def price_trend(panel: DataFrame, sales: DataFrame | None = None, lags=config.PR
         materialized=True)
     out = panel.join(item_mean, I, "left").join(month_item, [T, I], "left")
     out = add_lags(out, "_mi_avg", lags)
-    deltas = [((F.col(f"_mi_avg_lag_{k}") - F.col("_item_avg")) / F.col("_item_avg")) for k in lags]
+    # an item whose mean price is 0 has no relative change: missing, so its trend is 0
+    deltas = [F.try_divide(F.col(f"_mi_avg_lag_{k}") - F.col("_item_avg"), F.col("_item_avg")) for k in lags]
     out = out.withColumn(name, F.coalesce(first_truthy(deltas, mode), F.lit(0.0)))
     return out.drop("_item_avg", "_mi_avg", *[f"_mi_avg_lag_{k}" for k in lags])
 
@@ -139,10 +140,12 @@ def pair_recency(panel: DataFrame, value: str = "item_cnt_month",
 
 
 def item_recency(panel: DataFrame, value: str = "item_cnt_month", all_rows: bool = False,
-                 name: str = "item_last_sale") -> DataFrame:
+                 name: str = "item_last_sale", first_rows: DataFrame | None = None) -> DataFrame:
     """months since the item's previous month in the panel, once the item
     has had a non-zero row in an earlier month.  Only the first row of the
-    item in a month (lowest shop) gets it unless ``all_rows``.
+    item in a month (lowest shop) gets it unless ``all_rows``.  For months in
+    which rows have another order (the request month: file order), the first
+    shop comes from ``first_rows`` (month, item, shop).
 
     Aggregated to (item, month) before the window, so the window input is
     one row per item-month and a hot item cannot swamp a task.
@@ -152,6 +155,10 @@ def item_recency(panel: DataFrame, value: str = "item_cnt_month", all_rows: bool
     w = Window.partitionBy(I).orderBy(T)
     seen = F.max("_nz").over(w.rowsBetween(Window.unboundedPreceding, -1))
     im = im.withColumn("_gap", F.when(seen == 1, F.col(T) - F.lag(T, 1).over(w))).drop("_nz")
+    if first_rows is not None:
+        given = first_rows.select(T, I, F.col(S).alias("_given"))
+        im = (im.join(given, [T, I], "left")
+              .withColumn("_first_shop", F.coalesce("_given", "_first_shop")).drop("_given"))
     im, _ = checked_broadcast(im)
     out = panel.join(im, [I, T], "left")
     take = F.col("_gap").isNotNull() & (F.lit(all_rows) | (F.col(S) == F.col("_first_shop")))
