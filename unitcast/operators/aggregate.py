@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from unitcast.functions.columns import exact_mean, exact_sum
+from unitcast.functions.columns import exact_mean, exact_sum, rnd
 
 MONTH_KEYS = ("date_block_num", "shop_id", "item_id")
 
@@ -56,32 +56,32 @@ def share_index(df: DataFrame, key: str, value: str, name: str = "share") -> Dat
 
 def pivot_months(df: DataFrame, keys, column: str, value: str, agg: str = "sum",
                  domain=None, fill=0.0, prefix: str = "m_") -> DataFrame:
-    """One column per month (explicit domain, so no extra pass)."""
+    """One column per month.  Without ``domain`` it is every month
+    from the first to the last in the data (two scalars), so no row is left
+    out.  One conditional aggregate per month: a single exchange."""
     fn = {"sum": F.sum, "avg": F.avg, "mean": F.avg, "count": F.count}[agg]
-    if domain is None:   # let Spark find the (bounded) distinct values
-        out = df.groupBy(*keys).pivot(column).agg(fn(value))
-        domain = [c for c in out.columns if c not in keys]
-    else:
-        domain = list(domain)
-        out = df.groupBy(*keys).pivot(column, domain).agg(fn(value))
-    out = out.select(*keys, *[F.col(f"`{d}`").alias(f"{prefix}{d}") for d in domain])
-    if fill is not None:
-        out = out.na.fill(fill, subset=[f"{prefix}{d}" for d in domain])
-    return out
+    if domain is None:
+        lo, hi = df.agg(F.min(column), F.max(column)).first()
+        domain = [] if lo is None else range(lo, hi + 1)
+    cells = [fn(F.when(F.col(column) == d, F.col(value))).alias(f"{prefix}{d}") for d in domain]
+    out = df.groupBy(*keys).agg(*cells) if cells else df.select(*keys).distinct()
+    return out if fill is None or not cells else out.na.fill(fill, subset=[f"{prefix}{d}" for d in domain])
 
 
 def rmse(df: DataFrame, label: str, pred: str, name: str = "rmse") -> DataFrame:
-    """Root mean squared error as a one-row frame."""
-    return df.agg(F.sqrt(F.avg(F.pow(F.col(label) - F.col(pred), 2))).alias(name))
+    """Root mean squared error as a one-row frame (exact decimal sum)."""
+    e = F.col(label) - F.col(pred)
+    return (df.select((e * e).alias("_se"))
+            .agg(F.sqrt(F.try_divide(exact_sum("_se"), F.count("_se"))).alias(name)))
 
 
 def r2_percent(df: DataFrame, label: str, pred: str, name: str = "r2_percent") -> DataFrame:
-    """Coefficient of determination x 100, rounded to 2 places."""
+    """Coefficient of determination x 100, rounded to 2 places (exact
+    decimal sums); NULL for a constant label."""
     stats = df.agg(F.avg(label).alias("_mu"))
-    sse_sst = with_scalar(df, stats).agg(
-        F.sum(F.pow(F.col(label) - F.col(pred), 2)).alias("_sse"),
-        F.sum(F.pow(F.col(label) - F.col("_mu"), 2)).alias("_sst"))
-    return sse_sst.select(F.round((1 - F.col("_sse") / F.col("_sst")) * 100, 2).alias(name))
+    e, d = F.col(label) - F.col(pred), F.col(label) - F.col("_mu")
+    sums = with_scalar(df, stats).agg(exact_sum(e * e).alias("_sse"), exact_sum(d * d).alias("_sst"))
+    return sums.select(rnd((1 - F.try_divide("_sse", "_sst")) * 100, 2).alias(name))
 
 
 def table_shape(df: DataFrame) -> DataFrame:

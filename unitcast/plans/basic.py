@@ -263,7 +263,7 @@ def _pivot_sql(source: str, keys: str, value: str, fn: str, months, prefix="m_",
 def q_pivot_month_sum(spark, sf_dir):
     """(shop, item) x month matrix of unit sums, missing -> 0."""
     return agg.pivot_months(tpch.sales(spark, sf_dir), ["shop_id", "item_id"], "date_block_num",
-                            "item_cnt_day", "sum", MONTHS)
+                            "item_cnt_day", "sum")
 
 
 @query("pivot_month_mean", sql(["monthly"], _pivot_sql("monthly", "item_id, shop_id", "item_cnt_month", "avg",
@@ -271,7 +271,7 @@ def q_pivot_month_sum(spark, sf_dir):
 def q_pivot_month_mean(spark, sf_dir):
     """Pivot with the mean aggregate over the (unique) monthly rows."""
     return agg.pivot_months(monthly(spark, sf_dir), ["item_id", "shop_id"], "date_block_num",
-                            "item_cnt_month", "avg", MONTHS)
+                            "item_cnt_month", "avg")
 
 
 @query("table_shape", sql(["monthly"], """SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_cols FROM monthly"""))

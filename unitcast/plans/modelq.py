@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from unitcast import config
 from unitcast.config import scratch_path
-from unitcast.functions.columns import exact_sum, rnd
+from unitcast.functions.columns import rnd
 from unitcast.operators import aggregate as agg
 from unitcast.operators import clean, encode, models, panel
 from unitcast.operators.fallback import cold_start_fill
@@ -106,8 +106,7 @@ def _eval_frame(spark, sf_dir):
   AS rmse FROM ev""", EVAL_CTES))
 def q_rmse(spark, sf_dir):
     """Holdout-month RMSE of the stand-in prediction."""
-    ev = _eval_frame(spark, sf_dir).withColumn("_se", (F.col("y") - F.col("pred")) * (F.col("y") - F.col("pred")))
-    return ev.agg(rnd(F.sqrt(exact_sum("_se") / F.count(F.lit(1))), 6).alias("rmse"))
+    return agg.rmse(_eval_frame(spark, sf_dir), "y", "pred").select(rnd("rmse", 6).alias("rmse"))
 
 
 @query("r2_percent", sql(["monthly"], f"""SELECT {srnd(f"(1 - {sexact_sum('(y - pred) * (y - pred)')} / "
@@ -115,11 +114,7 @@ def q_rmse(spark, sf_dir):
 FROM ev CROSS JOIN (SELECT avg(y) AS mu FROM ev)""", EVAL_CTES))
 def q_r2_percent(spark, sf_dir):
     """R^2 x 100 of the stand-in prediction on the holdout month."""
-    ev = _eval_frame(spark, sf_dir)
-    ev = agg.with_scalar(ev, ev.agg(F.avg("y").alias("mu")))
-    sse = exact_sum((F.col("y") - F.col("pred")) * (F.col("y") - F.col("pred")))
-    sst = exact_sum((F.col("y") - F.col("mu")) * (F.col("y") - F.col("mu")))
-    return ev.agg(rnd((1 - sse / sst) * 100, 2).alias("r2_percent"))
+    return agg.r2_percent(_eval_frame(spark, sf_dir), "y", "pred")
 
 
 # ---- A4, A5, A8 ---------------------------------------------------------------
@@ -337,25 +332,24 @@ def q_gbt_matrix_predictions(spark, sf_dir):
 
 # ---- E14 + C4: shop x category heat map over history and request rows ------------
 
-HEATMAP_SQL = sql(["monthly", "request", "items"], """SELECT shop_id, COALESCE(COLUMNS(* EXCLUDE (shop_id)), 0)
-FROM (PIVOT (SELECT m.shop_id, i.item_category_id, m.item_cnt_month FROM monthly m
-             LEFT JOIN items i ON m.item_id = i.item_id
-             UNION ALL SELECT r.shop_id, i.item_category_id, CAST(0.0 AS DOUBLE) FROM request r
-             LEFT JOIN items i ON r.item_id = i.item_id)
-      ON 'cat_' || item_category_id USING count(item_cnt_month) GROUP BY shop_id)""")
+HEATMAP_SQL = sql(["monthly", "request", "items"], """SELECT shop_id, item_category_id, count(item_cnt_month) AS n
+FROM (SELECT m.shop_id, i.item_category_id, m.item_cnt_month FROM monthly m
+      LEFT JOIN items i ON m.item_id = i.item_id
+      UNION ALL SELECT r.shop_id, i.item_category_id, CAST(0.0 AS DOUBLE) FROM request r
+      LEFT JOIN items i ON r.item_id = i.item_id)
+GROUP BY shop_id, item_category_id""")
 
 
 @query("shop_category_heatmap", HEATMAP_SQL)
 def q_shop_category_heatmap(spark, sf_dir):
     """E14 + C4: history and request rows stacked by name (the request side
     lacks the month columns), then non-null units counted per shop x
-    category; one column per category present (Spark finds the values)."""
+    category, in long form: the number of categories may grow with the data."""
     items = tpch.items(spark, sf_dir).select("item_id", "item_category_id")
     hist = monthly(spark, sf_dir).join(items, "item_id", "left")
     req = tpch.request(spark, sf_dir).join(items, "item_id", "left").withColumn(LABEL, F.lit(0.0))
     both = panel.union_aligned(hist, req.drop("ID"))
-    return agg.pivot_months(both, ["shop_id"], "item_category_id", LABEL, "count", None,
-                            fill=0, prefix="cat_")
+    return both.groupBy("shop_id", "item_category_id").agg(F.count(LABEL).alias("n"))
 
 
 # ---- H11 degenerate variant -----------------------------------------------------
