@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,7 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-CACHE_ENTRIES = 400_000     # entries of each of a worker's tables before it starts afresh
+from unitcast.llm import common
+
+CACHE_ENTRIES = 120_000     # entries that each of a worker's tables keeps at least
 KNOWN_BYTES = 10            # prefixes up to this length are shared by all pieces
 
 
@@ -116,17 +119,33 @@ class Vocabulary:
                 bound, right = right + 1, self.halves(right)[0]
 
 
-class _Seams(dict):
-    """(left, right) -> ``Vocabulary.seam``, computed when missing."""
+class _Recent(dict):
+    """A dict that computes missing values and keeps at least the
+    ``CACHE_ENTRIES`` keys used last, at most twice as many."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def __init__(self):
+        self.older: dict = {}
 
-    def __missing__(self, pair: tuple[int, int]) -> bool:
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(self) >= CACHE_ENTRIES:
+            self.older = dict(self)
             self.clear()
-        self[pair] = holds = self.vocabulary.seam(*pair)
-        return holds
+        self[key] = value
+        return value
+
+
+class _Seams(_Recent):
+    """left << 32 | right -> ``Vocabulary.seam``."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def compute(self, pair: int) -> bool:
+        return self.vocabulary.seam(pair >> 32, pair & 0xFFFFFFFF)
 
 
 class PrefixTable:
@@ -140,27 +159,33 @@ class PrefixTable:
         """Compute the entries up to the prefix of ``stop`` bytes."""
         v, data, last = self.vocabulary, self.data, self.last
         rank, follows, reach, known = v.ranks.get, v.follows, v.reach.get, v.prefixes
-        if len(known) >= CACHE_ENTRIES:
+        if len(known) >= 2 * CACHE_ENTRIES:
             known.clear()
-        for end in range(len(last) + 1, stop + 1):
-            prefix = data[:end]
-            token = known.get(prefix) if end <= KNOWN_BYTES else None
+        end = len(last) + 1
+        shared = min(stop, KNOWN_BYTES)
+        while end <= shared:
+            token = known.get(data[:end])
+            if token is None:
+                break
+            last.append(token)
+            end += 1
+        for end in range(end, stop + 1):
+            start = end - reach(data[end - 3:end] if end > 3 else data[:end], 2)
+            token = None
+            if start <= 0:
+                start, token = 1, rank(data[:end])
+                if token is not None and v.halves(token) is None:
+                    token = None
             if token is None:
-                start = end - reach(data[end - 3:end] if end > 3 else prefix, 2)
-                if start <= 0:
-                    start, token = 1, rank(prefix)
-                    if token is not None and v.halves(token) is None:
-                        token = None
-                if token is None:
-                    for start in range(start, end):
-                        token = rank(data[start:end])
-                        if token is not None and follows[last[start - 1], token]:
-                            break
-                    else:
-                        raise ValueError("no valid token: the vocabulary lacks a byte")
-                if end <= KNOWN_BYTES:
-                    known[prefix] = token
+                for start in range(start, end):
+                    token = rank(data[start:end])
+                    if token is not None and follows[last[start - 1] << 32 | token]:
+                        break
+                else:
+                    raise ValueError("no valid token: the vocabulary lacks a byte")
             last.append(token)
+            if end <= shared:
+                known[data[:end]] = token
 
     def append(self, more: bytes) -> None:
         """Append bytes; entries of earlier prefixes stay as they are."""
@@ -194,26 +219,30 @@ class PrefixTable:
         return out[::-1]
 
 
+_SIGNS = frozenset(".,;:!?)")      # a piece of their own behind letters
+
+
 class _Irregular(Exception):
     pass
 
 
-class _Chunks(dict):
+class _Chunks(_Recent):
     """Ids (little-endian bytes) of ``before + chunk``, computed when missing.
     A chunk that white space touches is irregular: its pieces depend on its
     neighbours."""
 
     def __init__(self, codec: Codec, before: str):
+        super().__init__()
         self.codec, self.before = codec, before
 
-    def __missing__(self, chunk: str) -> bytes:
+    def compute(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Irregular
-        ids = self.codec.encode_pieces(self.codec.pieces(self.before + chunk))
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[chunk] = ids
-        return ids
+        if chunk.isalpha():             # letters only: one piece
+            return self.codec.encode_pieces([self.before + chunk])
+        if chunk[-1] in _SIGNS and chunk[:-1].isalpha():
+            return self[chunk[:-1]] + self.codec.encode_pieces(chunk[-1])
+        return self.codec.encode_pieces(self.codec.pieces(self.before + chunk))
 
 
 class Codec:
@@ -238,7 +267,7 @@ class Codec:
             data = piece.encode("utf-8", "surrogatepass")
             rank = self.vocabulary.ranks.get(data)
             ids += [rank] if rank is not None else PrefixTable(self.vocabulary, data).tokens()
-        return np.array(ids, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -291,7 +320,7 @@ def encode(df: DataFrame, text_col: str = "text", name: str = "ids", path: str |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(shared.value, pattern)
-        for batch in batches:
+        for batch in common.slices(batches):
             texts = batch.column(batch.schema.get_field_index(text_col))
             yield _with_column(batch, name, pa.array([coder.encode(t.as_py()) for t in texts], pa.binary()))
 
@@ -306,7 +335,7 @@ def decode(df: DataFrame, ids_col: str = "ids", name: str = "decoded", path: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(shared.value, pattern)
-        for batch in batches:
+        for batch in common.slices(batches):
             ids = batch.column(batch.schema.get_field_index(ids_col))
             yield _with_column(batch, name, pa.array([coder.decode(i.as_py() or b"") for i in ids], pa.binary()))
 
