@@ -68,3 +68,39 @@ def test_model_frames_from_csv(tables):
                                      tables["categories"], tables["shops"], target_month=4, holdout_month=3)
     assert {"city_code", "type_code", "subtype_code", "item_category_id"} <= set(pm.columns)
     assert pm.count() == 20
+
+
+def test_request_month_year_follows_the_sales(tables):
+    _, req = pipelines.flat_model_tables(tables["sales"], tables["request"], tables["items"], tables["categories"],
+                                         tables["shops"], holdout_month=3, target_month=12)
+    assert {(r.year, r.month) for r in req.select("year", "month").collect()} == {(2014, 1)}
+
+
+def test_free_item_and_request_order(spark):
+    """An item of price 0 has trend 0; the request month's first row is the lowest ID, not the lowest shop."""
+    rows = [(m, s, i, 0.0 if i == 7 else 5.0 + m, 2.0) for m in range(3) for s in (1, 2) for i in (7, 8)]
+    sales = spark.createDataFrame(rows, "date_block_num int, shop_id long, item_id long, item_price double, item_cnt_day double")
+    request = spark.createDataFrame([(0, 2, 8), (1, 1, 8), (2, 1, 7)], "ID long, shop_id long, item_id long")
+    ft = pipelines.panel_feature_table(sales, request, target_month=3, holdout_month=2)
+    got = {(r.date_block_num, r.shop_id, r.item_id): r for r in ft.collect()}
+    assert all(r.delta_price_lag == 0.0 for k, r in got.items() if k[2] == 7)
+    assert got[3, 2, 8].item_last_sale == 1 and got[3, 1, 8].item_last_sale == -1
+
+
+def test_cleaning_chain(spark):
+    sales = spark.createDataFrame([(0, 0, 5, -1.0, 1.0), (0, 57, 5, 10.0, 1.0), (0, 57, 5, 30.0, 1.0), (0, 3, 6, 900.0, 1.0),
+                                   (0, 3, 6, 200000.0, 1.0)],
+                                  "date_block_num int, shop_id long, item_id long, item_price double, item_cnt_day double")
+    request = spark.createDataFrame([(0, 0, 5), (1, 3, 6)], "ID long, shop_id long, item_id long")
+    s, r = pipelines.clean_inputs(sales, request, {0: 57}, bad_price_lt=0.0, like={"item_id": 5})
+    assert sorted((x.shop_id, x.item_price) for x in s.collect()) == [(3, 900.0), (57, 10.0), (57, 20.0), (57, 30.0)]
+    assert sorted(x.shop_id for x in r.collect()) == [3, 57]
+
+
+def test_saving_a_split_twice_replaces_it(spark, tmp_path):
+    from unitcast.sources.files import save_predictions
+    df = spark.createDataFrame([(1, 2.0)], "ID long, item_cnt_month double")
+    for split in ("holdout", "request", "holdout"):
+        save_predictions(df, str(tmp_path / "p"), split)
+    got = spark.read.parquet(str(tmp_path / "p"))
+    assert sorted(r.split for r in got.collect()) == ["holdout", "request"]

@@ -2,8 +2,7 @@
 
 Subpackages: ``sources`` (readers, test-data adapter, sinks), ``functions``
 (column expressions), ``operators`` (DataFrame -> DataFrame steps and Spark ML
-wrappers), ``plans`` (named queries and their SQL oracles), ``streaming``
-(incremental monthly aggregation over arriving files).
+wrappers), ``plans`` (named queries and their SQL oracles).
 """
 
 __version__ = "0.1.0"

@@ -76,10 +76,18 @@ def tree_memory_mb(spark, share: float = 0.3, floor: int = 64, cap: int = 1024)
     return max(floor, min(cap, int(_memory_mb(mem) * share / max(1, slots))))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per task slot: fitting is bound by CPU, not by
+    the bytes that the stored frame was split by."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
 def fit_forest(train: DataFrame, features: list[str], label: str, num_trees: int = 25,
                max_depth: int = 15, seed: int = 42, **params) -> PipelineModel:
     """H4/H5: random forest; every tree sees all features at each split."""
     config.ensure_checkpoint_dir(train.sparkSession)   # node-id cache checkpoints
+    train = spread(train)
     params.setdefault("featureSubsetStrategy", "all")
     # Deep trees: keep each row's node id between levels instead of
     # re-walking every tree, and split as many nodes per pass as the
@@ -136,7 +144,7 @@ def fit_boosted(train: DataFrame, features: list[str], label: str, valid: DataFr
     leading trees whatever the round count, so the kept model is refitted
     with exactly the best round count.
     """
-    asm = _assembler(features)
+    asm, train = _assembler(features), spread(train)
 
     def fit(rounds):
         gbt = GBTRegressor(featuresCol="features", labelCol=label, **dict(params, maxIter=rounds))

@@ -35,6 +35,24 @@ def panel_sales(sales: DataFrame, holdout_month: int = config.HOLDOUT_MONTH) ->
     return clean.clean_outliers(s, price_lt=PANEL_PRICE_LT, count_lt=PANEL_COUNT_LT)
 
 
+def clean_inputs(sales: DataFrame, request: DataFrame, shop_remap: dict | None = None,
+                 bad_price_lt: float = 0.0, like: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """The panel script's cleaning chain: outliers out (B4), prices below
+    ``bad_price_lt`` replaced by the median price of the rows that equal
+    ``like`` in the given columns (B6, B7), and duplicate shops merged in the
+    sales and in the request table (B8)."""
+    s = clean.clean_outliers(sales, price_lt=PANEL_PRICE_LT, count_lt=PANEL_COUNT_LT)
+    group = s.filter(F.col("item_price") >= bad_price_lt)
+    for column, value in (like or {}).items():
+        group = group.filter(F.col(column) == value)
+    middle = clean.exact_median(group, "item_price")
+    if middle is not None:
+        s = s.withColumn("item_price", F.when(F.col("item_price") < bad_price_lt, middle).otherwise(F.col("item_price")))
+    if shop_remap:
+        s, request = clean.remap_keys(s, shop_remap, S), clean.remap_keys(request, shop_remap, S)
+    return s, request
+
+
 def dense_history_panel(sales: DataFrame, holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
     """Dense panel of the history months with the clipped target."""
     return panel.dense_panel(agg.monthly_sales(panel_sales(sales, holdout_month)))
@@ -71,6 +89,12 @@ def request_panel(sales: DataFrame, request: DataFrame, target_month: int = conf
     return p
 
 
+def request_order(request: DataFrame, target_month: int) -> DataFrame:
+    """(month, item, shop): the shop of each item's first request row (lowest ID)."""
+    return (request.groupBy(I).agg(F.min_by(S, "ID").alias(S))
+            .withColumn(T, F.lit(target_month).cast("int")))
+
+
 def panel_feature_table(sales: DataFrame, request: DataFrame, target_month: int = config.TARGET_MONTH,
                         holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
     """The panel pipeline's feature table: lags 1/2/3/6/12 (F1), month-mean
@@ -81,7 +105,7 @@ def panel_feature_table(sales: DataFrame, request: DataFrame, target_month: int
     p = panel.month_mean_lag(p)
     p = panel.price_trend(p, month_item_stats=month_item_stats(cells))
     p = panel.pair_recency(p)
-    p = panel.item_recency(p)
+    p = panel.item_recency(p, first_rows=request_order(request, target_month))
     return p.withColumn("delta_price_lag", rnd("delta_price_lag", 6))
 
 
@@ -149,12 +173,13 @@ def _with_dims(df: DataFrame, items: DataFrame, categories: DataFrame, shops: Da
 def flat_model_tables(sales: DataFrame, request: DataFrame, items: DataFrame, categories: DataFrame,
                       shops: DataFrame, holdout_month: int = config.HOLDOUT_MONTH,
                       target_month: int = config.TARGET_MONTH, with_text: bool = False,
-                      clip_hi: float = config.MODEL_CLIP_HI) -> tuple[DataFrame, DataFrame]:
+                      clip_hi: float = config.CLIP_HI, tasks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Flat monthly history (observed pairs) and the request scoring frame:
     calendar parts (E3, G9), pair mean (E4), holdout-month units (F8),
     dimension names label-encoded on history + request (G6, C5), constants
     for the request month (B9, H12), numeric NULL -> 0 (B12).  Both frames
-    are stored; the history target is clipped to [0, clip_hi]."""
+    are stored; the history target is clipped to [0, clip_hi].  The request
+    month's year continues the calendar of the sales themselves."""
     s = sales.filter(F.col(T) <= holdout_month)
     m = agg.sum_all_but(s.select(T, S, I, F.month("date").alias("month"), F.year("date").alias("year"),
                                  "item_cnt_day"), "item_cnt_day", LABEL)
@@ -162,8 +187,9 @@ def flat_model_tables(sales: DataFrame, request: DataFrame, items: DataFrame, ca
     prev = panel.previous_month_units(m, holdout_month)
     hist = m.join(mean, [S, I], "left").join(prev, [S, I], "left")
     hist = materialize(clean.fill_numeric(_with_dims(hist, items, categories, shops, with_text), 0.0))
+    base_year = s.agg(F.min(F.year("date") - F.floor(F.col(T) / 12))).first()[0]
     req = (request.withColumn("month", F.lit(target_month % 12 + 1).cast("int"))
-           .withColumn("year", F.lit(config.BASE_YEAR + target_month // 12).cast("int"))
+           .withColumn("year", F.lit(None if base_year is None else base_year + target_month // 12).cast("int"))
            .withColumn(T, F.lit(target_month).cast("int")))
     req = req.join(mean, [S, I], "left").join(prev, [S, I], "left")
     req = materialize(clean.fill_numeric(_with_dims(req, items, categories, shops, with_text), 0.0)

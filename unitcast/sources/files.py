@@ -89,9 +89,9 @@ def save_model(model, path: str) -> None:
 
 
 def save_predictions(df: DataFrame, path: str, split: str) -> None:
-    """(split, keys, prediction) rows for later ensembling."""
-    (df.withColumn("split", F.lit(split))
-       .write.mode("append").partitionBy("split").parquet(path))
+    """(split, keys, prediction) rows for later ensembling.  Saving a
+    split again replaces it; other splits stay."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/split={split}")
 
 
 # File names and column types of the original input tables.
