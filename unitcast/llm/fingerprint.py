@@ -40,7 +40,6 @@ SKETCHES = 64     # numbers per fingerprint
 _U64 = np.uint64
 _rng = np.random.default_rng(20240229)
 _FACTORS = (_rng.integers(0, 1 << 31, SKETCHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-_SHIFTS = _rng.integers(0, 1 << 32, SKETCHES, dtype=np.uint32)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -87,18 +86,21 @@ def signature(text: str, k: int = K, pick: int = PICK) -> np.ndarray:
     else:
         chosen = np.empty((SKETCHES, pick), dtype=np.int64)
         low = (h >> _U64(32)).astype(np.uint32)
-        bound = min(1 << 32, (16 * pick << 32) // n)
+        bound = min(1 << 32, (8 * pick << 32) // n)
         step = max(1, (1 << 20) // n)
         for a in range(0, SKETCHES, step):
             b = min(SKETCHES, a + step)
-            drawn = low[None, :] * _FACTORS[a:b, None] + _SHIFTS[a:b, None]
-            row, at = np.nonzero(drawn < bound) if bound < 1 << 32 else np.divmod(np.arange((b - a) * n), n)
-            order = np.lexsort((at, drawn[row, at], row))
+            drawn = low[None, :] * _FACTORS[a:b, None]
+            flat = drawn.ravel()
+            hits = np.flatnonzero(flat < bound) if bound < 1 << 32 else np.arange(len(flat))
+            row, at = np.divmod(hits, n)
+            order = np.argsort((row.astype(_U64) << _U64(32)) | flat[hits], kind="stable")
             row, at = row[order], at[order]
             first = np.searchsorted(row, np.arange(b - a + 1))
-            for i in np.flatnonzero(np.diff(first) < pick):     # too few below the bound: take all
+            enough = np.diff(first) >= pick
+            for i in np.flatnonzero(~enough):       # too few below the bound: take all
                 chosen[a + i] = np.argsort(drawn[i], kind="stable")[:pick]
-            good = np.flatnonzero(np.diff(first) >= pick)
+            good = np.flatnonzero(enough)
             chosen[a + good] = at[first[good][:, None] + np.arange(pick)]
         chosen.sort(axis=1)
     out = np.full(SKETCHES, n if n < pick else pick, dtype=_U64)
@@ -154,7 +156,7 @@ def neighbour_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
-        for batch in batches:
+        for batch in common.slices(batches):
             rows = []
             for place, copied, i, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if place != at:
