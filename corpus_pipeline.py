@@ -46,9 +46,10 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text (little-endian unsigned 32-bit), their number, and the
-    digest of the text decoded from them."""
+    digest of the text decoded from them; columns so named are replaced."""
     common.ship(spark)
-    rest = [c for c in docs.columns if c != "text"]
+    made = ("ids", "n_tokens", "decoded", "decoded_sha256")
+    rest = [c for c in docs.columns if c != "text" and c not in made]
     ids = bpe.encode(docs).select(*rest, "ids")
     return bpe.decode(ids).select(*rest, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                                   F.sha2("decoded", 256).alias("decoded_sha256"))

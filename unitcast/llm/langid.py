@@ -114,7 +114,7 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> TextModel | None:
                 held[language] += np.bincount(trigrams(text.as_py()), minlength=BUCKETS)
         for language, found in held.items():
             used = np.flatnonzero(found)
-            yield pa.record_batch([pa.array([language] * len(used)), pa.array(used.astype("int32")),
+            yield pa.record_batch([pa.array([language] * len(used), pa.string()), pa.array(used.astype("int32")),
                                    pa.array(found[used])], names=["_declared", "bucket", "n"])
 
     summed = (chosen.select("_declared", "_text").mapInArrow(run, "_declared string, bucket int, n long")
