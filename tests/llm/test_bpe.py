@@ -1,0 +1,81 @@
+import base64
+import random
+
+import numpy as np
+import pytest
+
+from unitcast.llm import bpe
+
+tiktoken = pytest.importorskip("tiktoken")
+PATH, PATTERN = bpe.default_vocabulary()
+
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(PATH, "rb") as f:
+        return bpe.codec(f.read(), PATTERN)
+
+
+@pytest.fixture(scope="module")
+def judge(codec):
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=codec.vocabulary.ranks, special_tokens={})
+
+
+ODD = ["", " ", "\n", "a", " a", "a  b", "a\n\nb", "it's we'll 'S", "x y", " \t x", "\U0001f600‍\U0001f600", "a" * 5000, " " * 3000 + "x",
+       "中文字　符", "été", "\x1cx \x1c y", "a\r\nb", "1234567 89", "...!? (x)", "՘֋ letters of a later table",
+       "line.\nNext, word; more:\n", "\U00013cc8㢢 \U00011afc\U000196f7뢗"]
+
+
+def test_equals_the_library(codec, judge):
+    rnd = random.Random(1)
+    signs = ["the", "ing", " ", "\n", "'s", "é", "ß", "中", "\U0001f600", "12", ".", " ", "Z", "́", "  "]
+    made = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 30))) for _ in range(3000)]
+    made += ["".join(chr(rnd.choice([rnd.randint(32, 0x2FF), rnd.randint(0x370, 0xD7FF), rnd.randint(0x10000, 0x3FFFF)])) for _ in range(20))
+             for _ in range(500)]
+    for text in ODD + made:
+        ids = np.frombuffer(codec.encode(text), "<u4").tolist()
+        assert ids == judge.encode_ordinary(text), text
+        assert codec.decode(codec.encode(text)) == text.encode()
+
+
+def test_append_and_replace_are_exact(codec):
+    rnd = random.Random(2)
+    data = lambda n: bytes(rnd.choice(b"abtheing ion") for _ in range(n))
+    for _ in range(60):
+        x, more = data(300), data(rnd.randint(0, 9))
+        t = bpe.PrefixTable(codec.vocabulary, x)
+        before = list(t.last)
+        t.append(more)
+        assert t.last[:300] == before and t.last == bpe.PrefixTable(codec.vocabulary, x + more).last
+        start = rnd.randint(0, 290)
+        stop, new = start + rnd.randint(0, 6), data(rnd.randint(0, 6))
+        computed = t.replace(start, stop, new)
+        whole = (x + more)[:start] + new + (x + more)[stop:]
+        assert t.data == whole and t.last == bpe.PrefixTable(codec.vocabulary, whole).last
+        assert computed <= 3 * codec.vocabulary.longest + len(new) + 60
+        assert b"".join(codec.vocabulary.tokens[i] for i in t.tokens()) == whole
+
+
+def test_tables_may_be_small(codec, judge, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
+    small = bpe.Codec(bpe.Vocabulary(codec.vocabulary.ranks), PATTERN)
+    text = "The quick brown foxes' jumping, over (lazy) dogs. " * 3
+    assert np.frombuffer(small.encode(text), "<u4").tolist() == judge.encode_ordinary(text)
+
+
+def test_odd_documents(odd_docs, judge):
+    out = bpe.decode(bpe.encode(odd_docs)).collect()
+    assert len(out) == 8
+    for r in out:
+        assert np.frombuffer(r.ids, "<u4").tolist() == judge.encode_ordinary(r.text or "")
+        assert r.decoded == (r.text or "").encode() and r.shard == 7
+
+
+def test_empty_table(no_docs):
+    assert bpe.decode(bpe.encode(no_docs)).count() == 0
+
+
+def test_rank_file_lines():
+    v = bpe.Vocabulary.parse(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate([b"a", b"b", b"ab"])))
+    assert v.ranks == {b"a": 0, b"b": 1, b"ab": 2} and v.halves(2) == (0, 1)
+    assert bpe.PrefixTable(v, b"abba").tokens() == [2, 1, 0]
