@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unitcast import config
-from unitcast.operators.joins import materialize
+from unitcast.operators.aggregate import with_scalar
 from unitcast.functions.columns import dash_subtype, dash_type, first_token, text_length, tokens, word_count
 
 
@@ -26,18 +26,20 @@ def category_type_subtype(df: DataFrame, name: str = "item_category_name") -> Da
     return df.withColumn("type", dash_type(name)).withColumn("subtype", dash_subtype(name))
 
 
-def term_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, term, tf): term counts per document over the whole text."""
-    # The explicit not-null filter keeps the vocabulary and transform branches
-    # identical, so the token shuffle is computed once and reused by both.
-    return (df.select(F.col(id_col).alias("_id"), F.explode(tokens(text)).alias("term"))
-            .filter(F.col("term").isNotNull())
-            .groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-            .withColumnRenamed("_id", id_col))
+def term_totals(df: DataFrame, text: str) -> DataFrame:
+    """(term, total, df): occurrences of each term and documents that hold it.
+    Every document contributes its terms once per occurrence and once per
+    distinct term; both are summed map-side, so one exchange on the term."""
+    t = df.filter(F.col(text).isNotNull()).select(tokens(text).alias("_t"))
+    each = F.transform("_t", lambda x: F.struct(x.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
+    once = F.transform(F.array_distinct("_t"), lambda x: F.struct(x.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
+    # outer: a plain explode would first split every text again to filter on its size
+    rows = t.select(F.explode_outer(F.concat(each, once)).alias("_c")).select("_c.term", "_c.n", "_c.d")
+    return (rows.filter(F.col("term").isNotNull()).groupBy("term")
+            .agg(F.sum("n").alias("total"), F.sum("d").alias("df")))
 
 
-def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.TFIDF_TERMS,
-              counts: DataFrame | None = None) -> DataFrame:
+def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.TFIDF_TERMS) -> DataFrame:
     """G3 fit: vocabulary of the ``max_features`` most frequent terms.
 
     Returns (term, idx, idf): idx = alphabetical position among the kept
@@ -45,11 +47,8 @@ def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.
     broken by term.  The top-k is a distributed take-ordered (each task keeps
     only ``max_features`` rows), so the vocabulary frame has a proven bound.
     """
-    counts = counts if counts is not None else term_counts(df, id_col, text)
     n_docs = df.select(id_col).agg(F.count(F.lit(1)).alias("n_docs"))
-    per_term = counts.groupBy("term").agg(F.sum("tf").alias("total"),
-                                          F.count(F.lit(1)).alias("df"))
-    top = per_term.orderBy(F.desc("total"), F.asc("term")).limit(max_features)
+    top = term_totals(df, text).orderBy(F.desc("total"), F.asc("term")).limit(max_features)
     top = top.withColumn("n_docs", n_docs.scalar())
     return top.select(
         "term",
@@ -57,25 +56,27 @@ def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.
         (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf_transform(df: DataFrame, vocab: DataFrame, id_col: str, text: str,
-                    counts: DataFrame | None = None) -> DataFrame:
+def tfidf_transform(df: DataFrame, vocab: DataFrame, id_col: str, text: str) -> DataFrame:
     """G3 transform: long form (id, term, idx, weight), L2-normalised per
     document over the kept terms.  Documents without a kept term have no rows.
-    The vocabulary is at most ``max_features`` rows, so it is broadcast; the
-    per-document window holds at most that many rows too."""
-    counts = counts if counts is not None else term_counts(df, id_col, text)
-    w = counts.join(F.broadcast(vocab), "term").withColumn("_w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
-    return w.select(id_col, "term", "idx", (F.col("_w") / norm).alias("weight"))
+    Row-wise: the vocabulary (at most ``max_features`` terms) is one scalar
+    array, each kept term is counted in the row's own tokens, and the norm is
+    a sum over the row's array, so the texts are neither exploded nor shuffled."""
+    words = vocab.agg(F.array_sort(F.collect_list(F.struct("idx", "term", "idf"))).alias("_v"))
+    rows = df.filter(F.col(text).isNotNull()).select(id_col, tokens(text).alias("_t"))
+    rows = with_scalar(rows, words)
+    cells = rows.select(id_col, F.transform("_v", lambda v: F.struct(
+        v["idx"].alias("idx"), v["term"].alias("term"),
+        ((F.size("_t") - F.size(F.array_remove(F.col("_t"), v["term"]))) * v["idf"]).alias("w"))).alias("_c"))
+    norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda s, c: s + c["w"] * c["w"]))
+    out = cells.select(id_col, norm.alias("_norm"), F.explode_outer("_c").alias("_c")).filter("_c.w > 0")
+    return out.select(id_col, "_c.term", "_c.idx", (F.col("_c.w") / F.col("_norm")).alias("weight"))
 
 
 def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = config.TFIDF_TERMS) -> DataFrame:
-    """G3 fit + transform.  Texts are tokenised once: the (id, term, tf)
-    counts are stored in the shared checkpoint folder and read by both the
-    vocabulary fit and the transform."""
-    counts = materialize(term_counts(df, id_col, text))
-    vocab = tfidf_fit(df, id_col, text, max_features, counts=counts)
-    return tfidf_transform(df, vocab, id_col, text, counts=counts)
+    """G3 fit + transform: two scans of the texts, one exchange of term
+    totals, nothing stored."""
+    return tfidf_transform(df, tfidf_fit(df, id_col, text, max_features), id_col, text)
 
 
 def tfidf_wide(long: DataFrame, id_col: str, prefix: str,
