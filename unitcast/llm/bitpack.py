@@ -46,7 +46,7 @@ HEAD = struct.Struct("<4sHHIIIIIQQ")
 BLOCK_IDS = 4096             # ids per block; a multiple of 8, so blocks end at byte borders
 FRAME_IDS = 1 << 18          # a frame is closed once it holds so many ids
 FRAMES_PER_FILE = 32
-CACHE_WORDS = 400_000        # words remembered per worker before starting afresh
+CACHE_WORDS = 200_000        # words that a worker remembers at least
 
 
 def width(vocabulary: int) -> int:
@@ -134,6 +134,54 @@ def frame_bytes(shard: int, number: int, doc_ids: list[int], docs: list[np.ndarr
                      HEAD.size + len(body)) + body
 
 
+def _byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if
+    it is printable, else the next one from U+0100 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in printable else next(rest)) for b in range(256)]
+
+
+_LETTERS = _byte_letters()
+_SIGNS = frozenset(".,;:!?)|")      # a piece of their own behind letters
+_PROBES = ("word", "Word", "été", "ÀÉÎ", "straße", "ñandú", "internationalization", "ªº", "µ", "xyzzyqwrt")
+
+
+class _Words(common.Recent):
+    """Ids (little-endian bytes) of words without blanks."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.merges = tokenizer, tokenizer.model
+        # letters go straight to the vocabulary's merges if that gives the same ids
+        self.direct = all(self._merged(w) == self._whole(w) for w in _PROBES)
+
+    def entries(self) -> int:
+        return CACHE_WORDS
+
+    def _whole(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _merged(self, word: str) -> list[int]:
+        low = word.lower()
+        if not low.isascii():
+            low = "".join([_LETTERS[b] for b in low.encode("utf-8")])
+        return [t.id for t in self.merges.tokenize(low)]
+
+    def compute(self, word: str) -> bytes:
+        if self.direct and (word.isascii() or max(word) < "\u0130"):
+            if word.isalpha():
+                low = word.lower()
+                if low != word:
+                    return self[low]
+                ids = self._merged(low)
+                return struct.pack(f"<{len(ids)}I", *ids)
+            if word[-1:] in _SIGNS and word[:-1].isalpha():
+                return self[word[:-1]] + self[word[-1]]
+        ids = self._whole(word)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordCoder:
     """Ids by a ``tokenizers`` file whose pieces never contain white space, so
     each word between blanks or line breaks is encoded once and remembered."""
@@ -142,23 +190,15 @@ class WordCoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data.decode("utf-8"))
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.words: dict[str, bytes] = {}
+        self.words = _Words(self.tokenizer)
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words
-        if len(known) >= CACHE_WORDS:
-            known.clear()
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[word] = np.array(e.ids, dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), dtype="<u4") for words in split]
+    def encode(self, text: str) -> np.ndarray:
+        words = text.replace("\n", " ").split(" ")
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
 
 
 @functools.lru_cache(maxsize=2)
@@ -186,9 +226,10 @@ def write_ids(docs: DataFrame, path: str, end_id: int, tokenizer: str | None = N
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = coder(shared.value)
-        for batch in batches:
+        for batch in common.slices(batches):
             packed, counts = [], []
-            for ids in tool.encode(batch.column(1).to_pylist()):
+            for text in batch.column(1):
+                ids = tool.encode(text.as_py())
                 packed.append(pack(np.append(ids, np.uint32(end_id)), bits))
                 counts.append(len(ids) + 1)
             shard = np.searchsorted(edges, batch.column(0).to_numpy(zero_copy_only=False), side="right")
@@ -201,7 +242,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int, tokenizer: str | None = N
         def closed():
             return pa.record_batch([pa.array([frame_bytes(at, number, ids, arrays, bits)], pa.binary())], names=["value"])
 
-        for batch in batches:
+        for batch in common.slices(batches):
             for shard, i, n, packed in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if ids and (shard != at or held >= frame_ids):
                     yield closed()

@@ -119,22 +119,9 @@ class Vocabulary:
                 bound, right = right + 1, self.halves(right)[0]
 
 
-class _Recent(dict):
-    """A dict that computes missing values and keeps at least the
-    ``CACHE_ENTRIES`` keys used last, at most twice as many."""
-
-    def __init__(self):
-        self.older: dict = {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= CACHE_ENTRIES:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+class _Recent(common.Recent):
+    def entries(self) -> int:
+        return CACHE_ENTRIES
 
 
 class _Seams(_Recent):

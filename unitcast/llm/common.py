@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from unitcast import config
 
 LAST_ID = (1 << 63) - 1
+BATCH_ROWS = 1000       # rows that Spark sends to a Python worker at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,8 @@ def ship(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     z.write(os.path.join(d, n), os.path.join("unitcast", os.path.relpath(os.path.join(d, n), root)))
     spark.sparkContext.addPyFile(path)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":    # the default: much for whole texts
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     _shipped.add(app)
 
 
@@ -74,6 +77,30 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(key_of(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
+class Recent(dict):
+    """A dict that computes missing values (``compute``) and keeps at least
+    the ``entries()`` keys used last, at most twice as many."""
+
+    def __init__(self):
+        self.older: dict = {}
+
+    def entries(self) -> int:
+        raise NotImplementedError
+
+    def compute(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.entries():
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, so that what a task derives
     from a batch stays small however long the texts are."""
@@ -92,7 +119,7 @@ def id_cuts(df: DataFrame, key: str, parts: int) -> list[int]:
     if parts < 2:
         return []
     q = df.stat.approxQuantile(key, [i / parts for i in range(1, parts)], 1.0 / (4 * parts))
-    return sorted({int(x) for x in q})
+    return sorted({min(int(x), LAST_ID) for x in q})
 
 
 def range_of(key: str, cuts: list[int]) -> Column:
