@@ -20,8 +20,9 @@ def pair_window(keys=PAIR, time: str = T):
     return Window.partitionBy(*keys).orderBy(F.col(time))
 
 
-def product(monthly: DataFrame, rows_per_task: int) -> DataFrame:
-    """(month, shop, item): the shops x items product of each month."""
+def product(monthly: DataFrame, rows_per_task: int, item_features: DataFrame | None = None) -> DataFrame:
+    """(month, shop, item): the shops x items product of each month, with the
+    columns of ``item_features`` (month, item, ...) attached to the item side."""
     shops_m = monthly.select(T, S).distinct()
     items_m = monthly.select(T, I).distinct()
     per_month = (shops_m.groupBy(T).agg(F.count(F.lit(1)).alias("ns"))
@@ -30,14 +31,16 @@ def product(monthly: DataFrame, rows_per_task: int) -> DataFrame:
     salt_of = F.element_at(F.create_map(*[F.lit(x) for kv in sorted(salts.items()) for x in kv]), F.col(T)) \
         if salts else F.lit(1)
     tasks = max(1, sum(salts.values()))
+    if item_features is not None:
+        items_m = items_m.join(item_features, [T, I], "left")
     big = items_m.withColumn("_salt", F.pmod(F.xxhash64(I), salt_of)).repartition(tasks, T, "_salt")
     small = shops_m.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), (salt_of - 1).cast("bigint"))))
-    return big.join(small, [T, "_salt"]).select(T, S, I)
+    return big.join(small, [T, "_salt"]).select(T, S, I, *[c for c in items_m.columns if c not in (T, I)])
 
 
 def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: DataFrame | None = None,
                 clip_hi: float = config.CLIP_HI, rows_per_task: int = 2_000_000,
-                monthly_stored: bool = False) -> DataFrame:
+                monthly_stored: bool = False, item_features: DataFrame | None = None) -> DataFrame:
     """Every shop seen in a month x every item seen in that month.
 
     The product is an equi-join on (month, salt).  Each month gets its own
@@ -49,15 +52,20 @@ def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: D
     ``extra_keys`` (month, shop, item) rows (e.g. the request month) join the
     grid before its single repartition on (shop_id, item_id), the
     partitioning every pair window downstream reuses.  ``value`` is NULL -> 0,
-    then clipped.
+    then clipped.  ``item_features`` (month, item, ...) are joined to the item
+    side before the product, so the panel itself meets no further join for
+    them; ``extra_keys`` bring such columns along by name or lack them.
     """
     monthly = monthly.select(T, S, I, value)
     if not monthly_stored:   # read three times below: store it once
         monthly = materialize(monthly)
-    grid = product(monthly, rows_per_task)
-    grid = grid.select(T, S, I, F.lit(None).cast("double").alias(value))
+    features = [] if item_features is None else [c for c in item_features.columns if c not in (T, I)]
+    grid = product(monthly, rows_per_task, item_features)
+    grid = grid.select(T, S, I, F.lit(None).cast("double").alias(value), *features)
     if extra_keys is not None:
-        grid = grid.unionByName(extra_keys.select(T, S, I, F.lit(None).cast("double").alias(value)))
+        brought = [c for c in features if c in extra_keys.columns]
+        grid = grid.unionByName(extra_keys.select(T, S, I, F.lit(None).cast("double").alias(value), *brought),
+                                allowMissingColumns=True)
     # Grid keys and observed values meet in one (shop, item) exchange; the
     # per-key max keeps the observed value (grid keys cover every observed
     # key).  An aggregate accepts the (shop, item) partitioning for its
@@ -65,9 +73,9 @@ def dense_panel(monthly: DataFrame, value: str = "item_cnt_month", extra_keys: D
     # downstream reuse it too.
     # Column-only repartition: AQE may coalesce the partitions (they stay
     # hash-partitioned on the pair) to its advisory size.
-    cells = grid.unionByName(monthly).repartition(S, I)
-    out = cells.groupBy(S, I, T).agg(F.max(value).alias(value))
-    return out.select(T, S, I, clip(F.coalesce(F.col(value), F.lit(0.0)), config.CLIP_LO, clip_hi).alias(value))
+    cells = grid.unionByName(monthly, allowMissingColumns=True).repartition(S, I)
+    out = cells.groupBy(S, I, T).agg(F.max(value).alias(value), *[F.max(c).alias(c) for c in features])
+    return out.select(T, S, I, clip(F.coalesce(F.col(value), F.lit(0.0)), config.CLIP_LO, clip_hi).alias(value), *features)
 
 
 def union_aligned(a: DataFrame, b: DataFrame, fill=None) -> DataFrame:
@@ -102,6 +110,15 @@ def month_item_price_stats(sales: DataFrame, price: str = "item_price") -> DataF
     return sales.groupBy(T, I).agg(F.sum(F.col(price).cast(DEC)).alias("_s"), F.count(price).alias("_n"))
 
 
+def item_prices(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (month, item, _s, _n): ``(item, _item_avg)`` and ``(month, item,
+    _mi_avg, _item_avg)``, the mean prices that ``price_trend`` reads."""
+    mi = materialize(stats.select(T, I, "_s", "_n"))
+    item = mi.groupBy(I).agg((F.sum("_s").cast("double") / F.nullif(F.sum("_n"), F.lit(0))).alias("_item_avg"))
+    month_item = mi.select(T, I, (F.col("_s").cast("double") / F.nullif(F.col("_n"), F.lit(0))).alias("_mi_avg"))
+    return item, month_item.join(item, I)
+
+
 def price_trend(panel: DataFrame, sales: DataFrame | None = None, lags=config.PRICE_LAGS,
                 mode: str = "reference", price: str = "item_price",
                 name: str = "delta_price_lag", month_item_stats: DataFrame | None = None) -> DataFrame:
@@ -112,7 +129,11 @@ def price_trend(panel: DataFrame, sales: DataFrame | None = None, lags=config.PR
     ``month_item_stats`` when given (e.g. rolled up from a stored
     month-shop-item table, so the sales are not scanned again) or from
     ``sales``; the item mean is the sum of sums over the sum of counts, which
-    is exact and therefore equal to a direct mean."""
+    is exact and therefore equal to a direct mean.  A panel that already
+    carries ``_item_avg`` and ``_mi_avg`` (``item_prices`` attached before the
+    month product) is not joined at all."""
+    if {"_item_avg", "_mi_avg"} <= set(panel.columns):
+        return _trend(panel, lags, mode, name)
     stats = month_item_stats if month_item_stats is not None else month_item_price_stats(sales, price)
     mi = materialize(stats.select(T, I, "_s", "_n"))
     item_mean, _ = checked_broadcast(mi.groupBy(I).agg(
@@ -120,8 +141,11 @@ def price_trend(panel: DataFrame, sales: DataFrame | None = None, lags=config.PR
     month_item, _ = checked_broadcast(mi.select(
         T, I, (F.col("_s").cast("double") / F.nullif(F.col("_n"), F.lit(0))).alias("_mi_avg")),
         materialized=True)
-    out = panel.join(item_mean, I, "left").join(month_item, [T, I], "left")
-    out = add_lags(out, "_mi_avg", lags)
+    return _trend(panel.join(item_mean, I, "left").join(month_item, [T, I], "left"), lags, mode, name)
+
+
+def _trend(panel: DataFrame, lags, mode: str, name: str) -> DataFrame:
+    out = add_lags(panel, "_mi_avg", lags)
     # an item whose mean price is 0 has no relative change: missing, so its trend is 0
     deltas = [F.try_divide(F.col(f"_mi_avg_lag_{k}") - F.col("_item_avg"), F.col("_item_avg")) for k in lags]
     out = out.withColumn(name, F.coalesce(first_truthy(deltas, mode), F.lit(0.0)))

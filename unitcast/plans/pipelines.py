@@ -77,13 +77,20 @@ def month_item_stats(cells: DataFrame) -> DataFrame:
 
 def request_panel(sales: DataFrame, request: DataFrame, target_month: int = config.TARGET_MONTH,
                   holdout_month: int = config.HOLDOUT_MONTH, materialized: bool = False,
-                  cells: DataFrame | None = None) -> DataFrame:
+                  cells: DataFrame | None = None, with_prices: bool = False) -> DataFrame:
     """C4 + D4: history panel plus the request month (target 0).  Request keys
     enter the grid before its single (shop, item) exchange; ``materialized``
-    stores it bucketed on the pair for plans that read it more than once."""
+    stores it bucketed on the pair for plans that read it more than once.
+    ``with_prices`` attaches the mean prices of F3-F5 to the month-item side
+    before the product."""
     req = request.select(S, I).withColumn(T, F.lit(target_month).cast("int"))
     cells = cells if cells is not None else panel_cells(sales, holdout_month)
-    p = panel.dense_panel(cells, extra_keys=req, monthly_stored=True).select(*KEYS, "item_cnt_month")
+    prices = None
+    if with_prices:
+        item, prices = panel.item_prices(month_item_stats(cells))
+        req = req.join(item, I, "left")
+    p = panel.dense_panel(cells, extra_keys=req, monthly_stored=True, item_features=prices)
+    p = p.select(*KEYS, "item_cnt_month", *(["_mi_avg", "_item_avg"] if with_prices else []))
     if materialized:
         return materialize_bucketed(p, [S, I], [S, I, T])
     return p
@@ -100,10 +107,10 @@ def panel_feature_table(sales: DataFrame, request: DataFrame, target_month: int
     """The panel pipeline's feature table: lags 1/2/3/6/12 (F1), month-mean
     lag (F2), price trend (F3-F5), pair and item recency (F6, F7)."""
     cells = panel_cells(sales, holdout_month)          # the only scan of the sales
-    p = request_panel(sales, request, target_month, holdout_month, materialized=True, cells=cells)
+    p = request_panel(sales, request, target_month, holdout_month, materialized=True, cells=cells, with_prices=True)
     p = panel.add_lags(p, "item_cnt_month", config.COUNT_LAGS)
     p = panel.month_mean_lag(p)
-    p = panel.price_trend(p, month_item_stats=month_item_stats(cells))
+    p = panel.price_trend(p)
     p = panel.pair_recency(p)
     p = panel.item_recency(p, first_rows=request_order(request, target_month))
     return p.withColumn("delta_price_lag", rnd("delta_price_lag", 6))
@@ -113,8 +120,8 @@ def price_trend_table(sales: DataFrame, request: DataFrame, target_month: int =
                       holdout_month: int = config.HOLDOUT_MONTH, mode: str = "reference") -> DataFrame:
     """F3-F5 on the request panel, from a single scan of the sales."""
     cells = panel_cells(sales, holdout_month)
-    p = request_panel(sales, request, target_month, holdout_month, cells=cells)
-    return panel.price_trend(p, mode=mode, month_item_stats=month_item_stats(cells))
+    p = request_panel(sales, request, target_month, holdout_month, cells=cells, with_prices=True)
+    return panel.price_trend(p, mode=mode)
 
 
 def clipped_monthly(sales: DataFrame, holdout_month: int = config.HOLDOUT_MONTH) -> DataFrame:
