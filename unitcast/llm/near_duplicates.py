@@ -1,26 +1,28 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
-Finds all pairs of different texts whose sets of five-word shingles have a
-Jaccard similarity of at least ``threshold``.
+Links all pairs of different texts whose sets of five-word shingles have a
+Jaccard similarity of at least ``threshold``, without ever writing the pairs:
+a group of n similar texts costs n block rows, not n^2 pair rows.
 
 1. Equal texts are one node (128-bit digest); only its smallest document goes on.
-2. Candidates share all ``ROWS`` MinHash values of one of ``BANDS`` bands.  A
-   pair at the threshold 0.8 is missed with probability (1 - 0.8^8)^72, about
-   2e-6, and more similar pairs far less.
-3. Pruning: ``CHECKS`` further MinHash values, independent of the bands, are
+2. Candidates share all ``ROWS`` MinHash values of one of ``BANDS`` bands (a
+   bucket).  A pair at the threshold 0.8 is missed with probability
+   (1 - 0.8^8)^72, about 2e-6, and more similar pairs far less.
+3. Nodes are dealt into blocks of about ``BLOCK``: around the smallest node that
+   shares a bucket with them, large groups split by hash.  Every pair of blocks
+   that shares a bucket is one task group; it gets the nodes of both blocks and
+   looks for candidates (equal bands) between them.  Each pair of nodes belongs
+   to exactly one pair of blocks.
+4. Pruning: ``CHECKS`` further MinHash values, independent of the bands, are
    compared ``STEP`` at a time.  After n values with m matches the similarity
    has a Beta(m + 1, n - m + 1) posterior (uniform prior); the pair is dropped
    once the probability of reaching the threshold falls below ``TOLERANCE``.
-4. The rest is verified exactly on the sets of 64-bit shingle hashes.
+5. The rest is verified exactly on the sets of 64-bit shingle hashes.  A group
+   returns the number of links of each node and a spanning forest of them.
 
-Steps 3 and 4 run on blocks: nodes around one centre (smallest candidate
-neighbour) are split into blocks of about ``BLOCK`` nodes, and every pair of
-blocks that holds candidates is one task group.  So a node's shingles are
-shipped once per block pair, not once per candidate, and no group grows with
-the size of a cluster.  Candidate ids and copies are broadcast only if their
-counted rows are few; otherwise the same join shuffles.
-
-Classes are the connected components over all links (equal texts included).
+Candidate ids and copies are broadcast only if their counted rows are few;
+otherwise the same join shuffles.  Classes are the connected components over
+all links (equal texts included).
 
 Edge cases: a null text is empty; a text without words is linked to nothing
 and shares a class with equal texts only; a text of fewer than five words has
@@ -52,7 +54,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 72, 8
 CHECKS, STEP = 128, 16
 TOLERANCE = 1e-8
-BLOCK = 64
+BLOCK = 128
 SEGMENT = 1 << 16           # shingles hashed at a time
 
 _rng = np.random.default_rng(20110429)
@@ -160,7 +162,8 @@ def _band_rows(sets: DataFrame) -> DataFrame:
 
 
 def _marked(sets: DataFrame) -> DataFrame:
-    """``(_node, _marks, _set)``: 16 bits of each check value, sorted hashes."""
+    """``(_node, _keys, _marks, _set)``: band keys, 16 bits of each check
+    value, sorted shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
@@ -168,57 +171,95 @@ def _marked(sets: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             flat, lengths = _flat(batch.column(1))
-            marks = min_hashes(flat, lengths, slice(BANDS * ROWS, None)).astype("<u2")
+            values = min_hashes(flat, lengths, slice(None))
+            keys, marks = band_keys(values[:, :BANDS * ROWS]), values[:, BANDS * ROWS:].astype("<u2")
             parts = np.split(flat, np.cumsum(lengths)[:-1])
             yield pa.record_batch(
-                [batch.column(0), pa.array([m.tobytes() for m in marks], pa.binary()),
+                [batch.column(0), pa.array([k.tobytes() for k in keys], pa.binary()),
+                 pa.array([m.tobytes() for m in marks], pa.binary()),
                  pa.array([np.sort(p).astype("<i8").tobytes() for p in parts], pa.binary())],
-                names=["_node", "_marks", "_set"])
+                names=["_node", "_keys", "_marks", "_set"])
 
-    return sets.mapInArrow(run, "_node binary, _marks binary, _set binary")
+    return sets.mapInArrow(run, "_node binary, _keys binary, _marks binary, _set binary")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return common.texts(docs, id_col, text_col).withColumn("_node", F.unhex(F.md5(F.col("_text").cast("binary"))))
 
 
-def _verified(candidates: DataFrame, first: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """Links among candidate pairs ``(_a, _b)``; ``first`` has one row per node."""
-    both = candidates.unionByName(candidates.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
-    centres = common.stored(both.groupBy(F.col("_a").alias("_node")).agg(F.min("_b").alias("_m"))
-                            .select("_node", F.least("_node", "_m").alias("_centre")), "centres")
-    blocks = centres.groupBy("_centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
-    placed = centres.join(blocks, "_centre").select(
+def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Star edges (node, smallest node of its component) over 0 .. n - 1."""
+    root = list(range(n))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist()):
+        x, y = find(x), find(y)
+        root[max(x, y)] = min(x, y)
+    return [(x, find(x)) for x in range(n) if find(x) != x]
+
+
+def _blocks(buckets: DataFrame) -> DataFrame:
+    """``(_node, _block)`` from the rows ``(_node, _key, _least)`` of shared
+    buckets: nodes around the smallest node they share a bucket with."""
+    centres = common.stored(buckets.groupBy("_node").agg(F.min("_least").alias("_centre")), "centres")
+    sizes = centres.groupBy("_centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
+    return centres.join(sizes, "_centre").select(
         "_node", F.xxhash64("_centre", F.pmod(F.xxhash64("_node"), "_blocks")).alias("_block"))
-    of = lambda side: placed.select(F.col("_node").alias(side), F.col("_block").alias(side + "k"))
-    pairs = (candidates.join(of("_a"), "_a").join(of("_b"), "_b")
-             .select("_a", "_b", F.least("_ak", "_bk").alias("_lo"), F.greatest("_ak", "_bk").alias("_hi")))
+
+
+def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """``(_a, _b, _n)``: link counts of nodes (``_b`` null; to be summed) and
+    edges ``(_a, _b)`` of spanning forests (``_n`` 0).  ``bands`` has the band
+    rows, ``first`` one row per node."""
+    shared = bands.groupBy("_key").agg(F.min("_node").alias("_least"), F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    buckets = common.stored(bands.join(shared.select("_key", "_least"), "_key"), "buckets")
+    blocks = common.stored(_blocks(buckets), "blocks")
+    held = buckets.select("_node", "_key").join(blocks, "_node").select("_key", "_block").distinct()
+    held = common.stored(held, "bucket-blocks")
+    pairs = (held.select("_key", F.col("_block").alias("_lo"))
+             .join(held.select("_key", F.col("_block").alias("_hi")), "_key").filter("_lo <= _hi")
+             .select("_lo", "_hi").distinct())
     pairs = common.stored(pairs, "block-pairs")
-    wanted = pairs.select(F.col("_lo").alias("_l"), F.col("_hi").alias("_h"),
-                          F.explode(F.array("_a", "_b")).alias("_node")).distinct()
-    near = first.join(checked(centres.select("_node")), "_node", "left_semi")
-    sets = _marked(_sets(near)).join(wanted, "_node")
-
-    def verify(pair: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        held = held.drop_duplicates("_node")
-        index = {n: i for i, n in enumerate(held["_node"])}
-        marks = np.array([np.frombuffer(m, "<u2") for m in held["_marks"]])
-        arrays = [np.frombuffer(s, "<i8") for s in held["_set"]]
-        a = np.array([index[n] for n in pair["_a"]], dtype=np.int64)
-        b = np.array([index[n] for n in pair["_b"]], dtype=np.int64)
-        found, likeness = similar_pairs(a, b, marks, arrays, threshold, tolerance)
-        return pd.DataFrame({"_a": pair["_a"].iloc[found].to_numpy(), "_b": pair["_b"].iloc[found].to_numpy(),
-                             "jaccard": likeness})
-
-    return pairs.groupBy("_lo", "_hi").cogroup(sets.groupBy("_l", "_h")).applyInPandas(
-        verify, "_a binary, _b binary, jaccard double")
+    wanted = pairs.select("_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_block"))
+    wanted = wanted.join(blocks, "_block")
+    near = first.join(checked(blocks.select("_node")), "_node", "left_semi")
+    rows = _marked(_sets(near)).join(wanted, "_node")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates("_node").sort_values("_node", ignore_index=True)
+        lo, hi = group["_lo"].iloc[0], group["_hi"].iloc[0]
+        nodes, n = group["_node"].to_numpy(), len(group)
+        left = np.flatnonzero(group["_block"] == lo)
+        right = np.flatnonzero(group["_block"] == hi)
+        keys = np.array([np.frombuffer(k, "<u8") for k in group["_keys"]])
+        marks = np.array([np.frombuffer(m, "<u2") for m in group["_marks"]])
+        sets = [np.frombuffer(s, "<i8") for s in group["_set"]]
+        a, b = [], []
+        for x in left:      # candidates: at least one equal band
+            y = right[right > x] if lo == hi else right
+            y = y[(keys[y] == keys[x]).any(axis=1)]
+            a.append(np.full(len(y), x))
+            b.append(y)
+        a, b = np.concatenate([*a, np.empty(0, np.int64)]).astype(np.int64), np.concatenate([*b, np.empty(0, np.int64)]).astype(np.int64)
+        found, _ = similar_pairs(a, b, marks, sets, threshold, tolerance)
+        counts = np.bincount(np.concatenate([a[found], b[found]]), minlength=n)
+        some, edges = np.flatnonzero(counts), _forest(n, a[found], b[found])
+        return pd.DataFrame({"_a": [*nodes[some], *[nodes[x] for x, _ in edges]],
+                             "_b": [*[None] * len(some), *[nodes[y] for _, y in edges]],
+                             "_n": [*counts[some].tolist(), *[0] * len(edges)]})
+
+    return rows.groupBy("_lo", "_hi").applyInPandas(compare, "_a binary, _b binary, _n long")
 
 
 def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """``(nodes, links)``: nodes ``(_node, _first, _rows)`` are the different
-    texts with their smallest document and row count; links ``(_a, _b,
-    jaccard)`` the similar pairs of nodes, each once."""
+    texts with their smallest document and row count; links as ``_linked``."""
     keyed = _keyed(docs, id_col, text_col)
     nodes = common.stored(keyed.groupBy("_node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")),
                           "nodes")
@@ -226,43 +267,37 @@ def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
               .join(nodes.filter("_rows > 1").select("_node", "_first"), "_node").filter("_id != _first")
               .select("_node", "_id"))
     first = keyed.join(checked(common.stored(copies, "copies")), ["_node", "_id"], "left_anti")
-    bands = _band_rows(_sets(first))
-    candidates = (bands.select(F.col("_node").alias("_a"), "_key")
-                  .join(bands.select(F.col("_node").alias("_b"), "_key"), "_key")
-                  .filter("_a < _b").select("_a", "_b").distinct())
-    candidates = common.stored(candidates, "candidate-pairs")
-    return nodes, common.stored(_verified(candidates, first, threshold, tolerance), "links")
+    bands = common.stored(_band_rows(_sets(first)), "bands")
+    return nodes, common.stored(_linked(bands, first, threshold, tolerance), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: doc_id, class_id (smallest document of its
     connected component), text_id (smallest document of equal text), n_links
-    (different texts linked to its own), and on the document that stands for
-    its text ``links``, their text_ids."""
+    (different texts linked to its own)."""
     return _classified(docs, id_col, text_col, threshold, tolerance).select(
         common.id_of("_id").alias("doc_id"), common.id_of("_class").alias("class_id"),
-        common.id_of("_first").alias("text_id"), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("_id") == F.col("_first"), F.coalesce("_linked", F.array().cast("array<bigint>"))).alias("links"))
+        common.id_of("_first").alias("text_id"), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def _classified(docs: DataFrame, id_col: str, text_col: str, threshold: float, tolerance: float) -> DataFrame:
-    """``(_id, _node, _first, _class, _links, _linked)`` of each document."""
+    """``(_id, _node, _first, _class, _links)`` of each document."""
     nodes, links = join_texts(docs, id_col, text_col, threshold, tolerance)
-    both = links.select("_a", "_b").unionByName(links.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
-    other = nodes.select(F.col("_node").alias("_b"), F.col("_first").alias("_other"))
-    linked = (both.join(other, "_b").groupBy(F.col("_a").alias("_node"))
-              .agg(F.count(F.lit(1)).alias("_links"), F.array_sort(F.collect_list("_other")).alias("_linked")))
-    known = common.stored(nodes.join(linked, "_node", "left"), "linked-nodes")
-    edges = known.filter("_links > 0").select(F.col("_first").alias("u"), F.explode("_linked").alias("v"))
+    first = nodes.select("_node", "_first")
+    counts = links.filter("_b IS NULL").groupBy(F.col("_a").alias("_node")).agg(F.sum("_n").alias("_links"))
+    edges = (links.filter("_b IS NOT NULL").select("_a", "_b").distinct()
+             .join(first.select(F.col("_node").alias("_a"), F.col("_first").alias("u")), "_a")
+             .join(first.select(F.col("_node").alias("_b"), F.col("_first").alias("v")), "_b").select("u", "v"))
     keyed = _keyed(docs, id_col, text_col).select("_id", "_node").distinct()
     # an id with several texts holds them together
     split = keyed.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    held = keyed.join(split, "_id", "left_semi").join(nodes.select("_node", "_first"), "_node").select(
+    held = keyed.join(split, "_id", "left_semi").join(first, "_node").select(
         F.col("_id").alias("u"), F.col("_first").alias("v"))
     found = components(edges.unionByName(held)).select(F.col("vertex").alias("_first"), F.col("component").alias("_class"))
-    classed = known.join(found, "_first", "left").withColumn("_class", F.coalesce("_class", "_first"))
-    return keyed.join(classed.drop("_rows"), "_node")
+    classed = (first.join(counts, "_node", "left").join(found, "_first", "left")
+               .withColumn("_class", F.coalesce("_class", "_first")))
+    return keyed.join(classed, "_node")
 
 
 def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
