@@ -46,7 +46,7 @@ HEAD = struct.Struct("<4sHHIIIIIQQ")
 BLOCK_IDS = 4096             # ids per block; a multiple of 8, so blocks end at byte borders
 FRAME_IDS = 1 << 18          # a frame is closed once it holds so many ids
 FRAMES_PER_FILE = 32
-CACHE_WORDS = 200_000        # words that a worker remembers at least
+CACHE_WORDS = 350_000        # words that a worker remembers at least
 
 
 def width(vocabulary: int) -> int:
@@ -152,34 +152,31 @@ class _Words(common.Recent):
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.merges = tokenizer, tokenizer.model
+        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
+        self.four = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
         # letters go straight to the vocabulary's merges if that gives the same ids
-        self.direct = all(self._merged(w) == self._whole(w) for w in _PROBES)
+        self.direct = all(self._merged(w.lower()) == self._whole(w) for w in _PROBES)
 
     def entries(self) -> int:
         return CACHE_WORDS
 
-    def _whole(self, word: str) -> list[int]:
-        return self.tokenizer.encode(word, add_special_tokens=False).ids
+    def _whole(self, word: str) -> bytes:
+        return b"".join([self.four[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
-    def _merged(self, word: str) -> list[int]:
-        low = word.lower()
+    def _merged(self, low: str) -> bytes:
         if not low.isascii():
             low = "".join([_LETTERS[b] for b in low.encode("utf-8")])
-        return [t.id for t in self.merges.tokenize(low)]
+        four = self.four
+        return b"".join([four[t.id] for t in self.merge(low)])
 
     def compute(self, word: str) -> bytes:
         if self.direct and (word.isascii() or max(word) < "\u0130"):
             if word.isalpha():
                 low = word.lower()
-                if low != word:
-                    return self[low]
-                ids = self._merged(low)
-                return struct.pack(f"<{len(ids)}I", *ids)
+                return self._merged(low) if low == word else self[low]
             if word[-1:] in _SIGNS and word[:-1].isalpha():
                 return self[word[:-1]] + self[word[-1]]
-        ids = self._whole(word)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self._whole(word)
 
 
 class WordCoder:
