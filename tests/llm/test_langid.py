@@ -54,6 +54,30 @@ def test_gibberish_is_rejected_and_columns_stay(spark, corpus):
     assert {r.doc_id for r in kept.collect()} == set(range(600))
 
 
+def test_rare_languages_stay(spark):
+    """2 of 2,000 rows (0.1 %) each in another script and in the common one."""
+    rnd, rare = random.Random(6), {"el": ["και", "του", "μέν", "ώρα", "σις"], "qz": ["wub", "zog", "kri", "fah", "ujo"]}
+    word = lambda roots: "".join(rnd.choice(roots) for _ in range(rnd.randint(1, 3)))
+    rows = [(i, text(rnd, x := ["xa", "yb", "zc"][i % 3], rnd.choice([10, 80])), x, "src1") for i in range(1996)]
+    rows += [(2000 + 2 * k + j, " ".join(word(roots) for _ in range(60)), x, "src1")
+             for k, (x, roots) in enumerate(rare.items()) for j in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    found = {r["_id"]: r for r in langid.identify(df, "doc_id", "text", declared_col="lang", host_col="source").collect()}
+    assert [found[i].language for i in range(2000, 2004)] == ["el", "el", "qz", "qz"]
+    assert all(found[i].language == x for i, _, x, _ in rows)
+    assert langid.accepted(df, declared_col="lang", host_col="source").count() == len(rows)
+
+
+def test_every_declared_language_is_modelled(spark):
+    codes = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"]
+    rows = [(i, chr(0x4E00 + 40 * (i % 100)) * 9 + chr(0x4E01 + 40 * (i % 100)) * 9, codes[i % 100]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df.selectExpr("doc_id AS _id", "text AS _text", "lang AS _declared"))
+    assert model.languages == [*sorted(codes), langid.UND]
+    found = langid.identify(df, "doc_id", "text", declared_col="lang").collect()
+    assert all(r.language == r.declared and r.keep for r in found)
+
+
 def brute_posterior(model, rows, i):
     """Fusion of one row by plain loops; rows: (text, declared, suffix, host, domain)."""
     ll = [model.log_likelihood(r[0]) for r in rows]

@@ -15,11 +15,13 @@ proved to agree with the texts.  A row's own posterior is taken out of the
 counts it is combined with.  A further class, ``und``, stands for text that is
 no language seen (uniform trigrams).
 
-The text model is trained on a bounded sample: about ``SAMPLE`` labelled rows
-per declared language, chosen by a hash of the row; languages with fewer than
-``LEAST_SHARE`` of the labelled rows are not modelled (their rows are scored
-like any other).  Everything else covers all rows.  Only the model
-(languages x buckets) and one row of totals reach the driver.
+The text model has every declared language, each trained on its own bounded
+sample: about ``SAMPLE`` labelled rows chosen by a hash of the row, or all rows
+of a rarer language.  ``PSEUDO`` smooths towards uniform trigrams, that is
+towards ``und``: a language of few rows is weighed down where a larger model
+fits, yet beats ``und`` on trigrams it has seen.  Everything else covers all
+rows.  Only the model (languages x buckets), the row count of each declared
+language and one row of totals reach the driver.
 
 A row is rejected if ``und`` wins or the winner's posterior is below
 ``LEAST_POSTERIOR``.
@@ -49,8 +51,6 @@ from unitcast.llm.decontaminate import checked
 UND = "und"
 BUCKETS = 1 << 14
 SAMPLE = 2000                # training rows per declared language
-LEAST_SHARE = 0.002          # of the labelled rows, for a language to be modelled
-MOST_LANGUAGES = 64
 PSEUDO = 0.5                 # added to every trigram count
 OVERLAP = 1 / 3              # trigrams share two of three signs
 MOST_EVIDENCE = 300          # trigrams that a text counts for at most, after OVERLAP
@@ -95,16 +95,18 @@ def primary(language: Column) -> Column:
 
 
 def train(rows: DataFrame, sample: int = SAMPLE) -> TextModel | None:
-    """Fit the trigram model on a bounded sample of ``(_id, _text, _declared)``."""
-    counts = rows.filter("_declared IS NOT NULL").groupBy("_declared").count()
-    most = counts.orderBy(F.desc("count"), "_declared").limit(MOST_LANGUAGES).collect()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    sizes = {r["_declared"]: r["count"] for r in most if r["count"] >= LEAST_SHARE * total and r["_declared"] != UND}
+    """Fit the trigram model on a sample of ``(_id, _text, _declared)`` that is
+    bounded for each declared language."""
+    labelled = rows.filter(F.col("_declared") != UND)
+    sizes = {r["_declared"]: r["count"] for r in labelled.groupBy("_declared").count().collect()}
     if not sizes:
         return None
-    share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, sample / n)))])
+    share, large = F.lit(1.0), {k: n for k, n in sizes.items() if n > sample}
+    if large:       # the others are taken whole
+        drawn = F.create_map(*[x for k, n in large.items() for x in (F.lit(k), F.lit(sample / n))])
+        share = F.coalesce(drawn[F.col("_declared")], share)
     draw = F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = rows.filter(F.col("_declared").isin(list(sizes))).filter(draw < share[F.col("_declared")])
+    chosen = labelled.filter(draw < share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
