@@ -26,9 +26,6 @@ COLD_START_FACTOR = 0.225
 TFIDF_TERMS = 25
 REGRESSION_LAGS = 9
 
-# Upper clip used by model queries: with 20 most grain-B cells saturate.
-MODEL_CLIP_HI = 100.0
-
 # Bytes under which a derived side may be broadcast (measured, see
 # operators.joins.checked_broadcast).
 BROADCAST_MAX_BYTES = 64 << 20

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from unitcast import config
 from unitcast.functions.columns import parse_day_first, rnd
 from unitcast.plans import pipelines
+from unitcast.plans.modelq import flat_tables
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, rnd as srnd, sql
 from unitcast.sources import tpch
@@ -45,23 +46,17 @@ LEFT JOIN shops s ON r.shop_id = s.shop_id
                 zip(pipelines.NAME_COLS, ("s", "c", "i"))), FLAT_CTES)
 
 
-def _frames(spark, sf_dir):
-    return pipelines.flat_model_tables(
-        tpch.sales(spark, sf_dir), tpch.request(spark, sf_dir), tpch.items(spark, sf_dir), tpch.categories(spark, sf_dir),
-        tpch.shops(spark, sf_dir), H, TM)
-
-
 @query("flat_model_frame", _frame_sql("rows_h", f"least(greatest(r.item_cnt_month, {config.CLIP_LO}), {config.CLIP_HI})"))
 def q_flat_model_frame(spark, sf_dir):
-    """The history frame that forests and flat boosted models train on (shop x item)."""
-    hist, _ = _frames(spark, sf_dir)
+    """The history frame (shop x item) that the flat forests and flat boosted models train on."""
+    hist, _ = flat_tables(spark, sf_dir)
     return hist.withColumn("item_cnt_month_mean", rnd("item_cnt_month_mean", 6)).select(*FRAME_COLS)
 
 
 @query("flat_scoring_frame", _frame_sql("rows_r", "r.item_cnt_month", "r.ID, "))
 def q_flat_scoring_frame(spark, sf_dir):
     """The request frame those models score, with the calendar continued from the sales."""
-    _, req = _frames(spark, sf_dir)
+    _, req = flat_tables(spark, sf_dir)
     return req.withColumn("item_cnt_month_mean", rnd("item_cnt_month_mean", 6)).select("ID", *FRAME_COLS)
 
 

@@ -1,8 +1,9 @@
 """Phase 5-6 queries: splits, metrics, cold-start fill, Spark ML models, sinks.
 
-Model queries train on grain B (nation x category), whose size is bounded by
-shops x items x months, so fit time stays flat while the scans and
-aggregations feeding it grow with the data.  Their outputs are checked by
+Flat-table model queries train on all observed shop x item months (grain A),
+the frame that ``flat_model_frame`` checks, so fit time grows with the data.
+Panel and month-matrix models train on grain B (nation x category), where the
+dense panel is bounded by shops x items x months.  Their outputs are checked by
 row count (no SQL oracle for fitted models); metrics, fills and sinks use a
 deterministic stand-in prediction (the pair's mean monthly units) and are
 checked against SQL.
@@ -29,7 +30,7 @@ from unitcast.plans.sqlparts import H, TM, exact_sum as sexact_sum, rnd as srnd,
 from unitcast.sources import files, tpch
 
 LABEL = "item_cnt_month"
-MODEL_CLIP = (config.CLIP_LO, config.MODEL_CLIP_HI)
+MODEL_CLIP = (config.CLIP_LO, config.CLIP_HI)
 
 
 
@@ -172,24 +173,23 @@ def q_linreg_predictions(spark, sf_dir):
     return pipelines.regression_predictions(tpch.sales(spark, sf_dir), tpch.request(spark, sf_dir), H, TM)
 
 
-# ---- flat monthly table + scoring frame (grain B) ---------------------------------
+# ---- flat monthly table + scoring frame (grain A) ---------------------------------
 
 _FLAT: dict = {}
 
 
-def flat_tables(spark, sf_dir, grain="B", with_text=False):
+def flat_tables(spark, sf_dir, with_text=False):
     """Flat history and scoring frame (checkpointed once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir, grain, with_text)
+    key = (spark.sparkContext.applicationId, sf_dir, with_text)
     if key not in _FLAT:
-        _FLAT[key] = _flat_tables(spark, sf_dir, grain, with_text)
+        _FLAT[key] = _flat_tables(spark, sf_dir, with_text)
     return _FLAT[key]
 
 
-def _flat_tables(spark, sf_dir, grain="B", with_text=False):
+def _flat_tables(spark, sf_dir, with_text=False):
     return pipelines.flat_model_tables(
-        tpch.sales_grain(spark, sf_dir, grain), tpch.request(spark, sf_dir, grain),
-        tpch.items_grain(spark, sf_dir, grain), tpch.categories(spark, sf_dir),
-        tpch.shops_grain(spark, sf_dir, grain), H, TM, with_text=with_text, clip_hi=config.MODEL_CLIP_HI)
+        tpch.sales(spark, sf_dir), tpch.request(spark, sf_dir), tpch.items(spark, sf_dir),
+        tpch.categories(spark, sf_dir), tpch.shops(spark, sf_dir), H, TM, with_text=with_text)
 
 
 _FORESTS: dict = {}
