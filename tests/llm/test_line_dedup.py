@@ -35,6 +35,23 @@ def test_odd_documents(odd_docs):
     assert line_dedup.dedup_lines(odd_docs).count() == odd_docs.count()
 
 
+def test_many_texts_of_null_and_repeated_ids(spark):
+    """Lists of lines to drop are as long as a text, not as all texts of an id."""
+    line = lambda i, k: f"passage number {i} {k}"
+    rows = [(i, "\n".join(line(i, k) for k in range(4))) for i in range(40)]
+    for i in (None, 40):
+        rows += [(i, "\n".join([*(line(j, k) for k in range(4)), f"a line of {i}", f"own line {i} {j}"])) for j in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {(r.doc_id, r.text): r._kept for r in line_dedup.dedup_lines(df).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows[40:]:
+        assert got[i, t].n_dropped == 4 and got[i, t].kept.split("\n") == t.split("\n")[4:]
+    assert all(got[i, t].kept == t for i, t in rows[:40])
+    keyed = df.selectExpr(f"coalesce(doc_id, {(1 << 63) - 1}L) AS _id", "text AS _text", "xxhash64(text) AS _text_hash")
+    longest = line_dedup.line_drops(keyed).agg(F.max(F.size("_drop"))).first()[0]
+    assert longest == 2 * 4
+
+
 def test_empty_table(no_docs):
     assert line_dedup.dedup_lines(no_docs).count() == 0
 

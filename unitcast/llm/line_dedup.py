@@ -10,7 +10,8 @@ O(fanout * log n) runs and each hash is rewritten O(log n) times.
 ``dedup_lines`` feeds a table in batches of ascending id ranges: a line's
 first holder is then the smallest document id holding it.  A hot line is
 reduced by the map-side combine of ``min(id)`` before the shuffle, and the
-decision join is on (hash, id), so no key gathers more than one document.
+decision join is on (hash, id).  The hashes to drop are collected by id and
+text, so no array exceeds the lines of one text, however many rows an id has.
 
 Semantics: lines are split at ``\\n``; a line's key is the line stripped of
 ``[\\x20\\x09-\\x0D]`` at both ends with A-Z lower-cased.  Keys shorter than
@@ -50,21 +51,23 @@ def line_key(line: str, min_chars: int = MIN_CHARS) -> bytes | None:
 
 
 def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``(_id, k1, k2)``, once per line key of each row of ``(_id, _text)``."""
+    """``(_id, _text_hash, k1, k2)``, once per line key of each row of
+    ``(_id, _text_hash, _text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids, hashes, keys = [], [], []
+            for i, h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 found = {line_key(x, min_chars) for x in text.as_py().split("\n")}
                 found.discard(None)
                 ids += [i] * len(found)
+                hashes += [h] * len(found)
                 keys += found
             pair = np.frombuffer(b"".join(keys), dtype="<i8").reshape(-1, 2)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())],
-                                  names=["_id", "k1", "k2"])
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(pair[:, 0].copy()),
+                                   pa.array(pair[:, 1].copy())], names=["_id", "_text_hash", "k1", "k2"])
 
-    return docs.select("_id", "_text").mapInArrow(run, "_id long, k1 long, k2 long")
+    return docs.select("_id", "_text_hash", "_text").mapInArrow(run, "_id long, _text_hash long, k1 long, k2 long")
 
 
 class LineRuns:
@@ -86,8 +89,8 @@ class LineRuns:
         return name
 
     def add(self, lines: DataFrame) -> DataFrame:
-        """Anti-join a batch of ``(_id, k1, k2)`` with all runs, add what is
-        new as a run, and return the (id, hash) rows whose lines are to go."""
+        """Anti-join a batch of ``(_id, k1, k2)`` (other columns stay) with all
+        runs, add what is new as a run, and return the rows whose lines are to go."""
         fresh = lines.groupBy("k1", "k2").agg(F.min("_id").alias("_id"))
         for run in self.runs:
             fresh = fresh.join(self.spark.table(run).select("k1", "k2").hint("merge"), ["k1", "k2"], "left_anti")
@@ -129,8 +132,9 @@ class LineRuns:
 
 
 def line_drops(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """``(_id, _drop)``: per document the hashes of its lines that go, as one
-    flat array ``[k1, k2, k1, k2, ...]``."""
+    """``(_id, _text_hash, _drop)``: per document and text the hashes of its
+    lines that go, as one flat array ``[k1, k2, k1, k2, ...]``.  Whether a line
+    goes depends on its document alone, so texts of one hash may share a list."""
     spark = docs.sparkSession
     cuts = common.id_cuts(docs, "_id", batches)
     lines = common.stored(line_hashes(docs, min_chars), "line_hashes")
@@ -144,7 +148,7 @@ def line_drops(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCH
         drops = runs.add(part)
         out = drops if out is None else out.unionByName(drops)
     runs.close()
-    return out.groupBy("_id").agg(F.flatten(F.collect_list(F.array("k1", "k2"))).alias("_drop"))
+    return out.groupBy("_id", "_text_hash").agg(F.flatten(F.collect_list(F.array("k1", "k2"))).alias("_drop"))
 
 
 def _kept(min_chars: int) -> Column:
@@ -169,6 +173,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """All columns of ``docs`` plus ``_kept`` (struct of kept text, n_lines,
     n_dropped)."""
-    keyed = docs.withColumn("_id", common.key_of(id_col)).withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
-    drops = line_drops(keyed.select("_id", "_text"), min_chars, batches, fanout)
-    return keyed.join(drops, "_id", "left").withColumn("_kept", _kept(min_chars)).drop("_id", "_text", "_drop")
+    keyed = (docs.withColumn("_id", common.key_of(id_col)).withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
+             .withColumn("_text_hash", F.xxhash64("_text")))
+    drops = line_drops(keyed.select("_id", "_text_hash", "_text"), min_chars, batches, fanout)
+    return (keyed.join(drops, ["_id", "_text_hash"], "left").withColumn("_kept", _kept(min_chars))
+            .drop("_id", "_text_hash", "_text", "_drop"))
