@@ -72,6 +72,25 @@ def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+@pytest.mark.parametrize("most", [0, 10])
+def test_repeated_rows_are_one_row_of_their_node(spark, monkeypatch, most):
+    """Rows of equal id and text, null ids among them, by broadcast and by shuffle."""
+    seen, linked = {}, nd._linked
+    monkeypatch.setattr(nd, "MAX_BROADCAST_ROWS", most)
+    monkeypatch.setattr(nd, "_linked", lambda bands, first, *a: seen.update(bands=bands, first=first) or linked(bands, first, *a))
+    rows = corpus()
+    again = [rows[3]] * 50 + [rows[20]] + [(None, rows[8][1] + " more")] * 50 + [(-1, rows[30][1])] * 20
+    df = spark.createDataFrame(rows + again, "doc_id long, text string").repartition(5)
+    exp = brute([(common.LAST_ID if i is None else i, t) for i, t in rows + again])
+    exp[None] = [None if x == common.LAST_ID else x for x in exp[common.LAST_ID][:2]] + [exp.pop(common.LAST_ID)[2]]
+    exp[None] = tuple(exp[None])
+    assert result(df) == exp
+    texts = {t for _, t in rows + again}
+    assert seen["first"].count() == len(texts)
+    assert seen["bands"].count() == nd.BANDS * len(texts)
+    assert nd.one_per_class(df).count() == len({e[0] for e in exp.values()})
+
+
 def test_odd_documents(odd_docs):
     got = nd.near_duplicates(odd_docs).collect()
     rows = {(r.doc_id if r.doc_id is not None else common.LAST_ID, r.text or "") for r in odd_docs.collect()}

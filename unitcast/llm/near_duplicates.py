@@ -4,7 +4,8 @@ Links all pairs of different texts whose sets of five-word shingles have a
 Jaccard similarity of at least ``threshold``, without ever writing the pairs:
 a group of n similar texts costs n block rows, not n^2 pair rows.
 
-1. Equal texts are one node (128-bit digest); only its smallest document goes on.
+1. Equal texts are one node (128-bit digest); only one row of its smallest
+   document goes on.
 2. Candidates share all ``ROWS`` MinHash values of one of ``BANDS`` bands (a
    bucket).  A pair at the threshold 0.8 is missed with probability
    (1 - 0.8^8)^72, about 2e-6, and more similar pairs far less.
@@ -256,17 +257,31 @@ def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: flo
     return rows.groupBy("_lo", "_hi").applyInPandas(compare, "_a binary, _b binary, _n long")
 
 
+def _one_each(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """One of the rows of each node; ``repeated`` has the nodes of several."""
+    n = repeated.count()
+    if not n:
+        return rows
+    if n > MAX_BROADCAST_ROWS:
+        return rows.dropDuplicates(["_node"])
+    # the texts of the other nodes are not shuffled; each task hands on one row of a repeated node
+    repeated = F.broadcast(repeated)
+    return rows.join(repeated, "_node", "left_anti").unionByName(
+        rows.join(repeated, "_node", "left_semi").dropDuplicates(["_node"]))
+
+
 def join_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame]:
     """``(nodes, links)``: nodes ``(_node, _first, _rows)`` are the different
     texts with their smallest document and row count; links as ``_linked``."""
     keyed = _keyed(docs, id_col, text_col)
-    nodes = common.stored(keyed.groupBy("_node").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")),
-                          "nodes")
-    copies = (keyed.select("_node", "_id").distinct()
-              .join(nodes.filter("_rows > 1").select("_node", "_first"), "_node").filter("_id != _first")
-              .select("_node", "_id"))
+    held = common.stored(keyed.groupBy("_node", "_id").agg(F.count(F.lit(1)).alias("_n")), "node-rows")
+    nodes = common.stored(held.groupBy("_node").agg(F.min("_id").alias("_first"), F.sum("_n").alias("_rows")), "nodes")
+    several = held.join(nodes.filter("_rows > 1").select("_node", "_first"), "_node")
+    copies = several.filter("_id != _first").select("_node", "_id")
     first = keyed.join(checked(common.stored(copies, "copies")), ["_node", "_id"], "left_anti")
+    repeated = several.filter("_id = _first AND _n > 1").select("_node")
+    first = _one_each(first, common.stored(repeated, "repeated"))
     bands = common.stored(_band_rows(_sets(first)), "bands")
     return nodes, common.stored(_linked(bands, first, threshold, tolerance), "links")
 
