@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fingerprint, langid, line_dedup,
+from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fim, fingerprint, langid, line_dedup,
                           near_duplicates, sharding, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,30 @@ def op10_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.scratch(spark, "token-ids")
     bitpack.write_ids(common.table(spark, sf_dir, "documents"), path, OP10_END_ID)
     return bitpack.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op11_fill_in_middle", """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+r AS (SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS kept, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS spm
+      FROM d),
+f AS (SELECT doc_id, t, n, least(a, b) AS x, greatest(a, b) AS y,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR kept >= 90 THEN 'plain'
+                  WHEN spm < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+o AS (SELECT *, substr(t, 1, x) AS p, substr(t, x + 1, y - x) AS m, substr(t, y + 1) AS s FROM f)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(x AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(y - x AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM o""")
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` cut at code points, rearranged, and restored from the output."""
+    out = fim.transform(common.table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    text = fim.restored(F.col("output"), F.col("form"))
+    return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
+                      F.col("middle_units").alias("middle_chars"), F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
