@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fim, fingerprint, langid, line_dedup,
-                          near_duplicates, sharding, warc)
+                          near_duplicates, sharding, spelling, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -186,3 +186,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"),
                       F.col("middle_units").alias("middle_chars"), F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
                       F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all ``documents`` with their near words, forms and roots."""
+    words = common.stored(spelling.word_counts(common.table(spark, sf_dir, "documents")), "words")
+    return spelling.spelling_groups(words)
