@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from unitcast.llm import (bitpack, bpe, chat, common, decontaminate, fim, fingerprint, langid, line_dedup,
-                          near_duplicates, sharding, spelling, warc)
+                          near_duplicates, sharding, spelling, toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -193,3 +193,11 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all ``documents`` with their near words, forms and roots."""
     words = common.stored(spelling.word_counts(common.table(spark, sf_dir, "documents")), "words")
     return spelling.spelling_groups(words)
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all ``documents``, learned from the labels outside the held-out fifth."""
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(model, docs).select("doc_id", "held_out", "score", "predicted")
