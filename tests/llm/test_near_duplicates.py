@@ -72,6 +72,46 @@ def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
     assert result(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_five_thousand_near_copies(spark):
+    """Links counted exactly where no task could hold a quadratic number of rows."""
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(base[:i % 77] + [f"x{i}"] + base[i % 77 + 1:])) for i in range(5000)]
+    # a copy lacks the base's shingles over its place and has as many of its own
+    lacks = [{k for k in range(76) if k <= p <= k + 4} for p in range(77)]
+    held = [len(range(p, 5000, 77)) for p in range(77)]
+    linked = [sum(held[q] for q in range(77) if (both := 76 - len(lacks[p] | lacks[q])) >= 0.8 * (152 - both) - 1e-9) - 1 for p in range(77)]
+    got = result(spark.createDataFrame(rows, "doc_id long, text string").repartition(6))
+    assert len(set(linked)) > 5
+    assert {i: g[2] for i, g in got.items()} == {i: linked[i % 77] for i in range(5000)}
+    assert {g[0] for g in got.values()} == {0}
+
+
+def test_rows_of_a_large_group_grow_in_proportion(spark):
+    """At most SPLIT blocks, so at most SPLIT + 1 rows per node."""
+    buckets = spark.range(20_000).selectExpr("unhex(lpad(hex(id), 32, '0')) AS _node", "7L AS _key", "unhex(lpad('0', 32, '0')) AS _least")
+    sizes = [r["count"] for r in nd._blocks(buckets).groupBy("_block").count().collect()]
+    assert len(sizes) == -(-20_000 // nd.LARGEST) and max(sizes) < 2 * nd.LARGEST
+    few = [r["count"] for r in nd._blocks(buckets.limit(10_000)).groupBy("_block").count().collect()]
+    assert len(few) == nd.SPLIT
+
+
+def test_sets_and_links_by_hand(monkeypatch):
+    monkeypatch.setattr(nd, "SEGMENT", 7)
+    rnd = np.random.default_rng(9)
+    sets = [np.unique(rnd.integers(0, 40, rnd.integers(1, 30))) for _ in range(60)]
+    exact, plain = nd.Sets(sets), [set(s.tolist()) for s in sets]
+    for x in range(60):
+        want = [1 - len(plain[x] & p) / len(plain[x] | p) for p in plain]
+        assert exact.distances(x).tolist() == pytest.approx(want)
+        assert exact.similar(x, np.arange(60), 0.3).tolist() == [w <= 0.7 + 1e-9 for w in want]
+    keys, marks = np.ones((60, 1), dtype=np.int64), np.ones((60, nd.CHECKS), dtype=np.uint16)
+    pairs = {(a, b) for a in range(60) for b in range(a + 1, 60) if len(plain[a] & plain[b]) >= 0.3 * len(plain[a] | plain[b]) - 1e-9}
+    found = nd.link_all(np.arange(60), np.arange(60), True, keys, marks, exact, 0.3, 1e-8)
+    assert found.counts.tolist() == [sum(x in p for p in pairs) for x in range(60)]
+    half = nd.link_all(np.arange(0, 60, 2), np.arange(1, 60, 2), False, keys, marks, exact, 0.3, 1e-8)
+    assert half.counts.sum() == 2 * sum((a + b) % 2 for a, b in pairs)
+
+
 @pytest.mark.parametrize("most", [0, 10])
 def test_repeated_rows_are_one_row_of_their_node(spark, monkeypatch, most):
     """Rows of equal id and text, null ids among them, by broadcast and by shuffle."""

@@ -1,25 +1,31 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
 Links all pairs of different texts whose sets of five-word shingles have a
-Jaccard similarity of at least ``threshold``, without ever writing the pairs:
-a group of n similar texts costs n block rows, not n^2 pair rows.
+Jaccard similarity of at least ``threshold``, without ever writing the pairs.
+A group of n similar texts is cut into at most ``SPLIT`` blocks, so it costs at
+most ``SPLIT`` + 1 rows per text (a group of over ``SPLIT * LARGEST`` texts, n /
+``LARGEST`` rows per text); pairs exist as array elements within a task only.
 
 1. Equal texts are one node (128-bit digest); only one row of its smallest
    document goes on.
 2. Candidates share all ``ROWS`` MinHash values of one of ``BANDS`` bands (a
    bucket).  A pair at the threshold 0.8 is missed with probability
    (1 - 0.8^8)^72, about 2e-6, and more similar pairs far less.
-3. Nodes are dealt into blocks of about ``BLOCK``: around the smallest node that
-   shares a bucket with them, large groups split by hash.  Every pair of blocks
-   that shares a bucket is one task group; it gets the nodes of both blocks and
-   looks for candidates (equal bands) between them.  Each pair of nodes belongs
-   to exactly one pair of blocks.
+3. Nodes are dealt into blocks: around the smallest node that shares a bucket
+   with them, groups of over ``BLOCK`` split by hash into blocks that grow with
+   the group.  Every pair of blocks that shares a bucket is one task group; it
+   gets the nodes of both blocks and looks for candidates (equal bands) between
+   them.  Each pair of nodes belongs to exactly one pair of blocks.
 4. Pruning: ``CHECKS`` further MinHash values, independent of the bands, are
    compared ``STEP`` at a time.  After n values with m matches the similarity
    has a Beta(m + 1, n - m + 1) posterior (uniform prior); the pair is dropped
    once the probability of reaching the threshold falls below ``TOLERANCE``.
-5. The rest is verified exactly on the sets of 64-bit shingle hashes.  A group
-   returns the number of links of each node and a spanning forest of them.
+5. Jaccard distance is a metric: with the exact distances of all nodes of a
+   task group to a few pivots, a pair whose distances to one pivot sum to at
+   most 1 - threshold is a link, and one whose distances differ by more is
+   none.  The pairs in between are verified exactly on the sets of 64-bit
+   shingle hashes.  A group returns the number of links of each node and a
+   spanning forest of them.
 
 Candidate ids and copies are broadcast only if their counted rows are few;
 otherwise the same join shuffles.  Classes are the connected components over
@@ -55,7 +61,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 72, 8
 CHECKS, STEP = 128, 16
 TOLERANCE = 1e-8
-BLOCK = 128
+BLOCK, SPLIT, LARGEST = 128, 16, 1024     # nodes of a block of a small group; blocks of a larger one; nodes of a block at most
+PIVOTS = 4
+PAIRS = 1 << 18             # candidate pairs that a task holds at a time
 SEGMENT = 1 << 16           # shingles hashed at a time
 
 _rng = np.random.default_rng(20110429)
@@ -109,25 +117,124 @@ def fewest_matches(n: int, threshold: float, tolerance: float) -> int:
     return n
 
 
-def similar_pairs(a: np.ndarray, b: np.ndarray, marks: np.ndarray, sets: list[np.ndarray], threshold: float,
-                  tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of the pairs (a[i], b[i]) that reach the threshold, and their
-    similarities: incremental comparison first, exact sets for the rest."""
+def likely(a: np.ndarray, b: np.ndarray, marks: np.ndarray, threshold: float, tolerance: float) -> np.ndarray:
+    """Indexes of the pairs (a[i], b[i]) that the incremental comparison of
+    their check values leaves."""
     alive, matches = np.arange(len(a)), np.zeros(len(a), dtype=np.int64)
     for at in range(0, marks.shape[1], STEP):
         end = at + STEP
         matches = matches + (marks[a[alive], at:end] == marks[b[alive], at:end]).sum(axis=1)
         left = matches >= fewest_matches(end, threshold, tolerance)
         alive, matches = alive[left], matches[left]
-    found, likeness = [], []
-    for i in alive:
-        x, y = sets[a[i]], sets[b[i]]
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        union = len(x) + len(y) - both
-        if both >= threshold * union - 1e-9:
-            found.append(i)
-            likeness.append(both / union)
-    return np.array(found, dtype=np.int64), np.array(likeness)
+    return alive
+
+
+class Sets:
+    """Exact similarities of many sets: their members are numbered once, a set
+    is marked in a table of all members, and the marks under the members of
+    other sets are summed."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        members, self.codes = np.unique(np.concatenate(sets), return_inverse=True)
+        self.marked = np.zeros(len(members), dtype=np.int32)
+
+    def common(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Members that set ``x`` shares with each of ``others``."""
+        own = self.codes[self.starts[x]:self.starts[x + 1]]
+        self.marked[own] = 1
+        sizes, shared, a = self.sizes[others], np.empty(len(others), dtype=np.int64), 0
+        ends = np.cumsum(sizes)
+        while a < len(others):      # SEGMENT members at a time
+            before = ends[a] - sizes[a]
+            b = max(a + 1, int(np.searchsorted(ends, before + SEGMENT, side="right")))
+            begins = ends[a:b] - sizes[a:b] - before
+            at = np.arange(ends[b - 1] - before) + np.repeat(self.starts[others[a:b]] - begins, sizes[a:b])
+            shared[a:b] = np.add.reduceat(self.marked[self.codes[at]], begins)
+            a = b
+        self.marked[own] = 0
+        return shared
+
+    def distances(self, x: int) -> np.ndarray:
+        """Jaccard distances of set ``x`` to all."""
+        both = self.common(x, np.arange(len(self.sizes)))
+        return 1 - both / (self.sizes[x] + self.sizes - both)
+
+    def similar(self, x: int, others: np.ndarray, threshold: float) -> np.ndarray:
+        """Which of ``others`` reach the threshold with set ``x``."""
+        both = self.common(x, others)
+        return both >= threshold * (self.sizes[x] + self.sizes[others] - both) - 1e-9
+
+
+def pivot_distances(sets: Sets) -> np.ndarray:
+    """Distances of all sets to ``PIVOTS`` of them: the first, then each time
+    the set farthest from the pivots so far."""
+    rows = [sets.distances(0)]
+    while len(rows) < min(PIVOTS, len(sets.sizes)):
+        rows.append(sets.distances(int(np.min(rows, axis=0).argmax())))
+    return np.array(rows)
+
+
+class Links:
+    """Link counts of 0 .. n - 1 and the smallest node of each one's component."""
+
+    def __init__(self, n: int):
+        self.counts, self.roots = np.zeros(n, dtype=np.int64), np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.counts += np.bincount(a, minlength=len(self.counts)) + np.bincount(b, minlength=len(self.counts))
+        while True:
+            x, y = self.roots[a], self.roots[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.roots, np.maximum(x, y)[apart], np.minimum(x, y)[apart])
+            while True:     # every root points to itself again
+                up = self.roots[self.roots]
+                if (up == self.roots).all():
+                    break
+                self.roots = up
+
+
+def link_all(left: np.ndarray, right: np.ndarray, same: bool, keys: np.ndarray, marks: np.ndarray, sets: Sets,
+             threshold: float, tolerance: float) -> Links:
+    """Links between the nodes ``left`` and ``right`` (or within ``left``) of a task group."""
+    out, to_pivots = Links(len(sets.sizes)), pivot_distances(sets)
+    reach = 1 - threshold
+
+    def settle(a: np.ndarray, b: np.ndarray) -> None:
+        kept = likely(a, b, marks, threshold, tolerance)
+        a, b = a[kept], b[kept]
+        near, far = np.zeros(len(a), dtype=bool), np.zeros(len(a), dtype=bool)
+        for d in to_pivots:
+            near |= d[a] + d[b] <= reach - 1e-9
+            far |= np.abs(d[a] - d[b]) > reach + 1e-9
+        open_ = np.flatnonzero(~near & ~far)
+        for x, at in zip(*_runs(a[open_])):     # pairs come ordered by a
+            near[open_[at]] = sets.similar(x, b[open_[at]], threshold)
+        out.add(a[near], b[near])
+
+    held_a, held_b, held = [], [], 0
+    for x in left:      # candidates: at least one equal band
+        y = right[right > x] if same else right
+        y = y[(keys[y] == keys[x]).any(axis=1)]
+        held_a.append(np.full(len(y), x))
+        held_b.append(y)
+        held += len(y)
+        if held >= PAIRS:
+            settle(np.concatenate(held_a), np.concatenate(held_b))
+            held_a, held_b, held = [], [], 0
+    if held:
+        settle(np.concatenate(held_a), np.concatenate(held_b))
+    return out
+
+
+def _runs(values: np.ndarray) -> tuple[list[int], list[slice]]:
+    """Values of runs of equal values, and where the runs lie."""
+    at = np.flatnonzero(np.diff(values, prepend=-1)) if len(values) else np.empty(0, np.int64)
+    return values[at].tolist(), [slice(i, j) for i, j in zip(at.tolist(), [*at[1:].tolist(), len(values)])]
 
 
 def _shingles(w: Column) -> Column:
@@ -188,27 +295,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return common.texts(docs, id_col, text_col).withColumn("_node", F.unhex(F.md5(F.col("_text").cast("binary"))))
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Star edges (node, smallest node of its component) over 0 .. n - 1."""
-    root = list(range(n))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for x, y in zip(a.tolist(), b.tolist()):
-        x, y = find(x), find(y)
-        root[max(x, y)] = min(x, y)
-    return [(x, find(x)) for x in range(n) if find(x) != x]
-
-
 def _blocks(buckets: DataFrame) -> DataFrame:
     """``(_node, _block)`` from the rows ``(_node, _key, _least)`` of shared
     buckets: nodes around the smallest node they share a bucket with."""
     centres = common.stored(buckets.groupBy("_node").agg(F.min("_least").alias("_centre")), "centres")
-    sizes = centres.groupBy("_centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
+    n = F.count(F.lit(1))
+    blocks = F.least(F.ceil(n / BLOCK), F.greatest(F.lit(SPLIT), F.ceil(n / LARGEST)))
+    sizes = centres.groupBy("_centre").agg(blocks.alias("_blocks"))
     return centres.join(sizes, "_centre").select(
         "_node", F.xxhash64("_centre", F.pmod(F.xxhash64("_node"), "_blocks")).alias("_block"))
 
@@ -239,20 +332,12 @@ def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: flo
         right = np.flatnonzero(group["_block"] == hi)
         keys = np.array([np.frombuffer(k, "<u8") for k in group["_keys"]])
         marks = np.array([np.frombuffer(m, "<u2") for m in group["_marks"]])
-        sets = [np.frombuffer(s, "<i8") for s in group["_set"]]
-        a, b = [], []
-        for x in left:      # candidates: at least one equal band
-            y = right[right > x] if lo == hi else right
-            y = y[(keys[y] == keys[x]).any(axis=1)]
-            a.append(np.full(len(y), x))
-            b.append(y)
-        a, b = np.concatenate([*a, np.empty(0, np.int64)]).astype(np.int64), np.concatenate([*b, np.empty(0, np.int64)]).astype(np.int64)
-        found, _ = similar_pairs(a, b, marks, sets, threshold, tolerance)
-        counts = np.bincount(np.concatenate([a[found], b[found]]), minlength=n)
-        some, edges = np.flatnonzero(counts), _forest(n, a[found], b[found])
-        return pd.DataFrame({"_a": [*nodes[some], *[nodes[x] for x, _ in edges]],
-                             "_b": [*[None] * len(some), *[nodes[y] for _, y in edges]],
-                             "_n": [*counts[some].tolist(), *[0] * len(edges)]})
+        sets = Sets([np.frombuffer(s, "<i8") for s in group["_set"]])
+        found = link_all(left, right, lo == hi, keys, marks, sets, threshold, tolerance)
+        some, joined = np.flatnonzero(found.counts), np.flatnonzero(found.roots != np.arange(n))
+        return pd.DataFrame({"_a": [*nodes[some], *nodes[joined]],
+                             "_b": [*[None] * len(some), *nodes[found.roots[joined]]],
+                             "_n": [*found.counts[some].tolist(), *[0] * len(joined)]})
 
     return rows.groupBy("_lo", "_hi").applyInPandas(compare, "_a binary, _b binary, _n long")
 
