@@ -2,8 +2,9 @@
 
 For every prefix of a piece there is exactly one token that can end its
 encoding.  ``PrefixTable`` stores that token per prefix, found left to right:
-a token ending at position i is valid if it follows the last token of the
-prefix before it without a merge across the seam.  The table makes appends
+of the tokens that end at position i (an Aho-Corasick automaton lists them),
+the valid one follows the last token of the prefix before it without a merge
+across the seam.  The table makes appends
 exact (old entries never change) and re-encodes an edit locally: entries
 before the edit stay, and behind it the old entries are taken over as soon as
 as many positions as the longest token agree.  An encoding is read off the
@@ -28,6 +29,7 @@ import functools
 import struct
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -38,7 +40,6 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from unitcast.llm import common
 
 CACHE_ENTRIES = 120_000     # entries that each of a worker's tables keeps at least
-KNOWN_BYTES = 10            # prefixes up to this length are shared by all pieces
 
 
 # Ranges that the installed pattern library counts as letters or
@@ -69,12 +70,12 @@ class Vocabulary:
         self.longest = max(map(len, ranks), default=1)
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.follows = _Seams(self)
-        self.prefixes: dict[bytes, int] = {}
-        #: last three bytes -> length of the longest token that ends so
-        self.reach: dict[bytes, int] = {}
-        for token in ranks:
-            end = token[-3:]
-            self.reach[end] = max(len(token), self.reach.get(end, 0))
+        #: finds the tokens that end at each byte, the bytes being signs U+0000 to U+00FF
+        self.ending = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self.ending.add_word(token.decode("latin-1"), (rank, len(token)))
+        if ranks:
+            self.ending.make_automaton()
 
     @staticmethod
     def parse(data: bytes) -> Vocabulary:
@@ -144,35 +145,22 @@ class PrefixTable:
 
     def _extend(self, stop: int) -> None:
         """Compute the entries up to the prefix of ``stop`` bytes."""
-        v, data, last = self.vocabulary, self.data, self.last
-        rank, follows, reach, known = v.ranks.get, v.follows, v.reach.get, v.prefixes
-        if len(known) >= 2 * CACHE_ENTRIES:
-            known.clear()
-        end = len(last) + 1
-        shared = min(stop, KNOWN_BYTES)
-        while end <= shared:
-            token = known.get(data[:end])
-            if token is None:
-                break
-            last.append(token)
-            end += 1
-        for end in range(end, stop + 1):
-            start = end - reach(data[end - 3:end] if end > 3 else data[:end], 2)
-            token = None
-            if start <= 0:
-                start, token = 1, rank(data[:end])
-                if token is not None and v.halves(token) is None:
-                    token = None
-            if token is None:
-                for start in range(start, end):
-                    token = rank(data[start:end])
-                    if token is not None and follows[last[start - 1] << 32 | token]:
-                        break
-                else:
-                    raise ValueError("no valid token: the vocabulary lacks a byte")
-            last.append(token)
-            if end <= shared:
-                known[data[:end]] = token
+        v, last = self.vocabulary, self.last
+        follows, done = v.follows, len(last)
+        begin = max(0, done + 1 - v.longest)        # no token of a new entry starts before it
+        at = done
+        for end, (token, size) in v.ending.iter(self.data[begin:stop].decode("latin-1")) if v.ranks else ():
+            end += begin
+            if end != at:
+                if end < at:
+                    continue        # an old entry, or one that has its token
+                break               # no valid token ends at ``at``
+            start = end - size
+            if v.halves(token) is not None if start < 0 else follows[last[start] << 32 | token]:
+                last.append(token)
+                at += 1
+        if at < stop:
+            raise ValueError("no valid token: the vocabulary lacks a byte")
 
     def append(self, more: bytes) -> None:
         """Append bytes; entries of earlier prefixes stay as they are."""
