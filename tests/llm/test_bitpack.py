@@ -40,9 +40,7 @@ def test_frame_random_access():
 
 
 def library():
-    tool = tokenizers.Tokenizer.from_file(bitpack.default_tokenizer())
-    tool.encode_special_tokens = True
-    return tool
+    return tokenizers.Tokenizer.from_file(bitpack.default_tokenizer())
 
 
 def test_words_equal_the_library():
@@ -55,6 +53,16 @@ def test_words_equal_the_library():
         assert coder.encode(text).tolist() == tool.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("bits", [16, 17, 32])
+def test_added_tokens_and_packed_fields(bits):
+    with open(bitpack.default_tokenizer(), "rb") as f:
+        coder, tool = bitpack.coder(f.read(), bits), library()
+    assert coder.encode("a<|endoftext|>b").tolist() == [320, 49407, 321]
+    for text in ("a<|endoftext|>b", "<|startoftext|> x<|endoftext|>", "<|ENDOFTEXT|> y", "a < b <| c", "", "plain words", "<|end oftext|>"):
+        data, n = coder.packed(text, 2)
+        assert bitpack.unpack(data, bits, n).tolist() == tool.encode(text, add_special_tokens=False).ids + [2]
+
+
 def test_odd_documents(spark, odd_docs):
     path = common.scratch(spark, "ids")
     bitpack.write_ids(odd_docs, path, 2, frame_ids=10, shards=3)

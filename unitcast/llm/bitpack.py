@@ -54,8 +54,14 @@ def width(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+#: Widths that are whole machine words: fields are a plain array.
+ALIGNED = {8: np.dtype("<u1"), 16: np.dtype("<u2"), 32: np.dtype("<u4")}
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Ids as ``bits``-wide little-endian fields, padded with zeros to a byte."""
+    if bits in ALIGNED:
+        return np.asarray(ids).astype(ALIGNED[bits]).tobytes()
     n = len(ids)
     lanes = np.zeros(-(-n // 8) * 8, dtype=np.uint64)
     lanes[:n] = ids
@@ -71,6 +77,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 def unpack(data, bits: int, count: int, start: int = 0) -> np.ndarray:
     """``count`` ids from id ``start`` on (uint32)."""
+    if bits in ALIGNED:
+        return np.frombuffer(data, ALIGNED[bits], count, start * bits // 8).astype(np.uint32)
     first = start // 8
     rows = -(-(start + count) // 8) - first
     raw = np.zeros(rows * bits, dtype=np.uint8)
@@ -123,15 +131,25 @@ def frames(data) -> Iterator[tuple[int, Frame]]:
 
 def frame_bytes(shard: int, number: int, doc_ids: list[int], docs: list[np.ndarray], bits: int,
                 block_ids: int = BLOCK_IDS) -> bytes:
-    ends = np.cumsum([len(d) for d in docs], dtype=np.int64)
-    ids = np.concatenate(docs) if docs else np.empty(0, np.uint32)
-    blocks = -(-len(ids) // block_ids)
-    payload = pack(ids, bits)
+    return _framed(shard, number, doc_ids, [len(d) for d in docs], pack(np.concatenate(docs) if docs else np.empty(0, np.uint32), bits),
+                   bits, block_ids)
+
+
+def _joined(packed: list[bytes], counts: list[int], bits: int) -> bytes:
+    """Packed documents as one run of fields."""
+    if bits % 8 == 0:
+        return b"".join(packed)
+    return pack(np.concatenate([unpack(p, bits, n) for p, n in zip(packed, counts)]), bits)
+
+
+def _framed(shard: int, number: int, doc_ids: list[int], counts: list[int], payload: bytes, bits: int, block_ids: int = BLOCK_IDS) -> bytes:
+    ends = np.cumsum(counts, dtype=np.int64)
+    n_ids = int(ends[-1]) if len(ends) else 0
+    blocks = -(-n_ids // block_ids)
     offsets = np.minimum(np.arange(blocks + 1, dtype=np.int64) * (block_ids * bits // 8), len(payload))
     body = (np.array(doc_ids, "<i8").tobytes() + ends.astype("<u8").tobytes() + offsets.astype("<u8").tobytes()
             + payload)
-    return HEAD.pack(MAGIC, VERSION, bits, shard, number, len(docs), blocks, block_ids, len(ids),
-                     HEAD.size + len(body)) + body
+    return HEAD.pack(MAGIC, VERSION, bits, shard, number, len(counts), blocks, block_ids, n_ids, HEAD.size + len(body)) + body
 
 
 def _byte_letters() -> list[str]:
@@ -148,12 +166,12 @@ _PROBES = ("word", "Word", "été", "ÀÉÎ", "straße", "ñandú", "internation
 
 
 class _Words(common.Recent):
-    """Ids (little-endian bytes) of words without blanks."""
+    """Ids of words without blanks, as little-endian fields of ``size`` bytes."""
 
-    def __init__(self, tokenizer):
+    def __init__(self, tokenizer, size: int = 4):
         super().__init__()
         self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
-        self.four = [struct.pack("<I", i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
+        self.fields = [i.to_bytes(size, "little") for i in range(tokenizer.get_vocab_size(with_added_tokens=True))]
         # letters go straight to the vocabulary's merges if that gives the same ids
         self.direct = all(self._merged(w.lower()) == self._whole(w) for w in _PROBES)
 
@@ -161,13 +179,13 @@ class _Words(common.Recent):
         return CACHE_WORDS
 
     def _whole(self, word: str) -> bytes:
-        return b"".join([self.four[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
+        return b"".join([self.fields[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
     def _merged(self, low: str) -> bytes:
         if not low.isascii():
             low = "".join([_LETTERS[b] for b in low.encode("utf-8")])
-        four = self.four
-        return b"".join([four[t.id] for t in self.merge(low)])
+        fields = self.fields
+        return b"".join([fields[t.id] for t in self.merge(low)])
 
     def compute(self, word: str) -> bytes:
         if self.direct and (word.isascii() or max(word) < "\u0130"):
@@ -181,28 +199,47 @@ class _Words(common.Recent):
 
 class WordCoder:
     """Ids by a ``tokenizers`` file whose pieces never contain white space, so
-    each word between blanks or line breaks is encoded once and remembered."""
+    each word between blanks or line breaks is encoded once and remembered.  A
+    text that holds the string of an added token goes to the library whole.
+
+    ``bits``: width of the fields that ``packed`` gives; a byte-aligned width
+    is remembered as it is written."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, bits: int = 32):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data.decode("utf-8"))
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.words = _Words(self.tokenizer)
+        self.bits = bits
+        self.kind = ALIGNED.get(bits, ALIGNED[32])
+        self.words = _Words(self.tokenizer, self.kind.itemsize)
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     @property
     def vocabulary(self) -> int:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
+    def fields(self, text: str) -> bytes:
+        """Ids as fields of ``kind``."""
+        if "<" in text or any("<" not in a for a in self.added):
+            low = text.lower()
+            if any(a in low for a in self.added):
+                return self.words._whole(text)
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" ")))
+
     def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
+        return np.frombuffer(self.fields(text), dtype=self.kind).astype(np.uint32)
+
+    def packed(self, text: str, end_id: int) -> tuple[bytes, int]:
+        """(ids and the end id in ``bits``-wide fields, their number)."""
+        data = self.fields(text) + end_id.to_bytes(self.kind.itemsize, "little")
+        n = len(data) // self.kind.itemsize
+        return (data if self.bits in ALIGNED else pack(np.frombuffer(data, self.kind), self.bits)), n
 
 
 @functools.lru_cache(maxsize=2)
-def coder(data: bytes) -> WordCoder:
+def coder(data: bytes, bits: int = 32) -> WordCoder:
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"      # a task has one core
-    return WordCoder(data)
+    return WordCoder(data, bits)
 
 
 def default_tokenizer() -> str:
@@ -222,32 +259,30 @@ def write_ids(docs: DataFrame, path: str, end_id: int, tokenizer: str | None = N
     edges = np.array(common.id_cuts(plain.select("_id"), "_id", shards or common.shuffle_partitions(spark)), "int64")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = coder(shared.value)
+        tool = coder(shared.value, bits)
         for batch in common.slices(batches):
-            packed, counts = [], []
-            for text in batch.column(1):
-                ids = tool.encode(text.as_py())
-                packed.append(pack(np.append(ids, np.uint32(end_id)), bits))
-                counts.append(len(ids) + 1)
+            packed, counts = zip(*[tool.packed(text.as_py(), end_id) for text in batch.column(1)])
             shard = np.searchsorted(edges, batch.column(0).to_numpy(zero_copy_only=False), side="right")
             yield pa.record_batch([pa.array(shard.astype("int32")), batch.column(0), pa.array(counts, pa.int64()),
                                    pa.array(packed, pa.binary())], names=["shard", "_id", "n", "packed"])
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, number, held, ids, arrays = None, 0, 0, [], []
+        at, number, held, ids, counts, fields = None, 0, 0, [], [], []
 
         def closed():
-            return pa.record_batch([pa.array([frame_bytes(at, number, ids, arrays, bits)], pa.binary())], names=["value"])
+            value = _framed(at, number, ids, counts, _joined(fields, counts, bits), bits)
+            return pa.record_batch([pa.array([value], pa.binary())], names=["value"])
 
         for batch in common.slices(batches):
             for shard, i, n, packed in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 if ids and (shard != at or held >= frame_ids):
                     yield closed()
-                    number, held, ids, arrays = number + 1, 0, [], []
+                    number, held, ids, counts, fields = number + 1, 0, [], [], []
                 if shard != at:
                     at, number = shard, 0
                 ids.append(i)
-                arrays.append(unpack(packed, bits, n))
+                counts.append(n)
+                fields.append(packed)
                 held += n
         if ids:
             yield closed()
