@@ -1,9 +1,9 @@
 """Toxicity: gradient-boosted trees over dense features of a text, with
 isotonic calibration.
 
-1. Labelled texts outside the held-out fold (``fold_of``: crc32 of the id
-   modulo ``FOLDS`` is not 0) are sampled: every different text once, the
-   ``SAMPLE`` smallest by digest of the text if there are more.
+1. Labelled ids outside the held-out fold (``fold_of``: crc32 of the id
+   modulo ``FOLDS`` is not 0) are sampled: the ``SAMPLE`` smallest by hash if
+   there are more.  Of their texts every different one counts once.
 2. Lexicon: terms of the sample are whole words and word beginnings (inflected
    words share them).  Grouped sums of their documents by fold and label give
    a smoothed log odds ratio; terms of at least ``SUPPORT`` toxic texts and
@@ -49,7 +49,7 @@ from pyspark.sql import functions as F
 from unitcast.llm import common
 
 FOLDS = 5                   # the first of them is held out
-SAMPLE = 20_000             # different labelled texts that a model is fitted on, at most
+SAMPLE = 20_000             # labelled ids, and different texts, that a model is fitted on, at most
 TERMS = 20_000              # lexicon entries, at most
 SUPPORT = 3                 # toxic texts that hold a term, at least
 ODDS = 1.0                  # log odds ratio of a term, at least
@@ -76,12 +76,15 @@ SECOND_PERSON = frozenset(
 STAND_INS = str.maketrans("013457@$!|", "oieastasii")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MIXED = re.compile(r"[\w@$!|*.\-]*[^\W\d_][\d@$!|*.\-_]+[^\W\d_][\w@$!|*.\-]*")
+_MIXED = re.compile(r"[^\W\d_][\d@$!|*._\-]+[^\W\d_]|[013457@$][^\W\d_]{2}")
 _STRETCHED = re.compile(r"([^\W\d_])\1\1+")
+_SHOUTED = re.compile(r"[A-ZÀ-ÖØ-Þ]{3,}")
 _INNER = re.compile(r"[\W\d_]+")
-_UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-_SHOUTED = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b")
-_SIGNS = re.compile(r"[^\w\s.,]")
+_ENDS = ".,;:!?)"
+_EDGES = _ENDS + "(\"'[]{}<>"
+_CAPITALS = bytes(range(65, 91))
+_LETTERS = _CAPITALS + bytes(range(97, 123))
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) not in ".,")
 
 
 def terms_of(word: str) -> list[str]:
@@ -90,31 +93,62 @@ def terms_of(word: str) -> list[str]:
 
 
 class Lexicon:
-    """Weights of terms, and of words by their heaviest term."""
+    """Weights of terms, and of words by their heaviest term; a word is rated
+    once and remembered."""
 
     def __init__(self, weights: dict[str, float]):
-        self.weights, self.words = weights, {}
+        self.weights = weights
+        self.heads = {term.rstrip("*")[:STEMS[0]] for term in weights}     # how words with a weight begin
+        self.words: dict[str, float] = {}
+        self.stretched: dict[str, float] = {}       # word with a stretched letter -> weight without
+
+    def weight(self, word: str) -> float:
+        return max([self.weights.get(t, 0.0) for t in terms_of(word)]) if word[:STEMS[0]] in self.heads else 0.0
 
     def __call__(self, word: str) -> float:
         found = self.words.get(word)
         if found is None:
             if len(self.words) >= TERMS_HELD:
                 self.words.clear()
-            found = self.words[word] = max([self.weights.get(t, 0.0) for t in terms_of(word)])
+                self.stretched.clear()
+            found = self.words[word] = self.weight(word)
+            if _STRETCHED.search(word):
+                self.stretched[word] = self.weight(_STRETCHED.sub(r"\1", word))
         return found
 
 
+def words_of(low: str) -> tuple[list[str], list[str]]:
+    """Words of a lower-cased text in order, and the tokens in which signs or
+    digits stand between or for letters."""
+    words, mixed = [], []
+    for token in low.split():
+        if token.isalpha():
+            words.append(token)
+        elif token[-1] in _ENDS and token[:-1].isalpha():
+            words.append(token[:-1])
+        else:
+            words += _WORD.findall(token)
+            core = token.strip(_EDGES)
+            if _MIXED.search(core):
+                mixed.append(core)
+    return words, mixed
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The values of ``FEATURES`` of a text."""
-    low = text.lower()
-    words = _WORD.findall(low)
-    n = max(1, len(words))
+    words, mixed = words_of(text.lower())
     counts = Counter(words)
-    hits = {w: weight for w in counts if (weight := lexicon(w)) > 0}
+    known, hits = lexicon.words.get, {}
+    for w in counts:
+        x = known(w)
+        if x is None:
+            x = lexicon(w)
+        if x:
+            hits[w] = x
     strong = sum(counts[w] for w, x in hits.items() if x >= STRONG)
     medium = sum(counts[w] for w, x in hits.items() if MEDIUM <= x < STRONG)
     mild = sum(counts[w] for w, x in hits.items() if x < MEDIUM)
-    persons = sum(counts[w] for w in counts.keys() & SECOND_PERSON)
+    persons = sum([counts[w] for w in SECOND_PERSON if w in counts])
     near = 0
     if hits and persons:
         places = [i for i, w in enumerate(words) if w in SECOND_PERSON]
@@ -122,20 +156,22 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
             if w in hits:
                 at = bisect_left(places, i - CLOSE)
                 near += at < len(places) and places[at] <= i + CLOSE
-    mixed = _MIXED.findall(text)
-    stretched = [m.group(1) for m in _STRETCHED.finditer(low)]
     hidden = 0
     for token in mixed:     # undone obfuscation that gives a lexicon word
-        plain = _INNER.sub("", token.lower().translate(STAND_INS))
-        hidden += lexicon(plain) >= MEDIUM or lexicon(_STRETCHED.sub(r"\1", plain)) >= MEDIUM
-    if stretched:
-        hidden += sum(lexicon(_STRETCHED.sub(r"\1", w)) >= MEDIUM for w in words if _STRETCHED.search(w))
-    signs = max(1, len(text))
-    per_hundred = 100.0 / n
+        plain = _INNER.sub("", token.translate(STAND_INS))
+        hidden += lexicon(plain) >= MEDIUM or lexicon.stretched.get(plain, 0.0) >= MEDIUM
+    stretched = [w for w in counts if w in lexicon.stretched] if lexicon.stretched else []
+    hidden += sum(counts[w] for w in stretched if lexicon.stretched[w] >= MEDIUM)
+    data = text.encode("utf-8", "surrogatepass")
+    letters = len(data) - len(data.translate(None, _LETTERS))
+    capitals = len(data) - len(data.translate(None, _CAPITALS))
+    signs = len(data) - len(data.translate(None, _SIGNS))
+    shouted = len(_SHOUTED.findall(text))
+    per_hundred = 100.0 / max(1, len(words))
     return [strong * per_hundred, medium * per_hundred, mild * per_hundred, float(len(hits)), max(hits.values(), default=0.0),
-            persons * per_hundred, near * per_hundred, len(_UPPER.findall(text)) / signs, len(_SHOUTED.findall(text)) * per_hundred,
-            text.count("!") * per_hundred, len(_SIGNS.findall(text)) / signs, len(mixed) * per_hundred,
-            len(stretched) * per_hundred, float(hidden), math.log1p(len(words))]
+            persons * per_hundred, near * per_hundred, capitals / max(1, letters), shouted * per_hundred,
+            text.count("!") * per_hundred, signs / max(1, len(data)), len(mixed) * per_hundred,
+            sum(counts[w] for w in stretched) * per_hundred, float(hidden), math.log1p(len(words))]
 
 
 def fold_of(id_col: str) -> Column:
@@ -148,12 +184,14 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_of")).agg(F.max(F.col(label_col).cast("int")).alias("_label")))
     known = known.withColumn("_fold", fold_of("_of").cast("int")).filter("_fold != 0")
+    known = known.orderBy(F.xxhash64("_of"), "_of").limit(SAMPLE)
+    known = F.broadcast(common.stored(known, "labelled"))       # at most SAMPLE rows of three numbers
     texts = docs.select(F.col(id_col).alias("_of"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(known, "_of")
     texts = texts.withColumn("_digest", F.md5(F.col("_text").cast("binary")))
     chosen = (texts.groupBy("_digest").agg(F.min("_fold").alias("_fold"), F.max("_label").alias("_label"), F.min("_of").alias("_of"))
               .orderBy("_digest").limit(SAMPLE))
-    chosen = common.stored(chosen, "chosen")        # at most SAMPLE short rows
-    found = texts.select("_of", "_digest", "_text").join(F.broadcast(chosen), ["_of", "_digest"])
+    chosen = F.broadcast(common.stored(chosen, "chosen"))       # at most SAMPLE short rows
+    found = texts.select("_of", "_digest", "_text").join(chosen, ["_of", "_digest"])
     found = found.dropDuplicates(["_digest"]).select("_text", "_fold", "_label")
     return common.stored(found, "labelled-texts")
 
@@ -171,7 +209,7 @@ def term_counts(texts: DataFrame) -> DataFrame:
         for batch in common.slices(batches):
             for text, fold, label in zip(*(c.to_pylist() for c in batch.columns)):
                 cell = 2 * fold + (label > 0)
-                held.update({(t, cell) for w in set(_WORD.findall(text.lower())) for t in terms_of(w)})
+                held.update({(t, cell) for w in set(words_of(text.lower())[0]) for t in terms_of(w)})
             if len(held) >= TERMS_HELD:
                 yield handed()
                 held.clear()
