@@ -94,6 +94,17 @@ def save_predictions(df: DataFrame, path: str, split: str) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/split={split}")
 
 
+def save_model_predictions(df: DataFrame, path: str, split: str, model: str) -> None:
+    """(split, model, keys, prediction) rows to blend later.  Saving a
+    model's split again replaces it; other models and splits stay."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/split={split}/model={model}")
+
+
+def load_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """The prediction store; filters on split and model prune folders."""
+    return spark.read.parquet(path)
+
+
 # File names and column types of the original input tables.
 CSV_TABLES = {
     "sales": ("sales_train.csv", {"date": "string", "date_block_num": "int", "shop_id": "bigint",
