@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from unitcast import config
 from unitcast.functions.columns import clip
+from unitcast.operators.boosting import boost, early_stop
 
 T = "date_block_num"
 
@@ -109,25 +110,13 @@ BOOSTED_SLOW = dict(maxDepth=5, maxIter=200, stepSize=0.03, subsamplingRate=0.87
                     featureSubsetStrategy="0.9497036", minInstancesPerNode=40,
                     minInfoGain=0.0222415, seed=42)
 BOOSTED_MATRIX = dict(maxDepth=10, maxIter=10, stepSize=0.3, subsamplingRate=1.0, seed=1)
-# Early stopping: up to the reference's 1000 rounds with patience 5.  The
-# search starts with FIRST_ROUNDS and doubles until the stop point is seen.
+# Early stopping: up to the reference's 1000 rounds with patience 5; the first
+# FIRST_ROUNDS are one fit, later ones are continued one by one.
 MAX_BOOST_ROUNDS = 1000
 FIRST_ROUNDS = 10
 PATIENCE = 5
 
 
-def early_stop(errors: list[float], patience: int) -> tuple[int, bool]:
-    """(rounds to keep, whether the stop point was reached): the last
-    improvement before ``patience`` rounds pass without a better error."""
-    best_i, best = 0, float("inf")
-    for i, e in enumerate(errors):
-        if e < best:
-            best_i, best = i, e
-        elif i - best_i >= patience:
-            return best_i + 1, True
-    return best_i + 1, False
-
-
 def best_round(errors: list[float], patience: int) -> int:
     return early_stop(errors, patience)[0]
 
@@ -137,31 +126,18 @@ def fit_boosted(train: DataFrame, features: list[str], label: str, valid: DataFr
                 first_rounds: int = FIRST_ROUNDS, **params) -> PipelineModel:
     """H6-H8: gradient-boosted trees.
 
-    With ``valid`` and ``patience``: fit ``first_rounds`` rounds, evaluate
-    the holdout error of every prefix in one distributed pass, and double the
-    round count until ``patience`` rounds without improvement are observed
-    (or ``max_rounds`` is hit).  Boosting with a fixed seed grows the same
-    leading trees whatever the round count, so the kept model is refitted
-    with exactly the best round count.
+    With ``valid`` and ``patience``: boost until ``patience`` rounds pass
+    without a better holdout error (or ``max_rounds``), each round fitted once,
+    and keep the leading trees up to the best round (``boosting.boost``).
     """
     asm, train = _assembler(features), spread(train)
-
-    def fit(rounds):
-        gbt = GBTRegressor(featuresCol="features", labelCol=label, **dict(params, maxIter=rounds))
-        return Pipeline(stages=[asm, gbt]).fit(train)
-
     if valid is None or patience is None:
-        return fit(params.pop("maxIter", max_rounds))
+        gbt = GBTRegressor(featuresCol="features", labelCol=label, **dict(params, maxIter=params.get("maxIter", max_rounds)))
+        return Pipeline(stages=[asm, gbt]).fit(train)
     params.pop("maxIter", None)
-    valid_vec = asm.transform(valid)
-    rounds = min(first_rounds, max_rounds)
-    while True:
-        model = fit(rounds)
-        errors = list(model.stages[-1].evaluateEachIteration(valid_vec, "squared"))
-        best, stopped = early_stop(errors, patience)
-        if stopped or rounds >= max_rounds:
-            return model if best == rounds else fit(best)
-        rounds = min(rounds * 2, max_rounds)
+    ready = [asm.transform(df).select("features", F.col(label).cast("double").alias(label)) for df in (train, valid)]
+    model, _ = boost(*ready, label, patience, max_rounds, first_rounds, params)
+    return PipelineModel(stages=[asm, model])
 
 
 def score(model: PipelineModel, df: DataFrame, clip_range=(config.CLIP_LO, config.CLIP_HI),
