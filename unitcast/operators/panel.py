@@ -200,10 +200,17 @@ def lag_matrix(monthly: DataFrame, anchors, n_lags: int = config.REGRESSION_LAGS
                value: str = "item_cnt_month", prefix: str = "lag_") -> DataFrame:
     """Per pair and anchor month, units 0..n_lags months before the
     anchor (0 if absent).  Every pair with any history row gets a row per
-    anchor; columns are named by months-ago, not by position."""
+    anchor; columns are named by months-ago, not by position.  Sales are summed
+    once per pair, one column per month that an anchor looks at, before the
+    anchors multiply the (summed) rows."""
     anchors = list(anchors)
-    a = F.explode(F.array(*[F.lit(x) for x in anchors])).alias("anchor")
-    rows = monthly.select(S, I, T, value, a)
-    aggs = [F.sum(F.when(F.col("anchor") - F.col(T) == k, F.col(value)).otherwise(0.0))
-            .alias(f"{prefix}{k}") for k in range(n_lags + 1)]
-    return rows.groupBy("anchor", S, I).agg(*aggs)
+    months = sorted({x - k for x in anchors for k in range(n_lags + 1)})
+    per = monthly.groupBy(S, I).agg(*[F.coalesce(F.sum(F.when(F.col(T) == m, F.col(value))), F.lit(0.0)).alias(f"_m{m}") for m in months])
+    rows = F.array(*[F.struct(F.lit(x).alias("anchor"), *[F.col(f"_m{x - k}").alias(f"{prefix}{k}") for k in range(n_lags + 1)])
+                     for x in anchors])
+    return per.select(S, I, F.explode(rows).alias("_a")).select("_a.anchor", S, I, *[f"_a.{prefix}{k}" for k in range(n_lags + 1)])
+
+
+def first_month(df: DataFrame) -> int | None:
+    """The earliest month of the data (one scalar); None without rows."""
+    return df.agg(F.min(T)).first()[0]

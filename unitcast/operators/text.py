@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from unitcast import config
 from unitcast.operators.aggregate import with_scalar
+from unitcast.operators.joins import materialize
 from unitcast.functions.columns import dash_subtype, dash_type, first_token, text_length, tokens, word_count
 
 
@@ -28,15 +29,17 @@ def category_type_subtype(df: DataFrame, name: str = "item_category_name") -> Da
 
 def term_totals(df: DataFrame, text: str) -> DataFrame:
     """(term, total, df): occurrences of each term and documents that hold it.
-    Every document contributes its terms once per occurrence and once per
-    distinct term; both are summed map-side, so one exchange on the term."""
+    Tokens and distinct tokens are exploded as plain arrays and counted
+    map-side, so only a count per term and task is exchanged; both counts meet
+    on the term they are already dealt by."""
     t = df.filter(F.col(text).isNotNull()).select(tokens(text).alias("_t"))
-    each = F.transform("_t", lambda x: F.struct(x.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-    once = F.transform(F.array_distinct("_t"), lambda x: F.struct(x.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
-    # outer: a plain explode would first split every text again to filter on its size
-    rows = t.select(F.explode_outer(F.concat(each, once)).alias("_c")).select("_c.term", "_c.n", "_c.d")
-    return (rows.filter(F.col("term").isNotNull()).groupBy("term")
-            .agg(F.sum("n").alias("total"), F.sum("d").alias("df")))
+
+    def counted(terms, name: str) -> DataFrame:
+        # outer: a plain explode would first split every text again to filter on its size
+        return (t.select(F.explode_outer(terms).alias("term")).filter(F.col("term").isNotNull())
+                .groupBy("term").agg(F.count(F.lit(1)).alias(name)))
+
+    return counted(F.col("_t"), "total").join(counted(F.array_distinct("_t"), "df"), "term")
 
 
 def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.TFIDF_TERMS) -> DataFrame:
@@ -56,27 +59,30 @@ def tfidf_fit(df: DataFrame, id_col: str, text: str, max_features: int = config.
         (F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def tfidf_transform(df: DataFrame, vocab: DataFrame, id_col: str, text: str) -> DataFrame:
+def tfidf_transform(df: DataFrame, vocab: DataFrame, id_col: str, text: str,
+                    max_features: int = config.TFIDF_TERMS) -> DataFrame:
     """G3 transform: long form (id, term, idx, weight), L2-normalised per
     document over the kept terms.  Documents without a kept term have no rows.
-    Row-wise: the vocabulary (at most ``max_features`` terms) is one scalar
-    array, each kept term is counted in the row's own tokens, and the norm is
-    a sum over the row's array, so the texts are neither exploded nor shuffled."""
+    Tokens meet the vocabulary (at most ``max_features`` terms, so broadcast)
+    as they are exploded; the kept ones are counted map-side into one row per
+    document, and weights and norm are sums over that row's array."""
     words = vocab.agg(F.array_sort(F.collect_list(F.struct("idx", "term", "idf"))).alias("_v"))
-    rows = df.filter(F.col(text).isNotNull()).select(id_col, tokens(text).alias("_t"))
-    rows = with_scalar(rows, words)
-    cells = rows.select(id_col, F.transform("_v", lambda v: F.struct(
-        v["idx"].alias("idx"), v["term"].alias("term"),
-        ((F.size("_t") - F.size(F.array_remove(F.col("_t"), v["term"]))) * v["idf"]).alias("w"))).alias("_c"))
+    rows = df.filter(F.col(text).isNotNull()).select(id_col, F.explode_outer(tokens(text)).alias("_term"))
+    kept = rows.join(F.broadcast(vocab.select(F.col("term").alias("_term"), "idx")), "_term")
+    n = kept.groupBy(id_col).agg(*[F.count(F.when(F.col("idx") == i, 1)).alias(f"_{i}") for i in range(max_features)])
+    counted = with_scalar(n.select(id_col, F.array(*[f"_{i}" for i in range(max_features)]).alias("_n")), words)
+    cells = counted.select(id_col, F.transform("_v", lambda v: F.struct(
+        v["idx"].alias("idx"), v["term"].alias("term"), (F.get("_n", v["idx"]) * v["idf"]).alias("w"))).alias("_c"))
     norm = F.sqrt(F.aggregate("_c", F.lit(0.0), lambda s, c: s + c["w"] * c["w"]))
-    out = cells.select(id_col, norm.alias("_norm"), F.explode_outer("_c").alias("_c")).filter("_c.w > 0")
+    out = cells.select(id_col, norm.alias("_norm"), F.explode("_c").alias("_c")).filter("_c.w > 0")
     return out.select(id_col, "_c.term", "_c.idx", (F.col("_c.w") / F.col("_norm")).alias("weight"))
 
 
 def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = config.TFIDF_TERMS) -> DataFrame:
-    """G3 fit + transform: two scans of the texts, one exchange of term
-    totals, nothing stored."""
-    return tfidf_transform(df, tfidf_fit(df, id_col, text, max_features), id_col, text)
+    """G3 fit + transform.  The vocabulary is stored: it is read twice, as a
+    lookup and as the array of its weights, and fitted once."""
+    vocab = materialize(tfidf_fit(df, id_col, text, max_features))
+    return tfidf_transform(df, vocab, id_col, text, max_features)
 
 
 def tfidf_wide(long: DataFrame, id_col: str, prefix: str,

@@ -284,26 +284,30 @@ def q_gbt_es_predictions(spark, sf_dir):
 
 # ---- H7 / H8 / H10: boosted trees on the month matrix (grain B) ---------------------
 
-HIST_LAGS = [f"lag_{k}" for k in range(1, H + 1)]
-
-
-def _request_matrix(spark, sf_dir):
-    """H10 + B20: request pairs x months-ago 1..H for the train anchor
-    (label = holdout month) and the scoring anchor (target month)."""
-    m = monthly(spark, sf_dir, "B").filter(F.col("date_block_num") <= H)
-    lm = panel.lag_matrix(m, [H, TM], n_lags=H)
-    req = tpch.request(spark, sf_dir, "B")
-    rows = req.withColumn("anchor", F.explode(F.array(F.lit(H), F.lit(TM))))  # two anchors per row
+def history_lags(monthly_rows, last=H):
+    """Names of the months-ago features: as many as the data's months before ``last``."""
+    first = panel.first_month(monthly_rows)
+    return [f"lag_{k}" for k in range(1, max(0, last - (last if first is None else first)) + 1)]
+
+
+def request_matrix(m, req, last=H, target=TM):
+    """H10 + B20: request pairs x months-ago 1..n for the train anchor (label =
+    holdout month) and the scoring anchor (target month); n reaches back to
+    the first month of the monthly rows ``m``.  Returns the frame and its features."""
+    m = m.filter(F.col("date_block_num") <= last)
+    lags = history_lags(m, last)
+    lm = panel.lag_matrix(m, [last, target], n_lags=len(lags))
+    rows = req.withColumn("anchor", F.explode(F.array(F.lit(last), F.lit(target))))  # two anchors per row
     out = rows.join(lm, ["anchor", "shop_id", "item_id"], "left")
-    return materialize(clean.fill_numeric(out, 0.0, ["lag_0"] + HIST_LAGS))
+    return materialize(clean.fill_numeric(out, 0.0, ["lag_0"] + lags)), lags
 
 
 @query("gbt_slow_predictions")
 def q_gbt_slow_predictions(spark, sf_dir):
     """H7 + H10: slow-rate boosted trees (200 rounds, rate 0.03) on the
     request pairs' month matrix; the scoring anchor slides one month."""
-    mx = _request_matrix(spark, sf_dir)
-    model = models.fit_boosted(mx.filter(F.col("anchor") == H), HIST_LAGS, "lag_0", **models.BOOSTED_SLOW)
+    mx, lags = request_matrix(monthly(spark, sf_dir, "B"), tpch.request(spark, sf_dir, "B"))
+    model = models.fit_boosted(mx.filter(F.col("anchor") == H), lags, "lag_0", **models.BOOSTED_SLOW)
     return models.score(model, mx.filter(F.col("anchor") == TM)).select("ID", LABEL)
 
 
@@ -315,17 +319,18 @@ def q_gbt_matrix_predictions(spark, sf_dir):
     s = clean.dedupe_keep_first(s, ["date", "date_block_num", "shop_id", "item_id", "item_cnt_day"],
                                 ["order_key", "line_no"])
     s = clean.clean_outliers(s, price_gt=0.0, price_lt=300000.0)
-    m = agg.monthly_sales(s)
-    lm = panel.lag_matrix(m, [H, TM], n_lags=H)
+    m = materialize(agg.monthly_sales(s))
+    lags = history_lags(m)
+    lm = panel.lag_matrix(m, [H, TM], n_lags=len(lags))
     cats = clean.category_groups(tpch.categories(spark, sf_dir))
     cats = encode.encode_apply(cats, "cats", encode.encode_fit(cats, c="cats"), out="cats_code")
     lm = lm.join(cats.select(F.col("item_category_id").alias("item_id"), "cats_code"), "item_id")
     lm = materialize(lm)
-    feats = ["shop_id", "item_id", "cats_code"] + HIST_LAGS
+    feats = ["shop_id", "item_id", "cats_code"] + lags
     model = models.fit_boosted(lm.filter(F.col("anchor") == H), feats, "lag_0", **models.BOOSTED_MATRIX)
     req = tpch.request(spark, sf_dir, "B")
     test = req.join(lm.filter(F.col("anchor") == TM), ["shop_id", "item_id"], "left")
-    test = clean.fill_numeric(test, 0.0, HIST_LAGS)
+    test = clean.fill_numeric(test, 0.0, lags)
     test = test.withColumn("cats_code", F.coalesce("cats_code", F.lit(-1)))   # unknown pair: no code
     return models.score(model, test).select("ID", LABEL)
 

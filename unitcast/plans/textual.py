@@ -7,15 +7,12 @@ from pyspark.sql import functions as F
 from unitcast import config
 from unitcast.functions.columns import TOKEN_PATTERN, clip, rnd
 from unitcast.operators import aggregate as agg
-from unitcast.operators import clean, encode, text
-from unitcast.plans.basic import MONTHS, _pivot_sql, monthly
+from unitcast.operators import clean, encode, panel, text
+from unitcast.plans.basic import monthly
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, rnd as srnd, sql
 from unitcast.sources import tpch
 
-HIST = [m for m in MONTHS if m <= H]
-
-
 # ---- G1/G2 -----------------------------------------------------------------
 
 def _names(spark, sf_dir):
@@ -180,18 +177,27 @@ def q_enrich_star(spark, sf_dir):
                       "item_category_id", "item_category_name", "shop_name")
 
 
+def request_history(sales, request, last_month: int = H):
+    """Request rows with the units of every month from the first of
+    the sales to ``last_month``; missing -> 0."""
+    s = sales.filter(F.col("date_block_num") <= last_month)
+    first = panel.first_month(s)
+    months = [] if first is None else list(range(first, last_month + 1))
+    piv = agg.pivot_months(s, ["shop_id", "item_id"], "date_block_num", "item_cnt_day", "sum", months, fill=None)
+    out = clean.fill_numeric(request.join(piv, ["shop_id", "item_id"], "left"), 0.0, [f"m_{m}" for m in months])
+    return out.select("ID", "shop_id", "item_id", *[f"m_{m}" for m in months])
+
+
 @query("request_left_history", sql(["sales", "request"], f""",
-piv AS ({_pivot_sql(f"sales WHERE date_block_num <= {H}", "shop_id, item_id", "item_cnt_day", "sum", HIST)})
-SELECT r.ID, r.shop_id, r.item_id, {", ".join(f"coalesce(p.m_{m}, 0.0) AS m_{m}" for m in HIST)}
-FROM request r LEFT JOIN piv p ON r.shop_id = p.shop_id AND r.item_id = p.item_id"""
-                                   .replace("\n,\npiv", ",\npiv", 1)))
+u AS (SELECT date_block_num AS m, shop_id, item_id, sum(item_cnt_day) AS n FROM sales WHERE date_block_num <= {H} GROUP BY ALL),
+cells AS (SELECT ID, shop_id, item_id, 'm_' || m AS c, coalesce(n, 0.0) AS n
+          FROM request CROSS JOIN (SELECT unnest(range((SELECT min(m) FROM u), {H + 1})) AS m)
+          LEFT JOIN u USING (m, shop_id, item_id))
+SELECT * FROM (PIVOT cells ON c USING sum(n) GROUP BY ID, shop_id, item_id)"""
+                                   .replace("\n,\nu AS", ",\nu AS", 1)))
 def q_request_left_history(spark, sf_dir):
     """Request rows with their month history, missing -> 0."""
-    s = tpch.sales(spark, sf_dir).filter(F.col("date_block_num") <= H)
-    piv = agg.pivot_months(s, ["shop_id", "item_id"], "date_block_num", "item_cnt_day", "sum", HIST, fill=None)
-    out = tpch.request(spark, sf_dir).join(piv, ["shop_id", "item_id"], "left")
-    return clean.fill_numeric(out, 0.0, [f"m_{m}" for m in HIST]).select(
-        "ID", "shop_id", "item_id", *[f"m_{m}" for m in HIST])
+    return request_history(tpch.sales(spark, sf_dir), tpch.request(spark, sf_dir))
 
 
 @query("request_fanout_dedupe", sql(["sales", "request"], f"""SELECT DISTINCT r.ID,
@@ -204,8 +210,9 @@ def q_request_fanout_dedupe(spark, sf_dir):
     """D6 + C2: request x daily-grain history (fan-out), then exact duplicates removed."""
     daily = agg.sum_all_but(tpch.sales(spark, sf_dir).select("date", "shop_id", "item_id", "item_price",
                                                              "item_cnt_day"), "item_cnt_day", "cnt")
-    out = tpch.request(spark, sf_dir).join(daily, ["shop_id", "item_id"], "left")
-    return out.select("ID", clip("cnt").alias("item_cnt_month")).distinct()
+    # a pair's equal values are one row before they meet the request rows
+    values = daily.select("shop_id", "item_id", clip("cnt").alias("item_cnt_month")).distinct()
+    return tpch.request(spark, sf_dir).join(values, ["shop_id", "item_id"], "left").select("ID", "item_cnt_month").distinct()
 
 
 @query("null_profile", sql(["monthly", "request"], f""",
