@@ -56,6 +56,14 @@ def test_append_and_replace_are_exact(codec):
         assert b"".join(codec.vocabulary.tokens[i] for i in t.tokens()) == whole
 
 
+def test_short_pieces_equal_whole_tables(codec):
+    rnd = random.Random(3)
+    for _ in range(2000):
+        piece = bytes(rnd.choice(b" abtheing ion\xc3\xa9") for _ in range(rnd.randint(1, bpe.SHORT + 3)))
+        if piece not in codec.vocabulary.ranks:
+            assert codec.vocabulary.encode(piece) == bpe.PrefixTable(codec.vocabulary, piece).tokens()
+
+
 def test_tables_may_be_small(codec, judge, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
     small = bpe.Codec(bpe.Vocabulary(codec.vocabulary.ranks), PATTERN)

@@ -39,7 +39,9 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from unitcast.llm import common
 
-CACHE_ENTRIES = 120_000     # entries that each of a worker's tables keeps at least
+CACHE_ENTRIES = 200_000     # entries that each of a worker's tables keeps at least
+SHORT = 48                  # bytes of a piece whose table is filled from its end, where it is asked for
+HEAD_BYTES = 10             # the entries of prefixes up to this length are shared by all pieces
 
 
 # Ranges that the installed pattern library counts as letters or
@@ -70,12 +72,22 @@ class Vocabulary:
         self.longest = max(map(len, ranks), default=1)
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.follows = _Seams(self)
-        #: finds the tokens that end at each byte, the bytes being signs U+0000 to U+00FF
-        self.ending = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.ending.add_word(token.decode("latin-1"), (rank, len(token)))
-        if ranks:
-            self.ending.make_automaton()
+        self.heads: dict[bytes, int] = {}
+        #: last three bytes -> length of the longest token that ends so
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            end = token[-3:]
+            self.reach[end] = max(len(token), self.reach.get(end, 0))
+
+    @functools.cached_property
+    def ending(self) -> ahocorasick.Automaton:
+        """Finds the tokens that end at each byte, the bytes being signs U+0000 to U+00FF."""
+        out = ahocorasick.Automaton()
+        for token, rank in self.ranks.items():
+            out.add_word(token.decode("latin-1"), (rank, len(token)))
+        if self.ranks:
+            out.make_automaton()
+        return out
 
     @staticmethod
     def parse(data: bytes) -> Vocabulary:
@@ -120,6 +132,75 @@ class Vocabulary:
                 bound, right = right + 1, self.halves(right)[0]
 
 
+    def extend(self, data: bytes, last: list[int], stop: int) -> None:
+        """Append to ``last`` the tokens that end the prefixes of up to ``stop`` bytes."""
+        follows, append, at = self.follows, last.append, len(last)
+        begin = max(0, at + 1 - self.longest)       # no token of a new entry starts before it
+        for end, (token, size) in self.ending.iter(data[begin:stop].decode("latin-1")) if self.ranks else ():
+            end += begin
+            if end != at:
+                if end < at:
+                    continue        # an old entry, or one that has its token
+                break               # no valid token ends at ``at``
+            start = end - size
+            if self.halves(token) is not None if start < 0 else follows[last[start] << 32 | token]:
+                append(token)
+                at += 1
+        if at < stop:
+            raise ValueError("no valid token: the vocabulary lacks a byte")
+
+
+    def encode(self, data: bytes) -> list[int]:
+        """Tokens of a piece, read off its prefix table from the end.  Of a
+        short piece only the entries that this asks for are filled."""
+        if data in self.ranks:
+            return [self.ranks[data]]
+        if len(data) > SHORT:
+            return PrefixTable(self, data).tokens()
+        rank, follows, reach, heads, tokens = self.ranks.get, self.follows, self.reach.get, self.heads, self.tokens
+        if len(heads) >= 2 * CACHE_ENTRIES:
+            heads.clear()
+        table: dict[int, int] = {}
+
+        def last(end: int) -> int:
+            if end <= HEAD_BYTES:
+                head = data[:end]
+                found = heads.get(head)
+                if found is not None:
+                    return found
+            start = end - reach(data[end - 3:end] if end > 3 else data[:end], 2)
+            if start <= 0:
+                start, found = 1, rank(data[:end])
+                if found is not None and self.halves(found) is None:
+                    found = None
+            else:
+                found = None
+            if found is None:
+                for start in range(start, end):
+                    found = rank(data[start:end])
+                    if found is not None:
+                        before = table.get(start)
+                        if before is None:
+                            before = last(start)
+                        if follows[before << 32 | found]:
+                            break
+                else:
+                    raise ValueError("no valid token: the vocabulary lacks a byte")
+            table[end] = found
+            if end <= HEAD_BYTES:
+                heads[head] = found
+            return found
+
+        out, end = [], len(data)
+        while end:
+            token = table.get(end)
+            if token is None:
+                token = last(end)
+            out.append(token)
+            end -= len(tokens[token])
+        return out[::-1]
+
+
 class _Recent(common.Recent):
     def entries(self) -> int:
         return CACHE_ENTRIES
@@ -145,22 +226,7 @@ class PrefixTable:
 
     def _extend(self, stop: int) -> None:
         """Compute the entries up to the prefix of ``stop`` bytes."""
-        v, last = self.vocabulary, self.last
-        follows, done = v.follows, len(last)
-        begin = max(0, done + 1 - v.longest)        # no token of a new entry starts before it
-        at = done
-        for end, (token, size) in v.ending.iter(self.data[begin:stop].decode("latin-1")) if v.ranks else ():
-            end += begin
-            if end != at:
-                if end < at:
-                    continue        # an old entry, or one that has its token
-                break               # no valid token ends at ``at``
-            start = end - size
-            if v.halves(token) is not None if start < 0 else follows[last[start] << 32 | token]:
-                last.append(token)
-                at += 1
-        if at < stop:
-            raise ValueError("no valid token: the vocabulary lacks a byte")
+        self.vocabulary.extend(self.data, self.last, stop)
 
     def append(self, more: bytes) -> None:
         """Append bytes; entries of earlier prefixes stay as they are."""
@@ -241,7 +307,7 @@ class Codec:
         for piece in pieces:
             data = piece.encode("utf-8", "surrogatepass")
             rank = self.vocabulary.ranks.get(data)
-            ids += [rank] if rank is not None else PrefixTable(self.vocabulary, data).tokens()
+            ids += [rank] if rank is not None else self.vocabulary.encode(data)
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
