@@ -178,9 +178,14 @@ def q_linreg_predictions(spark, sf_dir):
 _FLAT: dict = {}
 
 
+def _content(spark, sf_dir) -> tuple:
+    """Session, folder and content of the tables that frames kept per session derive from."""
+    return (spark.sparkContext.applicationId, sf_dir, tpch.fingerprint(spark, sf_dir, *tpch.MODEL_TABLES))
+
+
 def flat_tables(spark, sf_dir, with_text=False):
     """Flat history and scoring frame (checkpointed once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir, with_text)
+    key = (*_content(spark, sf_dir), with_text)
     if key not in _FLAT:
         _FLAT[key] = _flat_tables(spark, sf_dir, with_text)
     return _FLAT[key]
@@ -198,7 +203,7 @@ _FORESTS: dict = {}
 def _forest(spark, sf_dir, with_text=False):
     """Flat tables and the fitted forest, shared by the forest queries of one
     session (the tables are checkpointed, so the model stays valid)."""
-    key = (spark.sparkContext.applicationId, sf_dir, with_text)
+    key = (*_content(spark, sf_dir), with_text)
     if key not in _FORESTS:
         hist, req = flat_tables(spark, sf_dir, with_text=with_text)
         feats = models.feature_columns(hist, LABEL)
@@ -257,7 +262,7 @@ _PANEL_FRAMES: dict = {}
 
 def panel_model_frame(spark, sf_dir):
     """Panel model frame, checkpointed once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _content(spark, sf_dir)
     if key not in _PANEL_FRAMES:
         _PANEL_FRAMES[key] = _panel_model_frame(spark, sf_dir)
     return _PANEL_FRAMES[key]

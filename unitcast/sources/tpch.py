@@ -35,11 +35,29 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 _MEMO: dict = {}
 
 
+def fingerprint(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """What tells one content of tables from another: path, files, bytes and
+    latest change of each.  Results kept per session are keyed by it, so a
+    table rewritten at the same path is not answered from the old one."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in names:
+        at = hadoop.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        found = at.getFileSystem(conf).listStatus(at)
+        out.append((str(at), len(found), sum(f.getLen() for f in found), max((f.getModificationTime() for f in found), default=0)))
+    return tuple(out)
+
+
+#: Tables that the sales model is derived from.
+MODEL_TABLES = ("lineitem", "supplier", "nation", "part")
+
+
 def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Derived dimension tables are materialised once per session and path
-    (small, reused by most queries; stored in the shared checkpoint folder)."""
+    """Derived dimension tables are materialised once per session and content
+    (small, reused by most queries; stored in the shared checkpoint folder).
+    ``key``: name, folder and parameters."""
     from unitcast.operators.joins import materialize
-    k = (spark.sparkContext.applicationId, config.ensure_checkpoint_dir(spark)) + key
+    k = (spark.sparkContext.applicationId, config.ensure_checkpoint_dir(spark), fingerprint(spark, key[1], *MODEL_TABLES)) + key
     if k not in _MEMO:
         _MEMO[k] = materialize(build())
     return _MEMO[k]
