@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from unitcast.functions.columns import parse_day_first
 
@@ -79,6 +80,48 @@ def save_features(df: DataFrame, path: str, partition_by: str = "date_block_num"
        .partitionBy(partition_by).parquet(path))
 
 
+def _manifest(path: str) -> str:
+    return f"{path.rstrip('/')}-manifest"
+
+
+def months_appended(spark: SparkSession, path: str) -> DataFrame | None:
+    """(date_block_num, rows, digest) of the months that ``append_month`` wrote; None before the first."""
+    try:
+        return spark.read.schema("rows long, digest decimal(38,0), date_block_num int").parquet(_manifest(path))
+    except AnalysisException:
+        return None
+
+
+def append_month(df: DataFrame, path: str, month: int, partition_by: str = "date_block_num",
+                 cluster_by: tuple = ("shop_id", "item_id")) -> bool:
+    """Write one month of the feature table, touching only its partition.
+
+    The manifest records rows and content digest (a sum of row hashes, so row
+    order does not matter) once the partition is written: a retry after a
+    failure writes the partition again, a repeated append of the same rows
+    writes nothing, other rows for the month replace its partition.  Returns
+    whether anything was written."""
+    spark, keys = df.sparkSession, [c for c in cluster_by if c in df.columns]
+    columns = sorted(df.columns)
+    found = df.agg(F.min(partition_by).alias("lo"), F.max(partition_by).alias("hi"), F.count(F.lit(1)).alias("rows"),
+                   F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("digest"))
+    found = found.first()
+    if found["rows"] and (found["lo"], found["hi"]) != (month, month):
+        raise ValueError(f"rows of months {found['lo']} to {found['hi']}, expected {month} only")
+    if not found["rows"]:
+        return False
+    known = months_appended(spark, path)
+    if known is not None and known.filter((F.col("date_block_num") == month) & (F.col("rows") == found["rows"])
+                                          & (F.col("digest") == F.lit(found["digest"]))).count():
+        return False
+    out = df.repartitionByRange(*keys) if keys else df
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path)
+    (df.limit(0).agg(F.lit(found["rows"]).cast("long").alias("rows"), F.lit(found["digest"]).cast("decimal(38,0)").alias("digest"),
+                     F.lit(month).cast("int").alias("date_block_num"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date_block_num").parquet(_manifest(path)))
+    return True
+
+
 def load_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
