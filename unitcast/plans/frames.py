@@ -3,6 +3,8 @@ steps on the test tables (A2, A3, B9, H12)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from unitcast import config
@@ -11,7 +13,7 @@ from unitcast.plans import pipelines
 from unitcast.plans.modelq import flat_tables
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, rnd as srnd, sql
-from unitcast.sources import tpch
+from unitcast.sources import csvscan, tpch
 
 FLAT_CTES = [
     f"""hm AS (SELECT date_block_num, shop_id, item_id, CAST(month(date) AS INTEGER) AS month,
@@ -63,12 +65,38 @@ def q_flat_scoring_frame(spark, sf_dir):
 ROW_CAP = 1000      # the feature itself: a scan that stops after so many rows
 
 
-@query("row_limited_scan", sql(["sales"], f"""SELECT date, shop_id, item_id, item_cnt_day, order_key, line_no FROM sales
-ORDER BY order_key, line_no LIMIT {ROW_CAP}"""))
+CSV_COLS = ["date", "shop_id", "item_id", "item_cnt_day", "order_key", "line_no"]
+CSV_TYPES = {"date": "date", "shop_id": "bigint", "item_id": "bigint", "item_cnt_day": "double", "order_key": "bigint", "line_no": "int"}
+CSV_ORDER = ["order_key", "line_no", "date", "shop_id", "item_id", "item_cnt_day"]
+
+
+def _written(spark, rows):
+    """``rows`` as several CSV files whose names follow their order, dates day-first."""
+    path = config.scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    text = rows.withColumn("date", F.date_format("date", "dd.MM.yyyy"))
+    text.repartitionByRange(4, *CSV_ORDER[:2]).sortWithinPartitions(*CSV_ORDER[:2], F.to_date("date", "dd.MM.yyyy"), *CSV_ORDER[3:]).write.csv(path, header=True)
+    return path
+
+
+@query("row_limited_scan", sql(["sales"], f"""SELECT {", ".join(CSV_COLS)} FROM sales
+ORDER BY {", ".join(CSV_ORDER)} LIMIT {ROW_CAP}"""))
 def q_row_limited_scan(spark, sf_dir):
-    """A3: the first rows of the fact in file order (order, line)."""
-    return (tpch.sales(spark, sf_dir).select("date", "shop_id", "item_id", "item_cnt_day", "order_key", "line_no")
-            .orderBy("order_key", "line_no").limit(ROW_CAP))
+    """A3: the sales written as CSV files in (order, line) order, and the first
+    rows read back in file order."""
+    path = _written(spark, tpch.sales(spark, sf_dir).select(*CSV_COLS))
+    return csvscan.typed(csvscan.first_records(spark, path, ROW_CAP), CSV_TYPES).select(*CSV_COLS)
+
+
+@query("rejected_rows", sql(["sales"], """SELECT 'accepted' AS reason, count(*) AS n FROM sales WHERE line_no <> 7
+UNION ALL SELECT 'item_id=x' || item_id, count(*) FROM sales WHERE line_no = 7 GROUP BY item_id"""))
+def q_rejected_rows(spark, sf_dir):
+    """A1: the sales written as CSV files with a malformed item id on every
+    seventh line of an order; rejects by reason, and how many rows were accepted."""
+    s = tpch.sales(spark, sf_dir).select(*CSV_COLS)
+    bad = s.withColumn("item_id", F.when(F.col("line_no") == 7, F.concat(F.lit("x"), "item_id")).otherwise(F.col("item_id").cast("string")))
+    accepted, rejects = csvscan.read_checked(spark, _written(spark, bad), CSV_TYPES)
+    return (accepted.agg(F.count(F.lit(1)).alias("n")).select(F.lit("accepted").alias("reason"), "n")
+            .unionByName(rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))))
 
 
 @query("day_first_dates", sql(["sales"], """SELECT strftime(date, '%d.%m.%Y') AS text_date, date, count(*) AS n

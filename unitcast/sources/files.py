@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from unitcast.functions.columns import parse_day_first
+from unitcast.sources import csvscan
 
 SALES_SCHEMA = T.StructType([
     T.StructField("date", T.StringType()),
@@ -34,8 +35,13 @@ def read_sales(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struc
                order: list[str] | None = None) -> DataFrame:
     """A1-A3: daily sales with a day-first date parsed to DateType.
 
-    ``rows_read`` keeps the first n rows in ``order`` (A3; None = all rows).
+    ``rows_read`` keeps the first n rows (A3; None = all rows): of CSV files in
+    file order, reading only the files that the limit needs; with ``order``,
+    or of a format without an order of its own, in that order.
     """
+    if fmt == "csv" and rows_read is not None and order is None:
+        types = {f.name: "date" if f.name == "date" else f.dataType.simpleString() for f in schema.fields}
+        return csvscan.typed(csvscan.first_records(spark, path, rows_read), types, date_format).select(*types)
     if fmt == "csv":
         df = spark.read.schema(schema).csv(path, header=True)
     else:
@@ -47,6 +53,16 @@ def read_sales(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struc
     return df
 
 
+def read_sales_checked(spark: SparkSession, path: str, rejects: str, schema: T.StructType = SALES_SCHEMA,
+                       date_format: str = "dd.MM.yyyy") -> DataFrame:
+    """A1: accepted sales rows; malformed ones go to a table at ``rejects``
+    (file, record, reason) instead of turning into nulls."""
+    types = {f.name: "date" if f.name == "date" else f.dataType.simpleString() for f in schema.fields}
+    accepted, bad = csvscan.read_checked(spark, path, types, date_format)
+    bad.write.mode("overwrite").parquet(rejects)
+    return accepted
+
+
 def read_dim(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     if fmt == "csv":
         return spark.read.schema(schema).csv(path, header=True)
@@ -159,8 +175,11 @@ CSV_TABLES = {
 }
 
 
-def read_csv_tables(spark: SparkSession, data_dir: str, date_format: str = "dd.MM.yyyy") -> dict:
-    """A1/A2: the five input CSVs as sales-model frames.
+def read_csv_tables(spark: SparkSession, data_dir: str, date_format: str = "dd.MM.yyyy", rows_read: int | None = None,
+                    rejects: str | None = None) -> dict:
+    """A1-A3: the five input CSVs as sales-model frames.  ``rows_read`` limits
+    the sales to the file's first rows; with ``rejects`` (a folder) malformed
+    rows of a table are left out and listed in its sub-folder.
 
     Columns are read as text under their header names and cast by name, so
     the column order inside a file does not matter and no inference pass is
@@ -168,7 +187,20 @@ def read_csv_tables(spark: SparkSession, data_dir: str, date_format: str = "dd.M
     """
     out = {}
     for key, (name, types) in CSV_TABLES.items():
-        raw = spark.read.csv(f"{data_dir.rstrip('/')}/{name}", header=True)
+        at = f"{data_dir.rstrip('/')}/{name}"
+        if key == "sales" and rows_read is not None or rejects:
+            kinds = {c: "date" if c == "date" else t for c, t in types.items()}
+            limited = key == "sales" and rows_read is not None
+            rows = csvscan.numbered(csvscan.scan(spark, csvscan.listed(spark, at))) if not limited else csvscan.first_records(spark, at, rows_read)
+            rows = csvscan.typed(rows, kinds, date_format)
+            if rejects:
+                (rows.filter(F.col(csvscan.REASON).isNotNull())
+                 .select(F.col(csvscan.FILE).alias("file"), F.col(csvscan.RECORD).alias("record"), F.col(csvscan.REASON).alias("reason"))
+                 .write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/{key}"))
+                rows = rows.filter(F.col(csvscan.REASON).isNull())
+            out[key] = rows.select(*types)
+            continue
+        raw = spark.read.csv(at, header=True)
         df = raw.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
         if key == "sales":
             df = df.withColumn("date", parse_day_first("date", date_format))
