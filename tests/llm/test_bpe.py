@@ -79,6 +79,15 @@ def test_odd_documents(odd_docs, judge):
         assert r.decoded == (r.text or "").encode() and r.shard == 7
 
 
+def test_round_trip_in_one_pass(odd_docs, judge):
+    df = odd_docs.withColumnRenamed("fingerprint", "decoded")
+    rows = bpe.round_trip(df).collect()
+    want = {r.doc_id: r.text or "" for r in odd_docs.collect()}
+    assert len(rows) == 8 and "text" not in rows[0].asDict() and rows[0].shard == 7
+    for r in rows:
+        assert np.frombuffer(r.ids, "<u4").tolist() == judge.encode_ordinary(want[r.doc_id]) and r.decoded == want[r.doc_id].encode()
+
+
 def test_empty_table(no_docs):
     assert bpe.decode(bpe.encode(no_docs)).count() == 0
 

@@ -85,7 +85,7 @@ def test_odd_tables(spark, smoke_dir, odd_docs, no_docs, case):
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if re.match(r"op\d+_", k)}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if re.match(r"op\d+_", k)}
     assert "pipeline" in names and set(QUERIES) <= set(names)
 
 

@@ -39,7 +39,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from unitcast.llm import common
 
-CACHE_ENTRIES = 200_000     # entries that each of a worker's tables keeps at least
+CACHE_ENTRIES = 120_000     # entries that each of a worker's tables keeps at least
 SHORT = 48                  # bytes of a piece whose table is filled from its end, where it is asked for
 HEAD_BYTES = 10             # the entries of prefixes up to this length are shared by all pieces
 
@@ -381,3 +381,23 @@ def decode(df: DataFrame, ids_col: str = "ids", name: str = "decoded", path: str
             yield _with_column(batch, name, pa.array([coder.decode(i.as_py() or b"") for i in ids], pa.binary()))
 
     return df.mapInArrow(run, _grown(df, name))
+
+
+def round_trip(df: DataFrame, text_col: str = "text", ids: str = "ids", decoded: str = "decoded", path: str | None = None,
+               pattern: str | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass of one worker: the text column is
+    replaced by ``ids`` and by ``decoded``, the bytes that these ids stand for."""
+    shared, pattern = _shared(df, path, pattern)
+    rest = [c for c in df.columns if c not in (text_col, ids, decoded)]
+    plain = df.select(*rest, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    schema = StructType([*(df.schema[c] for c in rest), StructField(ids, BinaryType()), StructField(decoded, BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(shared.value, pattern)
+        for batch in common.slices(batches):
+            coded = [coder.encode(t.as_py()) for t in batch.column(len(rest))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(rest)], pa.array(coded, pa.binary()), pa.array([coder.decode(i) for i in coded], pa.binary())],
+                names=[*rest, ids, decoded])
+
+    return plain.mapInArrow(run, schema)

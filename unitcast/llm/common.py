@@ -6,6 +6,7 @@ others (``LAST_ID`` inside the operators, null again in results).
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -104,9 +105,21 @@ class Recent(dict):
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to at most ``rows`` rows, so that what a task derives
     from a batch stays small however long the texts are."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on after its task, and
+    what it keeps is missing elsewhere on the executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
