@@ -50,8 +50,8 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     common.ship(spark)
     made = ("ids", "n_tokens", "decoded", "decoded_sha256")
     rest = [c for c in docs.columns if c != "text" and c not in made]
-    ids = bpe.encode(docs).select(*rest, "ids")
-    return bpe.decode(ids).select(*rest, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+    coded = bpe.round_trip(docs.select(*rest, "text"))
+    return coded.select(*rest, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                                   F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
