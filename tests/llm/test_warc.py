@@ -78,3 +78,39 @@ def test_damaged_archive():
         list(warc.parse(b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabcdef\r\n\r\n"))
     with pytest.raises(ValueError):
         list(warc.parse(b"HTTP/1.1 200 OK\r\n\r\n"))
+
+
+def record(kind, rid, block=b"", **headers):
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {rid}", f"Content-Length: {len(block)}"]
+    for name, values in headers.items():
+        lines += [f"{name.replace('_', '-')}: {v}" for v in values]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_foreign_archive_loses_no_record(spark):
+    """Several requests and metadata records, links from either side, repeated headers, absent responses."""
+    ok, get = b"HTTP/1.1 200 OK\r\n\r\n", b"GET / HTTP/1.1\r\n\r\n"
+    archive = b"".join([
+        record("warcinfo", "<w>", b"software: x\r\n"),
+        record("response", "<r1>", ok + b"one", WARC_Concurrent_To=["<q1>", "<m2>"]),
+        record("request", "<q1>", get), record("request", "<q2>", get, WARC_Concurrent_To=["<r1>"]),
+        record("metadata", "<m1>", b"page-id: 7\r\n", WARC_Concurrent_To=["<r1>", "<r2>"]),
+        record("metadata", "<m2>", b"via: y\r\n"), record("metadata", "<m2>", b"via: y\r\n"),
+        record("resource", "<r2>", b"plain"), record("response", "<r3>", ok),
+        record("revisit", "<r4>", b"HTTP/1.1 304 Not Modified\r\n\r\n", WARC_Refers_To=["<r1>"]),
+        record("request", "<q3>", get, WARC_Concurrent_To=["<gone>"]),
+        record("metadata", "<m3>", b"a: b\r\n", WARC_Concurrent_To=["<gone>"]), record("metadata", "<m4>", b"alone: 1\r\n")])
+    path = common.scratch(spark, "foreign")
+    # the sink adds the last line feed
+    df = spark.createDataFrame([(archive[:-1].decode(),)], "value string")
+    df.coalesce(1).write.option("compression", "gzip").option("lineSep", "\n").text(path)
+    found = warc.read_records(spark, path)
+    rows = {r.capture: r for r in warc.resolve(warc.assemble(found)).collect()}
+    ids = lambda records: [x.record_id for x in records]
+    got = {k: (r.response and r.response.type, ids(r.requests), ids(r.metadata_records)) for k, r in rows.items()}
+    assert got == {"<r1>": ("response", ["<q1>", "<q2>"], ["<m1>", "<m2>"]), "<r2>": ("resource", [], ["<m1>"]),
+                   "<r3>": ("response", [], []), "<r4>": ("revisit", [], []),
+                   "<gone>": (None, ["<q3>"], ["<m3>"]), "<m4>": (None, [], ["<m4>"])}
+    assert rows["<r1>"].metadata.page_id == 7 and rows["<r4>"].refers_to == 7 and rows["<r3>"].request is None
+    assert rows["<r2>"].response.payload == b"plain" and rows["<r4>"].response.payload_bytes is None
+    assert rows["<m4>"].metadata.fields == "alone: 1\r\n"

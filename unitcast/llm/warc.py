@@ -6,8 +6,11 @@ record; request and metadata name the response in ``WARC-Concurrent-To``.
 Records are built as strings in the JVM, packed into byte-bounded archives and
 written by Spark's text sink with gzip, so archives are committed like any
 Spark output.  Reading goes through ``binaryFile`` and follows Content-Length,
-so payloads may hold anything.  ``assemble`` brings the three record types together
-through the concurrent-to identifiers, one nested row per capture.
+so payloads may hold anything.  ``assemble`` brings the record types together
+through the concurrent-to identifiers, one nested row per capture.  Archives
+written elsewhere may name them on either side and several times, hold several
+requests or metadata records of a capture, or lack its response; all records
+stay.
 
 Of pages with equal payloads of at least ``min_bytes`` bytes the one with the
 largest id is the response; the others are revisits without a payload that
@@ -26,6 +29,7 @@ archive and reads back empty; extra columns are ignored.
 from __future__ import annotations
 
 import gzip
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -134,14 +138,18 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archive_byte
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of each record of an archive."""
+    """(headers with lower-case names, block) of each record of an archive.  The
+    values of a repeated header are joined by line feeds."""
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         version, *lines = data[at:end].decode("utf-8").split(END)
         if not version.startswith("WARC/"):
             raise ValueError(f"no record at byte {at}")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+        headers: dict[str, str] = {}
+        for name, _, value in (line.partition(":") for line in lines):
+            name, value = name.strip().lower(), value.strip()
+            headers[name] = f"{headers[name]}\n{value}" if name in headers else value
         at = end + 4
         stop = at + int(headers["content-length"])
         if data[stop:stop + 4] != b"\r\n\r\n":
@@ -150,39 +158,50 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + 4
 
 
-_RECORD = ("record_id string, type string, concurrent_to string, refers_to string, uri string, date string, "
-           "digest string, page long, payload_bytes long, http string, payload binary")
+CAPTURES = ("response", "revisit", "resource", "conversion")     # record types that hold a capture
+_RECORD = ("record_id string, type string, concurrent_to array<string>, refers_to string, uri string, date string, "
+           "digest string, page long, payload_bytes long, http string, fields string, payload binary")
+_ARROW = {"string": pa.string(), "array<string>": pa.list_(pa.string()), "long": pa.int64(), "binary": pa.binary()}
+
+
+def _number_after(name: str, text: str) -> int | None:
+    """The number that a line ``name: number`` gives, if there is one."""
+    found = re.search(rf"^{name}:\s*(\d+)\s*$", text, re.IGNORECASE | re.MULTILINE)
+    return int(found[1]) if found else None
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record; responses carry the payload and its digest anew."""
+    """One row per record; responses and other records with content carry the
+    payload and its digest anew, metadata records their fields."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import base64
         import hashlib
-        schema = pa.schema([(n, {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[t])
-                            for n, t in (x.split() for x in _RECORD.split(", "))])
+        schema = pa.schema([(n, _ARROW[t]) for n, t in (x.split() for x in _RECORD.split(", "))])
         for batch in batches:
             for content in batch.column(0):
                 rows = []
                 for h, block in parse(gzip.decompress(content.as_buffer())):
-                    kind, http, payload, size, page = h["warc-type"], None, None, None, None
+                    kind, http, payload, size, page, fields = h["warc-type"], None, None, None, None, None
                     digest = h.get("warc-payload-digest", "").removeprefix("sha1:") or None
                     if kind in ("request", "response", "revisit"):
                         head, _, body = block.partition(b"\r\n\r\n")
-                        http = head.decode("utf-8")
-                        if kind == "response":
-                            payload, size = body, len(body)
-                            found = base64.b32encode(hashlib.sha1(body).digest()).decode()
-                            if digest not in (None, found):
-                                raise ValueError(f"payload of {h['warc-record-id']} does not match its digest")
-                            digest = found
-                        elif kind == "revisit":
-                            size = int(http.lower().partition("content-length:")[2].split()[0])
+                        http = head.decode("utf-8", "replace")
+                    if kind in ("response", "resource", "conversion"):
+                        payload = body if kind == "response" else block
+                        size = len(payload)
+                        found = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                        if digest not in (None, found):
+                            raise ValueError(f"payload of {h['warc-record-id']} does not match its digest")
+                        digest = found
+                    elif kind == "revisit":
+                        size = _number_after("content-length", http)
                     elif kind == "metadata":
-                        page = int(block.decode("utf-8").partition("page-id:")[2].split()[0])
-                    rows.append((h["warc-record-id"], kind, h.get("warc-concurrent-to"), h.get("warc-refers-to"),
-                                 h.get("warc-target-uri"), h.get("warc-date"), digest, page, size, http, payload))
+                        fields = block.decode("utf-8", "replace")
+                        page = _number_after("page-id", fields)
+                    named = h.get("warc-concurrent-to")
+                    rows.append((h["warc-record-id"], kind, named.split("\n") if named else None, h.get("warc-refers-to"),
+                                 h.get("warc-target-uri"), h.get("warc-date"), digest, page, size, http, fields, payload))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
@@ -191,21 +210,42 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def assemble(found: DataFrame) -> DataFrame:
-    """One nested row per capture: its response or revisit, request and
-    metadata, brought together by the identifier that request and metadata are
-    concurrent to.  One shuffle; a group holds the few records of one capture.
-    A capture without request or metadata has null there; columns of
-    ``found`` that were dropped (payload) are left out."""
+    """One nested row per capture: its response (or revisit, resource,
+    conversion), its requests and its metadata records, brought together by the
+    identifiers that either side is concurrent to.  ``requests`` and
+    ``metadata_records`` hold all of them, equal ones once, in order of their
+    ids; ``request`` and ``metadata`` are the first.  A record that names several
+    captures is part of each.  A capture without request or metadata has null
+    and empty arrays there.  Requests and metadata whose capture is not in
+    ``found`` make a row with a null ``response`` under the identifier they
+    name, or under their own if they name none.  Records that describe an
+    archive and no capture (``warcinfo``) and continuations are left out.  A
+    group holds the few records of one capture; columns of ``found`` that were
+    dropped (payload) are left out."""
     keep = [c for c in ("record_id", "type", "refers_to", "uri", "date", "digest", "payload_bytes", "http", "payload")
             if c in found.columns]
-    main = F.col("type").isin("response", "revisit")
-    one = lambda when, *cols: F.max(F.when(when, F.struct(*cols)))
-    return (found.withColumn("capture", F.when(main, F.col("record_id")).otherwise(F.col("concurrent_to")))
-            .groupBy("capture").agg(
-                one(main, *keep).alias("response"),
-                one(F.col("type") == "request", "record_id", "http").alias("request"),
-                one(F.col("type") == "metadata", "record_id", common.id_of("page").alias("page_id")).alias("metadata"))
-            .filter(F.col("response").isNotNull()))
+    rest = ["record_id", "http", common.id_of("page").alias("page_id"), "fields"]
+    captures = found.filter(F.col("type").isin(*CAPTURES))
+    named = (captures.select(F.col("record_id").alias("_capture"), F.explode("concurrent_to").alias("_named"))
+             .groupBy("_named").agg(F.collect_set("_capture").alias("_captures")))
+    parts = (found.filter(F.col("type").isin("request", "metadata"))
+             .join(named, F.col("record_id") == F.col("_named"), "left"))
+    none = F.array().cast("array<string>")
+    linked = F.array_distinct(F.concat(F.coalesce("concurrent_to", none), F.coalesce("_captures", none)))
+    linked = F.when(F.size(linked) > 0, linked).otherwise(F.array("record_id"))
+    main = captures.select(F.col("record_id").alias("capture"), F.struct(*keep).alias("_main"),
+                           F.lit(None).cast("string").alias("_type"),
+                           F.lit(None).cast("struct<record_id:string,http:string,page_id:long,fields:string>").alias("_part"))
+    parts = parts.select(F.explode(linked).alias("capture"), F.lit(None).cast(main.schema["_main"].dataType).alias("_main"),
+                         F.col("type").alias("_type"), F.struct(*rest).alias("_part"))
+    all_of = lambda kind: F.array_sort(F.collect_set(F.when(F.col("_type") == kind, F.col("_part"))))
+    nested = (main.unionByName(parts).groupBy("capture")
+              .agg(F.max("_main").alias("response"), all_of("request").alias("_r"), all_of("metadata").alias("_m")))
+    requests = F.transform("_r", lambda x: F.struct(x["record_id"].alias("record_id"), x["http"].alias("http")))
+    metadata = F.transform("_m", lambda x: F.struct(x["record_id"].alias("record_id"), x["page_id"].alias("page_id"),
+                                                    x["fields"].alias("fields")))
+    return (nested.select("capture", "response", requests.alias("requests"), metadata.alias("metadata_records"))
+            .withColumn("request", F.get("requests", F.lit(0))).withColumn("metadata", F.get("metadata_records", F.lit(0))))
 
 
 def resolve(captures: DataFrame) -> DataFrame:
