@@ -128,3 +128,60 @@ def test_pages(spark):
     pages = spark.createDataFrame([(1, "http://x.fr/", html), (2, None, None)], "page_id long, url string, html string")
     one, two = langid.page_rows(pages).orderBy("page_id").collect()
     assert one.declared == "fr-CA" and one.text.split() == ["oui"] and (two.text, two.declared) == ("", "")
+
+
+def test_pages_query_equals_brute_force(spark, smoke_dir):
+    from urllib.parse import urlsplit
+    from unitcast.llm.queries import QUERIES
+    pages = spark.read.parquet(f"{smoke_dir}/pages.parquet")
+    rows = langid.page_rows(pages).orderBy("page_id").collect()
+    model = langid.train(langid.page_rows(pages).select(
+        langid.common.key_of("page_id").alias("_id"), "text", langid.primary(langid.F.col("declared")).alias("_declared"))
+        .withColumnRenamed("text", "_text"))
+    parts = []
+    for r in rows:
+        host = (urlsplit(r.url or "").hostname or "").lower() or None
+        labels = host.split(".") if host else []
+        deep = len(labels) > 1
+        parts.append((r.text, (r.declared or "").split("-")[0].lower() or None, labels[-1] if deep else None, host,
+                      ".".join(labels[-2:]) if deep else None))
+    got = {r.page_id: r for r in QUERIES["pages_language"](spark, smoke_dir).collect()}
+    assert len(got) == len(rows)
+    for i in range(0, len(rows), max(1, len(rows) // 12)):
+        p = brute_posterior(model, parts, i)
+        r = got[rows[i].page_id]
+        assert r.language == model.languages[int(p.argmax())] and r.declared == parts[i][1]
+        assert r.confidence == pytest.approx(p.max(), rel=1e-6)
+
+
+def test_many_junk_tags_cost_little(spark, corpus):
+    """600 rows of three languages, 400 more rows under tags of their own."""
+    rnd = random.Random(9)
+    tag = lambda i: "q" + "".join(chr(97 + int(d)) for d in str(i))
+    junk = [(5000 + i, text(rnd, "xa", 40), tag(i), "http://a.one.xx/", "xa") for i in range(400)]
+    df = corpus.unionByName(spark.createDataFrame(junk, corpus.schema))
+    plain = df.selectExpr("doc_id AS _id", "text AS _text", "lower(split(lang, '-')[0]) AS _declared")
+    model = langid.train(plain)
+    assert len(model.languages) == 404
+    assert len(model.gain) < 404 * langid.BUCKETS / 50              # entries that the samples hold, not tags x buckets
+    found = {k[0]: r for k, r in run(df).items()}
+    assert len(found) == 1000
+    truth = {r.doc_id: r.true for r in corpus.collect()}
+    assert np.mean([found[i].language == truth[i] for i in truth if truth[i] != "xa"]) > 0.95
+    c, ll, own = langid.likely(model, text(rnd, "yb", 200))
+    assert len(c) < 20 and abs(own.sum() - 1) < 1e-12 and "yb" in [model.languages[i] for i in c]
+
+
+def test_model_equals_counting(spark, corpus):
+    """Sparse entries against probabilities by a plain table."""
+    plain = corpus.selectExpr("doc_id AS _id", "text AS _text", "lower(split(lang, '-')[0]) AS _declared")
+    model = langid.train(plain)
+    counts = np.full((3, langid.BUCKETS), langid.PSEUDO)
+    for r in plain.collect():
+        np.add.at(counts[model.languages.index(r._declared)], langid.trigrams(r._text), 1)
+    log_p = np.log(counts / counts.sum(axis=1, keepdims=True))
+    for sample in ("tarmok linpes", "ñuéçai schwung", "0", ""):
+        at = langid.trigrams(sample)
+        scale = min(langid.OVERLAP * len(at), langid.MOST_EVIDENCE) / max(1, len(at))
+        expected = [*(log_p[:, at].sum(axis=1) * scale), -np.log(langid.BUCKETS) * len(at) * scale]
+        assert model.log_likelihood(sample) == pytest.approx(expected, rel=1e-9)

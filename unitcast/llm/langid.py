@@ -20,8 +20,11 @@ sample: about ``SAMPLE`` labelled rows chosen by a hash of the row, or all rows
 of a rarer language.  ``PSEUDO`` smooths towards uniform trigrams, that is
 towards ``und``: a language of few rows is weighed down where a larger model
 fits, yet beats ``und`` on trigrams it has seen.  Everything else covers all
-rows.  Only the model (languages x buckets), the row count of each declared
-language and one row of totals reach the driver.
+rows.  Only the model and totals of a few numbers per language reach the
+driver.  The model is sparse: it has one entry of 12 bytes for every bucket that
+a language's sample holds, so a tag of one row costs no more than that row's
+trigrams.  A row carries the languages within ``CUT`` of its best one; the
+others are e^-60 as likely by its text and no other evidence makes up for that.
 
 A row is rejected if ``und`` wins or the winner's posterior is below
 ``LEAST_POSTERIOR``.
@@ -57,6 +60,10 @@ MOST_EVIDENCE = 300          # trigrams that a text counts for at most, after OV
 EVIDENCE_PSEUDO = 20.0       # rows that a declaration or suffix is smoothed with
 PRIOR_ROWS = 50.0            # rows that a host or domain is smoothed with
 LEAST_POSTERIOR = 0.5
+CUT = 60.0                   # log likelihood below a text's best language that is not written
+LEAST_SHARE = 1e-9           # smallest text posterior that counts in a group
+EVENLY = -1                  # in place of a language: each language alike (a text without trigrams)
+DENSE_CELLS = 1 << 18        # rows x languages that are fused at a time
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -70,8 +77,14 @@ def trigrams(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class TextModel:
+    """Counts of hashed trigrams by bucket.  A bucket that a language's sample
+    lacks has the language's ``base``, the others add their ``gain``."""
+
     languages: list[str]        # UND is last
-    log_p: np.ndarray           # buckets x languages
+    base: np.ndarray            # per language: log probability of a bucket without a count
+    first: np.ndarray           # per bucket: its first entry; one more at the end
+    language: np.ndarray        # per entry
+    gain: np.ndarray            # per entry
 
     def log_likelihood(self, text: str) -> np.ndarray:
         at = trigrams(text)
@@ -79,7 +92,10 @@ class TextModel:
             return np.zeros(len(self.languages))
         counts = np.bincount(at, minlength=BUCKETS)
         used = np.flatnonzero(counts)
-        total = counts[used].astype(np.float64) @ self.log_p[used]
+        start, n = self.first[used], self.first[used + 1] - self.first[used]
+        entry = np.arange(n.sum()) + np.repeat(start - (np.cumsum(n) - n), n)
+        total = self.base * len(at) + np.bincount(
+            self.language[entry], self.gain[entry] * np.repeat(counts[used], n), minlength=len(self.languages))
         return total * (min(OVERLAP * len(at), MOST_EVIDENCE) / len(at))
 
 
@@ -98,15 +114,12 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> TextModel | None:
     """Fit the trigram model on a sample of ``(_id, _text, _declared)`` that is
     bounded for each declared language."""
     labelled = rows.filter(F.col("_declared") != UND)
-    sizes = {r["_declared"]: r["count"] for r in labelled.groupBy("_declared").count().collect()}
-    if not sizes:
-        return None
-    share, large = F.lit(1.0), {k: n for k, n in sizes.items() if n > sample}
-    if large:       # the others are taken whole
-        drawn = F.create_map(*[x for k, n in large.items() for x in (F.lit(k), F.lit(sample / n))])
-        share = F.coalesce(drawn[F.col("_declared")], share)
+    large = labelled.groupBy(F.col("_declared").alias("_large")).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > sample)       # the others are taken whole
+    large = checked(common.stored(large, "large-languages"))
     draw = F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 20)) / float(1 << 20)
-    chosen = labelled.filter(draw < share)
+    chosen = (labelled.join(large, F.col("_declared") == F.col("_large"), "left")
+              .filter(F.col("_n").isNull() | (draw < F.lit(sample) / F.col("_n"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -120,42 +133,88 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> TextModel | None:
                                    pa.array(found[used])], names=["_declared", "bucket", "n"])
 
     summed = (chosen.select("_declared", "_text").mapInArrow(run, "_declared string, bucket int, n long")
-              .groupBy("_declared", "bucket").agg(F.sum("n").alias("n")).toPandas())
-    languages = sorted(summed["_declared"].unique())
-    if not languages:
+              .groupBy("_declared", "bucket").agg(F.sum("n").alias("n"))
+              .groupBy("_declared").agg(F.collect_list("bucket").alias("bucket"), F.collect_list("n").alias("n"))
+              .orderBy("_declared").toArrow())      # one row per language, at most BUCKETS entries in it
+    if not summed.num_rows:
         return None
-    n = np.full((BUCKETS, len(languages)), PSEUDO)
-    column = {x: i for i, x in enumerate(languages)}
-    np.add.at(n, (summed["bucket"].to_numpy(), summed["_declared"].map(column).to_numpy()), summed["n"].to_numpy())
-    log_p = np.hstack([np.log(n / n.sum(axis=0)), np.full((BUCKETS, 1), -np.log(BUCKETS))])
-    return TextModel([*languages, UND], log_p)
+    buckets, counts = summed["bucket"].combine_chunks(), summed["n"].combine_chunks()
+    language = np.repeat(np.arange(summed.num_rows, dtype=np.int32), np.diff(buckets.offsets.to_numpy()))
+    bucket, n = buckets.flatten().to_numpy(), counts.flatten().to_numpy()
+    size = np.bincount(language, n, minlength=summed.num_rows) + PSEUDO * BUCKETS
+    order = np.argsort(bucket, kind="stable")
+    return TextModel([*summed["_declared"].to_pylist(), UND], np.append(np.log(PSEUDO / size), -np.log(BUCKETS)),
+                     np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))]),
+                     language[order], np.log1p(n / PSEUDO)[order])
 
 
 def _scored(rows: DataFrame, model: TextModel) -> DataFrame:
-    """Rows without text, with ``_ll`` (text evidence) and ``_own`` (text
-    posterior) per language."""
+    """Rows without text, with their likely languages ``_c``, the text
+    evidence ``_ll`` and the text posterior ``_own`` of each."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
     kept = ["_id", "_row", "_declared", "_suffix", "_host", "_domain"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in common.slices(batches):
-            texts = batch.column(len(kept))
-            ll = np.array([m.log_likelihood(t.as_py()) for t in texts])
-            own = softmax(ll)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(list(ll)), pa.array(list(own))],
-                                             names=[*kept, "_ll", "_own"])
+            found = [likely(m, t.as_py()) for t in batch.column(len(kept))]
+            starts = pa.array(np.cumsum([0, *(len(f[0]) for f in found)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate([f[k] for f in found]), t))
+                     for k, t in enumerate((pa.int32(), pa.float64(), pa.float64()))] if found else \
+                [pa.array([], pa.list_(t)) for t in (pa.int32(), pa.float64(), pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], names=[*kept, "_c", "_ll", "_own"])
 
     return rows.select(*kept, "_text").mapInArrow(
         run, "_id long, _row long, _declared string, _suffix string, _host string, _domain string, "
-             "_ll array<double>, _own array<double>")
-
-
-def _soft_counts(scored: DataFrame, key: str, n: int, name: str) -> DataFrame:
-    """Summed text posteriors per value of ``key`` (map-side combined)."""
-    sums = [F.sum(F.col("_own")[i]) for i in range(n)]
-    return (scored.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"k{key}"))
-            .agg(F.array(*sums).alias(name)))
+             "_c array<int>, _ll array<double>, _own array<double>")
+
+
+def likely(model: TextModel, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language, log likelihood, posterior) of the languages within ``CUT`` of
+    the text's best; ``EVENLY`` where the text says nothing."""
+    ll = model.log_likelihood(text)
+    if not ll.any():
+        return np.array([EVENLY]), np.zeros(1), np.ones(1)
+    c = np.flatnonzero(ll >= ll.max() - CUT)
+    return c, ll[c], softmax(ll[c])
+
+
+def _soft_counts(scored: DataFrame, key: str, name: str) -> DataFrame:
+    """Summed text posteriors by language ``c`` per value of ``key`` (map-side
+    combined; a list has at most one entry per language), and their total."""
+    return (scored.filter(F.col(key).isNotNull())
+            .select(F.col(key).alias(f"k{key}"), F.explode(F.arrays_zip("_c", "_own")).alias("_e"))
+            .filter(F.col("_e._own") > LEAST_SHARE)
+            .groupBy(f"k{key}", F.col("_e._c").alias("_c")).agg(F.sum("_e._own").alias("_n"))
+            .groupBy(f"k{key}").agg(F.collect_list(F.struct(F.col("_c").alias("c"), F.col("_n").alias("n"))).alias(name),
+                                    F.sum("_n").alias(f"{name}_total")))
+
+
+def _of_row(counts: str) -> Column:
+    """The counts of a group that concern the languages of its row."""
+    return F.when(F.get("_c", F.lit(0)) == EVENLY, F.col(counts)).otherwise(
+        F.filter(counts, lambda x: (x["c"] == EVENLY) | F.array_contains("_c", x["c"])))
+
+
+def _dense(c: list, values: list, languages: int, empty: float) -> np.ndarray:
+    """Rows x languages from lists (null: none) of languages and values; what
+    is given ``EVENLY`` is shared by all languages (values) or holds for each
+    (evidence, where ``empty`` is not 0)."""
+    lengths = [0 if x is None else len(x) for x in c]
+    out = np.full((len(c), languages), empty)
+    if not sum(lengths):
+        return out
+    row = np.repeat(np.arange(len(c)), lengths)
+    at = np.concatenate([x for x in c if x is not None]).astype(np.int64)
+    value = np.concatenate([x for x in values if x is not None]).astype(np.float64)
+    one = at >= 0
+    out[row[one], at[one]] = value[one]
+    if not one.all():
+        if empty:
+            out[row[~one]] = value[~one][:, None]
+        else:
+            out[row[~one]] += value[~one][:, None] / languages
+    return out
 
 
 def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None = None, url_col: str | None = None,
@@ -180,48 +239,62 @@ def identify(df: DataFrame, id_col: str, text_col: str, declared_col: str | None
                            none.alias("text_language"), F.col("_declared").alias("declared"), F.lit(True).alias("keep"))
     n = len(model.languages)
     scored = common.stored(_scored(rows, model), "language-scores")
-    totals = scored.agg(F.array(*[F.sum(F.col("_own")[i]) for i in range(n)]), F.count_distinct("_declared"),
-                        F.count_distinct("_suffix")).first()
-    corpus = np.array([x or 0.0 for x in totals[0]])
-    kinds, languages = {"d": max(1, totals[1]), "s": max(1, totals[2])}, np.array(model.languages, dtype=object)
+    totals = (scored.select(F.explode(F.arrays_zip("_c", "_own")).alias("_e"))
+              .groupBy(F.col("_e._c").alias("c")).agg(F.sum("_e._own").alias("n")).orderBy("c").toPandas())
+    corpus = _dense([totals["c"].to_numpy()], [totals["n"].to_numpy()], n, 0.0)[0]
+    distinct = scored.agg(F.count_distinct("_declared"), F.count_distinct("_suffix")).first()
+    kinds, languages = {"d": max(1, distinct[0]), "s": max(1, distinct[1])}, np.array(model.languages, dtype=object)
 
-    hosts = (_soft_counts(scored, "_host", n, "_h")
+    hosts = (_soft_counts(scored, "_host", "_h")
              .withColumn("_hd", F.when(F.size(F.split("k_host", "\\.")) > 1,
                                        F.concat_ws(".", F.slice(F.split("k_host", "\\."), -2, 2))))
-             .join(_soft_counts(scored, "_domain", n, "_p"), F.col("_hd") == F.col("k_domain"), "left")
-             .select("k_host", "_h", "_p"))
+             .join(_soft_counts(scored, "_domain", "_p"), F.col("_hd") == F.col("k_domain"), "left")
+             .select("k_host", "_h", "_h_total", "_p", "_p_total"))
     fused = (scored
-             .join(_soft_counts(scored, "_declared", n, "_d"), F.col("_declared") == F.col("k_declared"), "left")
-             .join(_soft_counts(scored, "_suffix", n, "_s"), F.col("_suffix") == F.col("k_suffix"), "left")
+             .join(_soft_counts(scored, "_declared", "_d"), F.col("_declared") == F.col("k_declared"), "left")
+             .join(_soft_counts(scored, "_suffix", "_s"), F.col("_suffix") == F.col("k_suffix"), "left")
              .join(hosts, F.col("_host") == F.col("k_host"), "left"))
+    groups = ("_d", "_s", "_h", "_p")
+    for g in groups:
+        fused = fused.withColumn(g, _of_row(g))
 
-    @F.pandas_udf("language string, confidence double, text_language string")
-    def fuse(ll: pd.Series, own: pd.Series, d: pd.Series, s: pd.Series, h: pd.Series, p: pd.Series) -> pd.DataFrame:
-        def others(counts: pd.Series, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Soft counts of the other rows with this value, zero where there is no value; whether there is."""
-            there = counts.notna().to_numpy()
-            out = np.zeros_like(mine)
-            if there.any():
-                out[there] = np.maximum(np.stack(counts[there].to_list()) - mine[there], 0.0)
-            return out, there
-
-        text, mine = np.stack(ll.to_list()), np.stack(own.to_list())
+    def posteriors(c: list, ll: list, own: list, counts: list, host_total: np.ndarray, domain_total: np.ndarray):
+        """Text evidence and fused posterior, rows x languages."""
+        text, mine = _dense(c, ll, n, -np.inf), _dense(c, own, n, 0.0)
         rest = np.maximum(corpus - mine, 0.0)
+        # soft counts of the other rows of each group, zero where there is no group
+        d, s, h, p = (np.maximum(_dense(k, v, n, 0.0) - np.where([[x is not None] for x in k], mine, 0.0), 0.0)
+                      for k, v in counts)
         score = text.copy()
-        for counts, kind in ((d, "d"), (s, "s")):
-            found, there = others(counts, mine)
-            likely = np.log((found + EVIDENCE_PSEUDO / kinds[kind]) / (rest + EVIDENCE_PSEUDO))
-            score += np.where(there[:, None], likely, 0.0)
-        prior = (rest + 1.0 / len(corpus)) / (rest.sum(axis=1, keepdims=True) + 1.0)
-        for counts in (p, h):
-            found, _ = others(counts, mine)
-            prior = (found + PRIOR_ROWS * prior) / (found.sum(axis=1, keepdims=True) + PRIOR_ROWS)
-        posterior = softmax(score + np.log(prior))
-        best = posterior.argmax(axis=1)
-        return pd.DataFrame({"language": languages[best], "confidence": posterior[np.arange(len(best)), best],
-                             "text_language": languages[text.argmax(axis=1)]})
-
-    return (fused.withColumn("_found", fuse("_ll", "_own", "_d", "_s", "_h", "_p"))
+        for found, (k, _), kind in ((d, counts[0], "d"), (s, counts[1], "s")):
+            fits = np.log((found + EVIDENCE_PSEUDO / kinds[kind]) / (rest + EVIDENCE_PSEUDO))
+            score += np.where([[x is not None] for x in k], fits, 0.0)
+        prior = (rest + 1.0 / n) / (rest.sum(axis=1, keepdims=True) + 1.0)
+        for found, total in ((p, domain_total), (h, host_total)):
+            others = np.maximum(total[:, None] - 1.0, 0.0)      # a row's own posterior sums to 1
+            prior = (found + PRIOR_ROWS * prior) / (others + PRIOR_ROWS)
+        return text, softmax(score + np.log(prior))
+
+    @F.pandas_udf("language string, confidence double, text_language string")
+    def fuse(c: pd.Series, ll: pd.Series, own: pd.Series, dc: pd.Series, dn: pd.Series, sc: pd.Series, sn: pd.Series,
+             hc: pd.Series, hn: pd.Series, pc: pd.Series, pn: pd.Series, ht: pd.Series, pt: pd.Series) -> pd.DataFrame:
+        lists = [x.to_list() for x in (c, ll, own, dc, dn, sc, sn, hc, hn, pc, pn)]
+        ht, pt = ht.fillna(0.0).to_numpy(), pt.fillna(0.0).to_numpy()
+        best, sure, by_text = [], [], []
+        step = max(1, DENSE_CELLS // n)
+        for at in range(0, len(c), step):
+            x = [part[at:at + step] for part in lists]
+            text, posterior = posteriors(*x[:3], list(zip(x[3::2], x[4::2])), ht[at:at + step], pt[at:at + step])
+            best.append(posterior.argmax(axis=1))
+            sure.append(posterior.max(axis=1))
+            by_text.append(text.argmax(axis=1))
+        if not best:
+            return pd.DataFrame({"language": [], "confidence": [], "text_language": []})
+        return pd.DataFrame({"language": languages[np.concatenate(best)], "confidence": np.concatenate(sure),
+                             "text_language": languages[np.concatenate(by_text)]})
+
+    sent = ["_c", "_ll", "_own", *[f"{g}.{k}" for g in groups for k in ("c", "n")], "_h_total", "_p_total"]
+    return (fused.withColumn("_found", fuse(*sent))
             .select("_id", "_row", "_found.language", "_found.confidence", "_found.text_language",
                     F.col("_declared").alias("declared"))
             .withColumn("keep", (F.col("language") != UND) & (F.col("confidence") >= least_posterior)))
