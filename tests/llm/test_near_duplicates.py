@@ -186,3 +186,13 @@ def test_components(spark, edges):
             root[max(a, b)] = min(a, b)
     df = spark.createDataFrame(edges, "u long, v long")
     assert {r.vertex: r.component for r in components(df).collect()} == {x: find(x) for x in list(root)}
+
+
+def test_components_with_hubs(spark, monkeypatch):
+    """Two stars of which one is met by broadcast, joined by a chain, and a component apart."""
+    from unitcast.llm import components as module
+    monkeypatch.setattr(module, "HUB_EDGES", 8)
+    edges = [(500, i) for i in range(1, 60)] + [(900, i) for i in range(600, 640)] + [(60, 700), (700, 639), (59, 60)]
+    edges += [(2000, 2001), (2001, 2002)]
+    found = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {**{v: 1 for e in edges[:-2] for v in e}, 2000: 2000, 2001: 2000, 2002: 2000}

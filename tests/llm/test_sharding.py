@@ -1,5 +1,9 @@
+import math
 import zlib
 
+import pytest
+import xxhash
+
 from unitcast.llm import sharding
 
 
@@ -40,3 +44,36 @@ def test_movement_is_confined_to_changed_subtrees(spark):
     moved = out[out["old"] != out["new"]]
     assert set(moved["new"]) <= {3, 5}                     # only into region r1
     assert not len(moved[(moved["old"] == 5)])             # the heavier shard loses nothing
+
+
+def brute_shard(tree, row_id):
+    """Descend by draws recomputed with another hash library: seed, name and id
+    (null: left out) hashed in turn, each under the hash before it."""
+    def draw(name, weight):
+        h = xxhash.xxh64_intdigest(tree.seed.to_bytes(4, "little"), 42)
+        h = xxhash.xxh64_intdigest(name.encode(), h)
+        if row_id is not None:
+            h = xxhash.xxh64_intdigest(row_id.to_bytes(8, "little", signed=True), h)
+        return -math.log(((h >> 11) + 0.5) / (1 << 53)) / weight
+
+    def winner(children):
+        return min((draw(str(name), weight), name) for name, weight in children if weight > 0)[1]
+
+    racks = tree.regions[winner([(r, sum(w for s in k.values() for w in s.values())) for r, k in tree.regions.items()])]
+    return winner(racks[winner([(k, sum(s.values())) for k, s in racks.items()])].items())
+
+
+@pytest.mark.parametrize("tree", [sharding.HashTree.uniform(40), sharding.HashTree.uniform(41), sharding.HashTree(
+    {"r0": {"r0/a": {0: 1.0, 1: 0.0}, "r0/b": {2: 2.5}}, "r1": {"r1/a": {3: 0.5, 4: 4.0}}}, seed=3)])
+def test_draws_equal_an_independent_computation(spark, tree):
+    ids = [None, 0, -1, 1 << 62, *range(7, 2000, 11)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    assert {r.id: r.shard for r in tree.place(df, "id", "shard").collect()} == {i: brute_shard(tree, i) for i in ids}
+
+
+def test_hot_identical_rows_share_a_shard_with_gapless_slots(spark):
+    docs = spark.range(9000).selectExpr("if(id % 3 = 0, NULL, if(id % 3 = 1, 5L, id)) AS doc_id", "'same' AS text").repartition(5)
+    rows = sharding.shard_rows(docs, sharding.HashTree.uniform(4), sharding.HashTree.uniform(5)).toPandas()
+    for _, part in rows.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+    assert rows[rows["doc_id"].isna()]["shard"].nunique() == 1 and len(rows) == 9000

@@ -17,8 +17,8 @@ hits are candidates.
 Verification: the shingles of candidate documents are compared with the
 item's as strings, so hash collisions cannot make a leak.
 
-Broadcast sides are counted first (``MAX_BROADCAST_ROWS``); larger ones are
-joined by shuffle with the same result.
+The bytes of broadcast sides are summed first (``MAX_BROADCAST_BYTES``); larger
+ones are joined by shuffle with the same result.
 
 Edge cases: a null or empty text has no shingles and neither leaks nor is
 found; an item of fewer than five words is one shingle of all its words;
@@ -33,11 +33,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unitcast.llm import common
+from unitcast.operators.joins import stored_bytes
 
 WORDS = 5
 THRESHOLD = 0.8
 SPARE = 3                        # sketch shingles beyond the most that may be lacking, plus one
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 32 << 20   # of values; Spark's hash table takes about three times that
 
 
 def words(text: Column) -> Column:
@@ -60,9 +61,9 @@ def _runs(w: Column, size: int, one, kind: str) -> Column:
                   ).otherwise(F.array().cast(kind))
 
 
-def checked(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """A stored frame, with a broadcast hint only if its counted rows allow."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def checked(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """A stored frame, with a broadcast hint only if its summed bytes allow."""
+    return F.broadcast(df) if stored_bytes(df) <= max_bytes else df
 
 
 def _items(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:

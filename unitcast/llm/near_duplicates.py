@@ -54,9 +54,10 @@ from pyspark.sql import functions as F
 
 from unitcast.llm import common
 from unitcast.llm.components import components
-from unitcast.llm.decontaminate import MAX_BROADCAST_ROWS, checked, shingle_hashes, words
+from unitcast.llm.decontaminate import checked, shingle_hashes, words
 
 WORDS = 5
+MAX_BROADCAST_ROWS = 1_000_000   # of 16-byte nodes
 THRESHOLD = 0.8
 BANDS, ROWS = 72, 8
 CHECKS, STEP = 128, 16
@@ -410,7 +411,7 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = (found.join(best, "_class").filter("_id != _best._id or _node != _best._node")
             .select(F.col("_id").alias("_gone"), F.col("_node").alias("_gone_node")))
     node = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    gone = checked(common.stored(gone, "duplicates"), MAX_BROADCAST_ROWS)
+    gone = checked(common.stored(gone, "duplicates"))
     left = docs.join(gone, (common.key_of(id_col) == F.col("_gone")) & (node == F.col("_gone_node")), "left_anti")
     if docs.count() == found.count():       # no row is repeated
         return left
