@@ -104,3 +104,15 @@ def test_saving_a_split_twice_replaces_it(spark, tmp_path):
         save_predictions(df, str(tmp_path / "p"), split)
     got = spark.read.parquet(str(tmp_path / "p"))
     assert sorted(r.split for r in got.collect()) == ["holdout", "request"]
+
+
+def test_rows_of_flat_frames_never_carry_names(spark, tables, monkeypatch):
+    stored = []
+    keep = pipelines.materialize
+    monkeypatch.setattr(pipelines, "materialize", lambda df: stored.append(df) or keep(df))
+    hist, req = pipelines.flat_model_tables(tables["sales"], tables["request"], tables["items"],
+                                            tables["categories"], tables["shops"], 5, 6, with_text=True)
+    frames = [df for df in stored if {"shop_id", "item_id"} <= set(df.columns)]
+    assert len(frames) >= 3
+    assert not [c for df in frames for c, kind in df.dtypes if kind == "string"]
+    assert hist.count() and req.count() == tables["request"].count()

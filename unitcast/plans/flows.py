@@ -18,17 +18,15 @@ from pyspark.sql import functions as F
 from unitcast import config
 from unitcast.functions.columns import clip
 from unitcast.operators import aggregate as agg
-from unitcast.operators import clean, encode, models, panel, text
+from unitcast.operators import encode, models, panel
 from unitcast.operators.joins import materialize
-from unitcast.plans.pipelines import LABEL, NAME_COLS, I, S, T
+from unitcast.plans import pipelines
+from unitcast.plans.pipelines import DIMENSIONS, LABEL, NAME_COLS, I, S, T
 from unitcast.plans.registry import query
 from unitcast.plans.sqlparts import H, TM, sql
 from unitcast.sources import bundle as bundles
 from unitcast.sources import files, tpch
 
-C = "item_category_id"
-DIMENSIONS = {"items": (I, "item_name"), "categories": (C, "item_category_name"), "shops": (S, "shop_name")}
-
 
 @dataclass(frozen=True)
 class Flow:
@@ -52,10 +50,7 @@ FLOWS = {
 
 def dimension(frame: DataFrame, key: str, name: str, with_text: bool) -> DataFrame:
     """A lookup table, with name length, word count and TF-IDF columns if wanted."""
-    if not with_text:
-        return frame
-    stats = text.text_stats(frame.select(key, name), name, name).drop(name)
-    return frame.join(stats, key, "left").join(text.tfidf_wide(text.tfidf(frame, key, name), key, name), key, "left")
+    return pipelines.with_text_features(frame, key, name) if with_text else frame
 
 
 def history_rows(sales: DataFrame, holdout_month: int) -> DataFrame:
@@ -66,16 +61,18 @@ def history_rows(sales: DataFrame, holdout_month: int) -> DataFrame:
 
 
 def enrich(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """History or request rows with means, last units and dimensions; numeric NULL -> 0."""
+    """History or request rows with means, last units and lookups, names as
+    codes (-1 if unknown); numeric NULL -> 0."""
     out = rows.join(tables["mean"], [S, I], "left").join(tables["previous"], [S, I], "left")
-    for name in ("items", "categories", "shops"):
-        out = out.join(tables[name], DIMENSIONS[name][0], "left")
-    return clean.fill_numeric(out, 0.0)
+    return pipelines.with_lookups(out, pipelines.coded_lookups(tables, {c: tables[f"codes_{c}"] for c in NAME_COLS}))
 
 
 def encoded(rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Codes for names that are still text; ``enrich`` attaches codes already."""
+    kinds = dict(rows.dtypes)
     for c in NAME_COLS:
-        rows = encode.encode_apply(rows, c, tables[f"codes_{c}"])
+        if kinds[c] == "string":
+            rows = encode.encode_apply(rows, c, tables[f"codes_{c}"])
     return rows
 
 
@@ -96,11 +93,10 @@ def flat_tables(sales: DataFrame, request: DataFrame, items: DataFrame, categori
     first = sales.filter(F.col(T) <= holdout_month).agg(F.min(F.year("date") - F.floor(F.col(T) / 12))).first()[0]
     settings = {"target_month": target_month, "holdout_month": holdout_month, "month": target_month % 12 + 1,
                 "year": None if first is None else first + target_month // 12}
-    history = materialize(enrich(m, tables))
-    wanted = enrich(request_rows(request, settings), tables).select(*NAME_COLS)
-    for c in NAME_COLS:     # domains: history and request names
-        tables[f"codes_{c}"] = materialize(encode.encode_fit(history, wanted, c=c))
-    return materialize(encoded(history, tables).withColumn(LABEL, clip(LABEL))), tables, settings
+    seen = pipelines.seen_lookups(tables, m, request)      # domains: history and request names
+    for name, (_, c) in DIMENSIONS.items():
+        tables[f"codes_{c}"] = materialize(encode.encode_fit(seen[name], c=c))
+    return materialize(enrich(m, tables).withColumn(LABEL, clip(LABEL))), tables, settings
 
 
 def fit(flow: Flow, sales: DataFrame, request: DataFrame, items: DataFrame, categories: DataFrame, shops: DataFrame,
