@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from unitcast.sources import csvscan, files
+from unitcast.plans import frames
+from unitcast.sources import csvscan, files, tpch
 
 HEADER = "item_id,date,date_block_num,shop_id,item_price,item_cnt_day\n"      # not the schema's order
 
@@ -88,3 +89,12 @@ def test_tables_with_limit_and_rejects(spark, tmp_path):
     assert sorted(r.item_price for r in t["sales"].collect()) == [1, 2, 3] and t["items"].count() == 1
     assert [(r.record, r.reason) for r in spark.read.parquet(str(tmp_path / "bad" / "items")).collect()] == [(2, "item_id=x")]
     assert t["sales"].dtypes == files.read_csv_tables(spark, str(tmp_path))["sales"].dtypes
+
+
+def test_larger_sales_are_written_as_more_files(spark, smoke_dir, monkeypatch):
+    rows = tpch.sales(spark, smoke_dir).select(*frames.CSV_COLS)
+    monkeypatch.setattr(frames, "ROWS_PER_FILE", 500, raising=False)
+    path = frames._written(spark, rows)
+    per_file = spark.read.csv(path, header=True).groupBy(F.input_file_name()).count()
+    assert per_file.agg(F.sum("count")).first()[0] == rows.count()
+    assert per_file.count() > 4 and per_file.agg(F.max("count")).first()[0] < 1000

@@ -70,11 +70,16 @@ CSV_TYPES = {"date": "date", "shop_id": "bigint", "item_id": "bigint", "item_cnt
 CSV_ORDER = ["order_key", "line_no", "date", "shop_id", "item_id", "item_cnt_day"]
 
 
+ROWS_PER_FILE = 1_000_000      # a task sorts and writes one file
+
+
 def _written(spark, rows):
-    """``rows`` as several CSV files whose names follow their order, dates day-first."""
+    """``rows`` as several CSV files whose names follow their order, dates
+    day-first; more rows give more files, not larger ones."""
+    n = max(4, -(-rows.count() // ROWS_PER_FILE))
     path = config.scratch_path(spark, f"csv-{uuid.uuid4().hex}")
     text = rows.withColumn("date", F.date_format("date", "dd.MM.yyyy"))
-    text.repartitionByRange(4, *CSV_ORDER[:2]).sortWithinPartitions(*CSV_ORDER[:2], F.to_date("date", "dd.MM.yyyy"), *CSV_ORDER[3:]).write.csv(path, header=True)
+    text.repartitionByRange(n, *CSV_ORDER[:2]).sortWithinPartitions(*CSV_ORDER[:2], F.to_date("date", "dd.MM.yyyy"), *CSV_ORDER[3:]).write.csv(path, header=True)
     return path
 
 
