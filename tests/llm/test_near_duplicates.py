@@ -196,3 +196,14 @@ def test_components_with_hubs(spark, monkeypatch):
     edges += [(2000, 2001), (2001, 2002)]
     found = {r.vertex: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {**{v: 1 for e in edges[:-2] for v in e}, 2000: 2000, 2001: 2000, 2002: 2000}
+
+
+def test_equal_block_sets_are_paired_once(spark, monkeypatch):
+    """300 buckets over the same 16 blocks: the pairs of all buckets, found from one set of blocks."""
+    rows = [(k, b) for k in range(300) for b in range(16)] + [(900, 3), (900, 40), (901, 50)]
+    held = spark.createDataFrame(rows, "_key long, _block long")
+    stored, keep = {}, nd.common.stored
+    monkeypatch.setattr(nd.common, "stored", lambda df, name: stored.setdefault(name, keep(df, name)))
+    got = {(r._lo, r._hi) for r in nd.block_pairs(held).collect()}
+    assert got == {(a, b) for a in range(16) for b in range(a, 16)} | {(3, 3), (3, 40), (40, 40), (50, 50)}
+    assert stored["block-sets"].count() == 3

@@ -307,6 +307,16 @@ def _blocks(buckets: DataFrame) -> DataFrame:
         "_node", F.xxhash64("_centre", F.pmod(F.xxhash64("_node"), "_blocks")).alias("_block"))
 
 
+def block_pairs(held: DataFrame) -> DataFrame:
+    """``(_lo, _hi)``: pairs of blocks that share a bucket, from the different
+    rows ``(_key, _block)``.  Similar texts share many buckets, so the buckets
+    of a group hold few different sets of blocks; each set is paired once."""
+    sets = held.groupBy("_key").agg(F.array_sort(F.collect_list("_block")).alias("_blocks"))
+    sets = common.stored(sets.select("_blocks").distinct(), "block-sets")
+    pairs = sets.select(F.explode("_blocks").alias("_lo"), "_blocks")
+    return pairs.select("_lo", F.explode(F.filter("_blocks", lambda b: b >= F.col("_lo"))).alias("_hi")).distinct()
+
+
 def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """``(_a, _b, _n)``: link counts of nodes (``_b`` null; to be summed) and
     edges ``(_a, _b)`` of spanning forests (``_n`` 0).  ``bands`` has the band
@@ -315,10 +325,7 @@ def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: flo
     buckets = common.stored(bands.join(shared.select("_key", "_least"), "_key"), "buckets")
     blocks = common.stored(_blocks(buckets), "blocks")
     held = buckets.select("_node", "_key").join(blocks, "_node").select("_key", "_block").distinct()
-    held = common.stored(held, "bucket-blocks")
-    pairs = (held.select("_key", F.col("_block").alias("_lo"))
-             .join(held.select("_key", F.col("_block").alias("_hi")), "_key").filter("_lo <= _hi")
-             .select("_lo", "_hi").distinct())
+    pairs = block_pairs(held)
     pairs = common.stored(pairs, "block-pairs")
     wanted = pairs.select("_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_block"))
     wanted = wanted.join(blocks, "_block")
