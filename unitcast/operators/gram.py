@@ -41,12 +41,33 @@ def complete(df: DataFrame, features: list[str], label: str) -> DataFrame:
 
 
 def gram_sums(df: DataFrame, features: list[str], label: str, intercept: bool = True, exact: bool = True) -> DataFrame:
-    """The sums as a one-row frame: ``rows``, ``s_i_j`` (i <= j), ``t_i`` and ``yy``."""
+    """The sums as a one-row frame: ``rows``, ``s_i_j`` (i <= j), ``t_i`` and ``yy``.
+
+    A row gives its products that are not 0 (the others add nothing) and one
+    entry for the row itself, all summed by one narrow aggregate: a plan of an
+    exact sum per pair of terms is too large a function to be compiled."""
     add = exact_sum if exact else F.sum
-    terms, y = _terms(features, intercept), F.col(f"`{label}`").cast("double")
-    cells = [add(a * b).alias(f"s_{i}_{j}") for i, (_, a) in enumerate(terms) for j, (_, b) in enumerate(terms) if i <= j]
-    sides = [add(a * y).alias(f"t_{i}") for i, (_, a) in enumerate(terms)]
-    return complete(df, features, label).agg(F.count(F.lit(1)).alias("rows"), *cells, *sides, add(y * y).alias("yy"))
+    y = len(_terms(features, intercept))
+    values = [*[c for _, c in _terms(features, intercept)], F.col(f"`{label}`").cast("double")]
+    held = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), c.alias("v")) for i, c in enumerate(values)]), lambda t: t["v"] != 0)
+
+    def products(a: Column) -> Column:
+        return F.transform(F.filter("_held", lambda b: b["i"] >= a["i"]), lambda b: F.struct(
+            a["i"].alias("i"), b["i"].alias("j"), (a["v"] * b["v"]).alias("v")))
+
+    row = F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(1.0).alias("v")))
+    cells = complete(df, features, label).select(held.alias("_held"))
+    cells = cells.select(F.explode(F.concat(row, F.flatten(F.transform("_held", products)))).alias("_c"))
+    sums = cells.groupBy("_c.i", "_c.j").agg(add("_c.v").alias("v"))
+    rows = F.coalesce(F.max(F.when(F.col("i") == -1, F.col("v"))), F.lit(0.0)).cast("long")
+    found = sums.agg(rows.alias("rows"), F.map_from_entries(F.collect_list(
+        F.struct(F.concat_ws("_", "i", "j").alias("k"), "v"))).alias("_v"))
+
+    def cell(i: int, j: int) -> Column:
+        return F.when(F.col("rows") > 0, F.coalesce(F.col("_v")[f"{i}_{j}"], F.lit(0.0)))
+
+    return found.select("rows", *[cell(i, j).alias(f"s_{i}_{j}") for i in range(y) for j in range(i, y)],
+                        *[cell(i, y).alias(f"t_{i}") for i in range(y)], cell(y, y).alias("yy"))
 
 
 def gram_long(df: DataFrame, features: list[str], label: str, intercept: bool = True) -> DataFrame:
