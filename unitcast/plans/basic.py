@@ -24,7 +24,7 @@ SHOP_REMAP = {0: 57, 1: 58, 10: 11}
 
 
 def monthly(spark, sf_dir, grain="A"):
-    return agg.monthly_sales(tpch.sales_grain(spark, sf_dir, grain))
+    return (agg.monthly_of_pairs if grain == "A" else agg.monthly_sales)(tpch.sales_grain(spark, sf_dir, grain))
 
 
 @query("load_sales", sql(["sales"], f"SELECT {SALES_COLS} FROM sales"))
@@ -271,7 +271,7 @@ def q_pivot_month_sum(spark, sf_dir):
 def q_pivot_month_mean(spark, sf_dir):
     """Pivot with the mean aggregate over the (unique) monthly rows."""
     return agg.pivot_months(monthly(spark, sf_dir), ["item_id", "shop_id"], "date_block_num",
-                            "item_cnt_month", "avg")
+                            "item_cnt_month", "avg", dealt=True)
 
 
 @query("table_shape", sql(["monthly"], """SELECT count(*) AS n_rows, CAST(4 AS BIGINT) AS n_cols FROM monthly"""))

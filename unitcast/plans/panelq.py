@@ -253,7 +253,7 @@ def q_prev_month_units(spark, sf_dir):
 
 
 def clipped_history(spark, sf_dir, grain="A"):
-    return pipelines.clipped_monthly(tpch.sales_grain(spark, sf_dir, grain), H)
+    return pipelines.clipped_monthly(tpch.sales_grain(spark, sf_dir, grain), H, pairs=grain == "A")
 
 
 LAG_MATRIX_SQL = sql(["monthly"], f"""SELECT a.anchor, c.shop_id, c.item_id,
