@@ -9,6 +9,7 @@ from unitcast import config
 from unitcast.functions.columns import clip
 from unitcast.operators.aggregate import share_index, with_scalar
 from unitcast.operators.clean import fill_from
+from unitcast.operators.joins import materialize
 
 
 def cold_start_fill(request: DataFrame, preds: DataFrame, factor: float = config.COLD_START_FACTOR,
@@ -21,8 +22,11 @@ def cold_start_fill(request: DataFrame, preds: DataFrame, factor: float = config
     the request rows that have one; the indices are each key's prediction sum
     over the mean of those sums (computed over all predicted pairs).  With
     ``use_item_index=False`` the degenerate variant ``mean x factor`` is used.
+    The predictions and the request rows that met them are read several times
+    (fill, mean, both indices), so both are stored.
     """
-    s = request.join(preds.select(shop, item, pred), [shop, item], "left")
+    preds = materialize(preds.select(shop, item, pred))
+    s = materialize(request.select(id_col, shop, item).join(preds, [shop, item], "left"))
     if use_item_index:
         s = (s.join(share_index(preds, shop, pred, "_shop_idx"), shop, "left")
               .join(share_index(preds, item, pred, "_item_idx"), item, "left"))
