@@ -207,3 +207,33 @@ def test_equal_block_sets_are_paired_once(spark, monkeypatch):
     got = {(r._lo, r._hi) for r in nd.block_pairs(held).collect()}
     assert got == {(a, b) for a in range(16) for b in range(a, 16)} | {(3, 3), (3, 40), (40, 40), (50, 50)}
     assert stored["block-sets"].count() == 3
+
+
+def test_nodes_go_only_where_they_have_candidates(spark):
+    """Ten nodes in each of four blocks; node 0 of every block shares a bucket with all the others,
+    nodes 1 and 2 of a block share one, the rest lie in buckets of their own: no block meets another whole."""
+    node = {(b, i): bytes([b, i]) for b in range(4) for i in range(10)}
+    rows = [(node[b, 0], 1) for b in range(4)] + [(node[b, i], 10 + b) for b in range(4) for i in (1, 2)]
+    rows += [(n, 100 + k) for k, n in enumerate(node.values())]
+    buckets = spark.createDataFrame(rows, "_node binary, _key long")
+    blocks = spark.createDataFrame([(n, b) for (b, _), n in node.items()], "_node binary, _block long")
+    got = sorted((bytes(r._node), r._block, r._lo, r._hi) for r in nd.dealt(buckets, blocks).collect())
+    across = [(node[b, 0], b, *sorted((b, c))) for b in range(4) for c in range(4) if b != c]
+    within = [(node[b, i], b, b, b) for b in range(4) for i in (1, 2)]
+    assert got == sorted(across + within)
+
+
+def test_dealing_loses_no_candidate_pair(spark):
+    rnd = random.Random(5)
+    held = {(bytes([n]), rnd.randrange(40)) for n in range(120) for _ in range(3)}
+    block = {bytes([n]): rnd.randrange(6) for n in range(120)}
+    buckets = spark.createDataFrame(sorted(held), "_node binary, _key long")
+    blocks = spark.createDataFrame(sorted(block.items()), "_node binary, _block long")
+    rows = [(bytes(r._node), r._lo, r._hi) for r in nd.dealt(buckets, blocks).collect()]
+    assert len(set(rows)) == len(rows)
+    for (a, k), (b, m) in itertools.combinations(sorted(held), 2):
+        if k == m:
+            pair = tuple(sorted((block[a], block[b])))
+            assert (a, *pair) in rows and (b, *pair) in rows
+    keyed = buckets.join(blocks, "_node").select("_key", "_block").distinct()
+    assert {r[1:] for r in rows} <= {tuple(r) for r in nd.block_pairs(keyed).collect()}

@@ -2,9 +2,10 @@
 
 Links all pairs of different texts whose sets of five-word shingles have a
 Jaccard similarity of at least ``threshold``, without ever writing the pairs.
-A group of n similar texts is cut into at most ``SPLIT`` blocks, so it costs at
-most ``SPLIT`` + 1 rows per text (a group of over ``SPLIT * LARGEST`` texts, n /
-``LARGEST`` rows per text); pairs exist as array elements within a task only.
+A group of n similar texts is cut into at most ``SPLIT`` blocks (one of over
+``SPLIT * LARGEST`` texts into n / ``LARGEST``), and a text costs one row for each
+block that its buckets reach, in its own group or another; pairs exist as array
+elements within a task only.
 
 1. Equal texts are one node (128-bit digest); only one row of its smallest
    document goes on.
@@ -14,8 +15,9 @@ most ``SPLIT`` + 1 rows per text (a group of over ``SPLIT * LARGEST`` texts, n /
 3. Nodes are dealt into blocks: around the smallest node that shares a bucket
    with them, groups of over ``BLOCK`` split by hash into blocks that grow with
    the group.  Every pair of blocks that shares a bucket is one task group; it
-   gets the nodes of both blocks and looks for candidates (equal bands) between
-   them.  Each pair of nodes belongs to exactly one pair of blocks.
+   gets those nodes of both blocks that share a bucket with a node of the other
+   one and looks for candidates (equal bands) between them.  Each pair of nodes
+   belongs to exactly one pair of blocks.
 4. Pruning: ``CHECKS`` further MinHash values, independent of the bands, are
    compared ``STEP`` at a time.  After n values with m matches the similarity
    has a Beta(m + 1, n - m + 1) posterior (uniform prior); the pair is dropped
@@ -317,6 +319,22 @@ def block_pairs(held: DataFrame) -> DataFrame:
     return pairs.select("_lo", F.explode(F.filter("_blocks", lambda b: b >= F.col("_lo"))).alias("_hi")).distinct()
 
 
+def dealt(buckets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``(_node, _block, _lo, _hi)``: the pairs of blocks (``block_pairs``) that a
+    node has candidates in.  It goes to the pair of its own and another block only
+    if one of its own buckets holds a node of that block, and to its block's pair
+    with itself only if a bucket holds another node of its block."""
+    held = buckets.select("_node", "_key").join(blocks, "_node")
+    counts = held.groupBy("_key", "_block").agg(F.count(F.lit(1)).alias("_c"))
+    sets = counts.groupBy("_key").agg(F.array_sort(F.collect_list("_block")).alias("_blocks"),
+                                      F.collect_list(F.when(F.col("_c") > 1, F.col("_block"))).alias("_several"))
+    met = F.filter("_blocks", lambda b: (b != F.col("_block")) | F.array_contains("_several", b))
+    of_node = (held.join(sets, "_key").select("_node", "_block", met.alias("_met")).filter(F.size("_met") > 0)
+               .groupBy("_node", "_block").agg(F.array_distinct(F.flatten(F.collect_set("_met"))).alias("_met")))
+    return of_node.select("_node", "_block", F.explode("_met").alias("_other")).select(
+        "_node", "_block", F.least("_block", "_other").alias("_lo"), F.greatest("_block", "_other").alias("_hi"))
+
+
 def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """``(_a, _b, _n)``: link counts of nodes (``_b`` null; to be summed) and
     edges ``(_a, _b)`` of spanning forests (``_n`` 0).  ``bands`` has the band
@@ -324,11 +342,7 @@ def _linked(bands: DataFrame, first: DataFrame, threshold: float, tolerance: flo
     shared = bands.groupBy("_key").agg(F.min("_node").alias("_least"), F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     buckets = common.stored(bands.join(shared.select("_key", "_least"), "_key"), "buckets")
     blocks = common.stored(_blocks(buckets), "blocks")
-    held = buckets.select("_node", "_key").join(blocks, "_node").select("_key", "_block").distinct()
-    pairs = block_pairs(held)
-    pairs = common.stored(pairs, "block-pairs")
-    wanted = pairs.select("_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_block"))
-    wanted = wanted.join(blocks, "_block")
+    wanted = dealt(buckets, blocks)
     near = first.join(checked(blocks.select("_node")), "_node", "left_semi")
     rows = _marked(_sets(near)).join(wanted, "_node")
 
