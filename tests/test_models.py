@@ -107,3 +107,30 @@ def test_prediction_rows_equal_request_rows(spark, frame):
     request = frame.filter(F.col("date_block_num") == 11).withColumn("ID", F.monotonically_increasing_id())
     m = models.fit_linear(train, ["x1", "x2"], "item_cnt_month")
     assert models.score(m, request).select("ID", "item_cnt_month").count() == request.count()
+
+
+def test_forest_rows_are_ordered_by_their_leading_features(frame):
+    feats = ["x2", "shop_id", "x1"]
+    order = models.feature_order(frame, feats, "item_cnt_month")
+    assert sorted(order) == sorted(feats) and order[0] == "x1"      # the strong signal leads
+    rows = models.in_feature_order(frame.repartition(3), order)
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, frame.collect()))
+    for part in rows.select(*order).rdd.glom().collect():
+        assert part == sorted(part)
+
+
+def test_forest_is_fitted_on_ordered_rows(frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "in_feature_order", lambda rows, order: seen.append((rows.count(), order)) or rows)
+    rf = models.fit_forest(frame, ["x2", "x1"], "item_cnt_month", num_trees=2, max_depth=3)
+    assert seen == [(frame.count(), ["x1", "x2"])]
+    assert not rf.stages[-1].getOrDefault("cacheNodeIds")
+
+
+def test_order_of_constant_missing_and_nan_features(frame):
+    df = (frame.withColumn("same", F.lit(3.0)).withColumn("none", F.lit(None).cast("double"))
+          .withColumn("nan", F.when(F.col("shop_id") > 2, F.lit(float("nan"))).otherwise(1.0)))
+    assert models.feature_order(df, ["same", "none", "nan", "x2", "x1"], "item_cnt_month") == ["x1", "x2", "same", "none", "nan"]
+    rf = models.fit_forest(df, ["same", "x1", "x2"], "item_cnt_month", num_trees=3, max_depth=4)
+    assert rf.stages[0].getInputCols() == ["same", "x1", "x2"]
+    assert models.importances(rf, ["same", "x1", "x2"])[-1] == ("same", 0.0)
