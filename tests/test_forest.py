@@ -119,3 +119,14 @@ def test_in_sample_rows_are_scored_as_by_the_pipeline(frame):
     own = models.in_sample(m, frame, FEATURES, "y")
     both = [df.groupBy("y", "prediction").count() for df in (own, m.transform(frame).select("y", "prediction"))]
     assert own.columns == ["y", "prediction"] and both[0].exceptAll(both[1]).count() == 0 and own.count() == frame.count()
+
+
+def test_pages_of_stored_blocks_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """A row is a block here: the writer may not gather a hundred of them before it looks at their size."""
+    import pyarrow.parquet as pq
+    from unitcast.operators import joins
+    monkeypatch.setattr(joins.config, "scratch_path", lambda s, name: str(tmp_path / name))
+    df = spark.range(0, 90, 1, 1).select(F.expr("sha2(string(id), 256)").alias("h")).select(F.expr("cast(repeat(h, 8000) as binary)").alias("b"))
+    joins.materialize(df, compression="none", **forest.LARGE_ROWS)
+    found = [pq.ParquetFile(p).metadata.num_row_groups for p in tmp_path.glob("*/*.parquet")]
+    assert max(found) >= 2          # 46 MB in groups of 16 MB
